@@ -38,7 +38,7 @@ def to_date_safe(c: ColumnOrName, fmt: str | None = None) -> Column:
     """Date from text (NULL when unparsable) or from a date/timestamp column."""
     if fmt is None:
         return F.try_to_date(_col(c))
-    return F.try_to_date(_col(c), F.lit(fmt))
+    return F.try_to_date(_col(c), fmt)
 
 
 def to_timestamp_ntz_safe(c: ColumnOrName, fmt: str) -> Column:

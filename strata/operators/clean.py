@@ -73,7 +73,7 @@ def cast_expr(c: Column, spec: str) -> Column:
         return to_date_safe(c, fmt or None)
     if spec.startswith("timestamp_ntz:"):
         return to_timestamp_ntz_safe(c, spec.split(":", 1)[1])
-    return F.try_cast(c, _CASTS.get(spec, spec))
+    return c.try_cast(_CASTS.get(spec, spec))
 
 
 def cast_columns(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:

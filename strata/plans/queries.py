@@ -108,3 +108,344 @@ FROM lh_orders
 )
 def q_orders_defaults(spark, sf_dir):
     return lh.fill_order_defaults(B.lh_orders(spark, sf_dir), as_of=AS_OF)
+
+
+# --- Daily sales pipeline ---------------------------------------------------
+
+from strata.plans import sales as pm  # noqa: E402
+
+_SQL_DIM_CLIENTES = """
+SELECT id AS cliente_id, nome AS cliente_nome, email AS cliente_email, criado_em AS cliente_criado_em
+FROM pm_clientes
+"""
+_SQL_DIM_PRODUTOS = """
+SELECT id AS produto_id, nome AS produto_nome, categoria AS produto_categoria,
+       CAST(preco AS DOUBLE) AS produto_preco, criado_em AS produto_criado_em
+FROM pm_produtos
+"""
+
+
+def _sql_sales_enriched(null_safe: bool) -> str:
+    eq = "IS NOT DISTINCT FROM" if null_safe else "="
+    return f"""
+SELECT v.id AS venda_id, v.data_venda, v.cliente_id, c.cliente_nome, c.cliente_email,
+       v.produto_id, p.produto_nome, p.produto_categoria, v.quantidade,
+       CAST(v.valor_total AS DOUBLE) AS valor_total, p.produto_preco,
+       c.cliente_criado_em, p.produto_criado_em
+FROM pm_vendas v
+LEFT JOIN dim_clientes c ON v.cliente_id {eq} c.cliente_id
+LEFT JOIN dim_produtos p ON v.produto_id {eq} p.produto_id
+"""
+
+
+_SQL_DAILY = """
+SELECT data_venda, cliente_id, produto_id,
+       CAST(sum(CAST(valor_total AS DECIMAL(18,2))) AS DOUBLE) AS total_vendas_dia,
+       CAST(sum(quantidade) AS BIGINT) AS qtd_itens_dia,
+       count(DISTINCT venda_id) AS qtd_vendas_dia,
+       CASE WHEN count(DISTINCT venda_id) > 0
+            THEN CAST(sum(CAST(valor_total AS DECIMAL(18,2))) AS DOUBLE) / count(DISTINCT venda_id) END
+         AS ticket_medio_dia
+FROM sales_enriched GROUP BY data_venda, cliente_id, produto_id
+"""
+
+_SALES_CTES = {
+    "dim_clientes": _SQL_DIM_CLIENTES,
+    "dim_produtos": _SQL_DIM_PRODUTOS,
+    "sales_enriched": _sql_sales_enriched(False),
+    "sales_nullsafe": _sql_sales_enriched(True),
+    "daily": _SQL_DAILY,
+}
+
+
+def _dims(spark, sf_dir):
+    return pm.clean_dim_clientes(B.pm_clientes(spark, sf_dir)), pm.clean_dim_produtos(B.pm_produtos(spark, sf_dir))
+
+
+def _sales_enriched(spark, sf_dir, null_safe=False):
+    clientes, produtos = _dims(spark, sf_dir)
+    return pm.enrich_sales(B.pm_vendas(spark, sf_dir), clientes, produtos, null_safe=null_safe)
+
+
+@register("dim_clientes", "SELECT * FROM dim_clientes", _SALES_CTES)
+def q_dim_clientes(spark, sf_dir):
+    return _dims(spark, sf_dir)[0]
+
+
+@register("dim_produtos", "SELECT * FROM dim_produtos", _SALES_CTES)
+def q_dim_produtos(spark, sf_dir):
+    return _dims(spark, sf_dir)[1]
+
+
+@register("silver_sales_enriched", "SELECT * FROM sales_enriched", _SALES_CTES)
+def q_silver_sales_enriched(spark, sf_dir):
+    return _sales_enriched(spark, sf_dir)
+
+
+@register("silver_sales_nullsafe", "SELECT * FROM sales_nullsafe", _SALES_CTES)
+def q_silver_sales_nullsafe(spark, sf_dir):
+    return _sales_enriched(spark, sf_dir, null_safe=True)
+
+
+@register("gold_daily_sales", "SELECT * FROM daily", _SALES_CTES)
+def q_gold_daily_sales(spark, sf_dir):
+    return pm.daily_sales(_sales_enriched(spark, sf_dir))
+
+
+_SQL_GROWTH = """
+SELECT *,
+       lag(total_vendas_dia) OVER w AS total_vendas_dia_anterior,
+       (total_vendas_dia - lag(total_vendas_dia) OVER w) / NULLIF(lag(total_vendas_dia) OVER w, 0)
+         AS crescimento_vs_dia_anterior
+FROM daily
+WINDOW w AS (PARTITION BY produto_id ORDER BY data_venda, cliente_id NULLS FIRST)
+"""
+
+
+@register("gold_daily_growth", _SQL_GROWTH, _SALES_CTES)
+def q_gold_daily_growth(spark, sf_dir):
+    return pm.daily_growth(pm.daily_sales(_sales_enriched(spark, sf_dir)))
+
+
+# --- Audits -----------------------------------------------------------------
+
+from strata.operators import audit  # noqa: E402
+
+_ORDER_COLS = ["id", "customer_id", "product", "amount", "status", "order_date"]
+
+
+@register(
+    "audit_not_null",
+    " UNION ALL ".join(
+        f"SELECT 'orders' AS table_name, '{c}' AS column_name, "
+        f"CAST(count(*) - count({c}) AS BIGINT) AS null_rows, count(*) AS total_rows FROM lh_orders"
+        for c in _ORDER_COLS
+    ),
+)
+def q_audit_not_null(spark, sf_dir):
+    return audit.audit_not_null(B.lh_orders(spark, sf_dir), _ORDER_COLS, table="orders")
+
+
+@register(
+    "audit_unique",
+    "SELECT id, count(*) AS n_rows FROM pm_vendas WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1",
+)
+def q_audit_unique(spark, sf_dir):
+    return audit.audit_unique(B.pm_vendas(spark, sf_dir), ["id"])
+
+
+@register(
+    "audit_fk",
+    """
+SELECT v.* FROM pm_vendas v
+WHERE v.cliente_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM pm_clientes c WHERE c.id = v.cliente_id)
+""",
+)
+def q_audit_fk(spark, sf_dir):
+    return audit.audit_foreign_key(B.pm_vendas(spark, sf_dir), "cliente_id", B.pm_clientes(spark, sf_dir), "id")
+
+
+# --- Retail pipeline --------------------------------------------------------
+
+from strata.operators.clean import dedupe, head_rows  # noqa: E402
+from strata.plans import retail as lj  # noqa: E402
+
+_RAW_COLS = [
+    "id_pedido", "data_pedido", "hora_pedido", "cliente_id", "loja_id", "produto",
+    "preco_unitario", "quantidade", "valor_total", "metodo_pagamento", "cidade", "estado",
+]
+_RAW_ORDER = ", ".join(f"{c} NULLS FIRST" for c in _RAW_COLS[1:])
+
+_SQL_RETAIL_TYPED = """
+SELECT id_pedido,
+       CAST(try_strptime(data_pedido, '%Y-%m-%d') AS DATE) AS data_pedido,
+       hora_pedido,
+       TRY_CAST(cliente_id AS INTEGER) AS cliente_id,
+       TRY_CAST(loja_id AS INTEGER) AS loja_id,
+       produto,
+       TRY_CAST(preco_unitario AS DECIMAL(10,2)) AS preco_unitario,
+       TRY_CAST(quantidade AS INTEGER) AS quantidade,
+       TRY_CAST(valor_total AS DECIMAL(10,2)) AS valor_total,
+       metodo_pagamento, cidade, estado
+FROM lj_vendas_raw
+"""
+_SQL_RETAIL_SILVER = f"""
+SELECT id_pedido, data_pedido, hora_pedido, cliente_id, loja_id, lower(trim(produto)) AS produto,
+       preco_unitario, quantidade, valor_total, upper(metodo_pagamento) AS metodo_pagamento,
+       cidade, estado,
+       CAST(year(data_pedido) AS INTEGER) AS ano, CAST(month(data_pedido) AS INTEGER) AS mes,
+       CAST(dayofweek(data_pedido) + 1 AS INTEGER) AS dia_semana
+FROM retail_typed
+WHERE valor_total > 0 AND quantidade > 0 AND data_pedido IS NOT NULL AND produto IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY id_pedido ORDER BY {_RAW_ORDER}) = 1
+"""
+_SQL_RETAIL_GOLD = """
+SELECT ano, mes, produto,
+       CAST(sum(valor_total) AS DECIMAL(20,2)) AS receita_total,
+       CAST(sum(quantidade) AS BIGINT) AS quantidade_total,
+       count(cliente_id) AS qtd_linhas
+FROM retail_silver GROUP BY ano, mes, produto
+"""
+_RETAIL_CTES = {
+    "retail_typed": _SQL_RETAIL_TYPED,
+    "retail_silver": _SQL_RETAIL_SILVER,
+    "retail_gold": _SQL_RETAIL_GOLD,
+}
+
+# Dashboard selection of the registered slice queries.
+YEAR, MONTH = 1998, 6
+
+
+def _retail_silver(spark, sf_dir):
+    return lj.silver_retail(B.lj_vendas_raw(spark, sf_dir))
+
+
+def _retail_gold(spark, sf_dir):
+    return lj.product_month(_retail_silver(spark, sf_dir))
+
+
+@register("silver_retail_clean", "SELECT * FROM retail_silver", _RETAIL_CTES)
+def q_silver_retail_clean(spark, sf_dir):
+    return _retail_silver(spark, sf_dir)
+
+
+@register(
+    "dedupe_sales",
+    f"SELECT * FROM lj_vendas_raw QUALIFY row_number() OVER (PARTITION BY id_pedido ORDER BY {_RAW_ORDER}) = 1",
+)
+def q_dedupe_sales(spark, sf_dir):
+    return dedupe(B.lj_vendas_raw(spark, sf_dir), ["id_pedido"])
+
+
+@register("gold_product_month", "SELECT * FROM retail_gold", _RETAIL_CTES)
+def q_gold_product_month(spark, sf_dir):
+    return _retail_gold(spark, sf_dir)
+
+
+@register("month_slice", f"SELECT * FROM retail_gold WHERE ano = {YEAR} AND mes = {MONTH}", _RETAIL_CTES)
+def q_month_slice(spark, sf_dir):
+    return lj.month_slice(_retail_gold(spark, sf_dir), YEAR, MONTH)
+
+
+@register(
+    "products_by_revenue",
+    f"SELECT produto, receita_total FROM retail_gold WHERE ano = {YEAR} AND mes = {MONTH}",
+    _RETAIL_CTES,
+)
+def q_products_by_revenue(spark, sf_dir):
+    return lj.ranked_products(_retail_gold(spark, sf_dir), YEAR, MONTH, "receita_total")
+
+
+@register(
+    "products_by_quantity",
+    f"SELECT produto, quantidade_total FROM retail_gold WHERE ano = {YEAR} AND mes = {MONTH}",
+    _RETAIL_CTES,
+)
+def q_products_by_quantity(spark, sf_dir):
+    return lj.ranked_products(_retail_gold(spark, sf_dir), YEAR, MONTH, "quantidade_total")
+
+
+@register(
+    "monthly_revenue",
+    f"SELECT mes, CAST(sum(receita_total) AS DECIMAL(30,2)) AS receita_total FROM retail_gold "
+    f"WHERE ano = {YEAR} GROUP BY mes",
+    _RETAIL_CTES,
+)
+def q_monthly_revenue(spark, sf_dir):
+    return lj.monthly_revenue(_retail_gold(spark, sf_dir), YEAR)
+
+
+_SQL_PERIOD = f"""
+SELECT COALESCE(CAST(sum(receita_total) AS DECIMAL(30,2)), 0) AS receita_total,
+       COALESCE(CAST(sum(quantidade_total) AS BIGINT), 0) AS quantidade_total
+FROM retail_gold WHERE ano = {YEAR} AND mes = {MONTH}
+"""
+
+
+@register("period_totals", _SQL_PERIOD, _RETAIL_CTES)
+def q_period_totals(spark, sf_dir):
+    return lj.period_totals(_retail_gold(spark, sf_dir), YEAR, MONTH)
+
+
+@register(
+    "period_cards",
+    """
+SELECT 'Receita total no período: R$ ' || format('{:,.2f}', receita_total) AS card_receita,
+       'Quantidade total de itens vendidos: ' || format('{:,}', quantidade_total) AS card_quantidade
+FROM period
+""",
+    {**_RETAIL_CTES, "period": _SQL_PERIOD},
+)
+def q_period_cards(spark, sf_dir):
+    return lj.period_cards(_retail_gold(spark, sf_dir), YEAR, MONTH)
+
+
+@register(
+    "filter_values",
+    """
+SELECT 'ano' AS filtro, CAST(ano AS INTEGER) AS valor, ano = (SELECT max(ano) FROM retail_gold) AS padrao
+FROM retail_gold GROUP BY ano
+UNION ALL
+SELECT 'mes' AS filtro, CAST(mes AS INTEGER) AS valor, mes = (SELECT max(mes) FROM retail_gold) AS padrao
+FROM retail_gold GROUP BY mes
+""",
+    _RETAIL_CTES,
+)
+def q_filter_values(spark, sf_dir):
+    return lj.filter_values(_retail_gold(spark, sf_dir))
+
+
+@register(
+    "top_products",
+    f"SELECT ano, mes, produto, receita_total FROM retail_gold WHERE ano = {YEAR} "
+    f"ORDER BY mes, receita_total DESC, produto LIMIT 10",
+    _RETAIL_CTES,
+)
+def q_top_products(spark, sf_dir):
+    return lj.top_products(_retail_gold(spark, sf_dir), YEAR, 10)
+
+
+# Fixed value: rows kept by the CSV reduction step.
+HEAD_ROWS = 300_000
+
+
+@register(
+    "head_rows",
+    f"SELECT * FROM lj_vendas_raw ORDER BY id_pedido, {_RAW_ORDER} LIMIT {HEAD_ROWS}",
+)
+def q_head_rows(spark, sf_dir):
+    return head_rows(B.lj_vendas_raw(spark, sf_dir), HEAD_ROWS, _RAW_COLS)
+
+
+@register(
+    "row_counts",
+    """
+SELECT 'bronze' AS layer, count(*) AS n_rows FROM lj_vendas_raw
+UNION ALL SELECT 'silver' AS layer, count(*) AS n_rows FROM retail_silver
+UNION ALL SELECT 'gold' AS layer, count(*) AS n_rows FROM retail_gold
+""",
+    _RETAIL_CTES,
+)
+def q_row_counts(spark, sf_dir):
+    raw = B.lj_vendas_raw(spark, sf_dir)
+    silver = lj.silver_retail(raw)
+    gold = lj.product_month(silver)
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("layer"), "n_rows")
+        for name, df in (("bronze", raw), ("silver", silver), ("gold", gold))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register(
+    "scan_parquet",
+    "SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01'",
+)
+def q_scan_parquet(spark, sf_dir):
+    from strata.sources.files import read_layer
+
+    li = read_layer(spark, sf_dir, "lineitem.parquet")
+    return li.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).select(
+        "l_orderkey", "l_partkey", "l_extendedprice"
+    )
