@@ -449,3 +449,200 @@ def q_scan_parquet(spark, sf_dir):
     return li.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).select(
         "l_orderkey", "l_partkey", "l_extendedprice"
     )
+
+
+# --- Upsert and versioned layers ---------------------------------------------
+
+from strata.operators.upsert import merge_into_layer, upsert  # noqa: E402
+from strata.session import scratch_dir  # noqa: E402
+from strata.sources import snapshots as snap  # noqa: E402
+
+# The silver table is loaded twice: orders up to 1998, then a later extract
+# from 1998 on where pending orders were completed and orders without a status
+# lost their amount. 1998 is in both loads, so those ids are matched.
+FIRST_LOAD_BEFORE = "1999-01-01"
+SECOND_LOAD_FROM = "1998-01-01"
+
+_SQL_LOADS = {
+    "load_first": f"SELECT * FROM orders_enriched WHERE order_date < DATE '{FIRST_LOAD_BEFORE}'",
+    "load_second": f"""
+SELECT id, customer_id, order_date,
+       CASE WHEN status IS NULL THEN NULL ELSE amount END AS amount,
+       CASE WHEN status = 'pending' THEN 'completed' ELSE status END AS status,
+       customer_name, country, order_age_days, is_high_value
+FROM orders_enriched WHERE order_date >= DATE '{SECOND_LOAD_FROM}' OR order_date IS NULL
+""",
+    "merged": """
+SELECT CASE WHEN t.id IS NOT NULL THEN t.id ELSE s.id END AS id,
+       CASE WHEN s.id IS NOT NULL THEN s.customer_id ELSE t.customer_id END AS customer_id,
+       CASE WHEN s.id IS NOT NULL THEN s.order_date ELSE t.order_date END AS order_date,
+       CASE WHEN s.id IS NOT NULL THEN s.amount ELSE t.amount END AS amount,
+       CASE WHEN s.id IS NOT NULL THEN s.status ELSE t.status END AS status,
+       CASE WHEN s.id IS NOT NULL THEN s.customer_name ELSE t.customer_name END AS customer_name,
+       CASE WHEN s.id IS NOT NULL THEN s.country ELSE t.country END AS country,
+       CASE WHEN s.id IS NOT NULL THEN s.order_age_days ELSE t.order_age_days END AS order_age_days,
+       CASE WHEN s.id IS NOT NULL THEN s.is_high_value ELSE t.is_high_value END AS is_high_value
+FROM load_first t FULL OUTER JOIN load_second s ON t.id = s.id
+""",
+}
+_LOAD_CTES = {**_ORDERS_CTES, **_SQL_LOADS}
+
+
+def _order_loads(spark, sf_dir):
+    enriched = _orders_enriched(spark, sf_dir)
+    first = enriched.filter(F.col("order_date") < F.lit(FIRST_LOAD_BEFORE).cast("date"))
+    second = enriched.filter(
+        (F.col("order_date") >= F.lit(SECOND_LOAD_FROM).cast("date")) | F.col("order_date").isNull()
+    ).withColumns(
+        {
+            "amount": F.when(F.col("status").isNull(), F.lit(None)).otherwise(F.col("amount")),
+            "status": F.when(F.col("status") == "pending", "completed").otherwise(F.col("status")),
+        }
+    )
+    return first, second
+
+
+def _update_cols(df):
+    return [c for c in lh.ORDER_UPDATE_COLS if c in df.columns]
+
+
+@register("upsert_orders", "SELECT * FROM merged", _LOAD_CTES)
+def q_upsert_orders(spark, sf_dir):
+    first, second = _order_loads(spark, sf_dir)
+    return upsert(first, second, ["id"], _update_cols(first))
+
+
+def _orders_layer(spark, sf_dir) -> str:
+    """Write the two loads into a fresh versioned silver table (partitioned by
+    country) through ``merge_into_layer``; return its path."""
+    path = scratch_dir(spark, "silver_orders_enriched")
+    first, second = _order_loads(spark, sf_dir)
+    merge_into_layer(first, path, ["id"], _update_cols(first), partition_by=["country"])
+    merge_into_layer(second, path, ["id"], _update_cols(first), partition_by=["country"])
+    return path
+
+
+@register("scan_snapshot", "SELECT * FROM merged", _LOAD_CTES)
+def q_scan_snapshot(spark, sf_dir):
+    return snap.read_snapshot(spark, _orders_layer(spark, sf_dir))
+
+
+@register("snapshot_v0", "SELECT * FROM load_first", _LOAD_CTES)
+def q_snapshot_v0(spark, sf_dir):
+    return snap.read_snapshot(spark, _orders_layer(spark, sf_dir), version=0)
+
+
+@register(
+    "snapshot_history",
+    """
+SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, (SELECT count(*) FROM load_first) AS num_rows
+UNION ALL
+SELECT CAST(1 AS BIGINT) AS version, 'MERGE' AS operation, (SELECT count(*) FROM merged) AS num_rows
+""",
+    _LOAD_CTES,
+)
+def q_snapshot_history(spark, sf_dir):
+    return snap.snapshot_history(spark, _orders_layer(spark, sf_dir)).select("version", "operation", "num_rows")
+
+
+# --- Streams -------------------------------------------------------------------
+
+from strata.sources.files import write_json_lines, write_layer  # noqa: E402
+from strata.streaming import streams as st  # noqa: E402
+
+# Landing layout of the stream tests: JSON files landed; silver output files
+# (hash-partitioned by the partition columns, so about one file per month).
+LANDING_FILES = 24
+SILVER_FILES = 16
+
+
+@register(
+    "stream_orders_append",
+    """
+SELECT event_id AS order_id, user_id AS customer_id, event_type AS product,
+       CASE WHEN event_type = 'error' THEN NULL ELSE value END AS amount,
+       CASE WHEN event_type = 'purchase' THEN 'completed' ELSE 'pending' END AS status,
+       ts AS event_time, 'stream' AS _source
+FROM events
+""",
+)
+def q_stream_orders_append(spark, sf_dir):
+    """JSON order files -> stamped, watermarked stream -> Parquet append sink
+    (10 files per trigger, drained with availableNow)."""
+    landing = scratch_dir(spark, "landing_orders")
+    sink = scratch_dir(spark, "bronze_orders_stream")
+    write_json_lines(B.order_event_lines(spark, sf_dir), landing, files=LANDING_FILES)
+    query = st.start_append(
+        st.orders_stream(spark, landing), sink, f"{sink}_checkpoint", trigger={"availableNow": True}
+    )
+    st.run_until_done(query)
+    out = spark.read.schema(query_schema_of_sink()).parquet(sink)
+    return st.event_time_ntz(out).drop("_ingestion_ts")
+
+
+def query_schema_of_sink():
+    from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+
+    return StructType(
+        list(st.ORDER_EVENT_SCHEMA.fields)
+        + [StructField("_ingestion_ts", TimestampType(), True), StructField("_source", StringType(), True)]
+    )
+
+
+@register("stream_product_month", "SELECT * FROM retail_gold", _RETAIL_CTES)
+def q_stream_product_month(spark, sf_dir):
+    """Silver retail rows appended as files -> streaming product-month
+    aggregate in complete mode -> one gold snapshot per batch; returns the
+    newest snapshot."""
+    silver_path = scratch_dir(spark, "silver_vendas")
+    gold_path = scratch_dir(spark, "gold_vendas_produto_mensal")
+    silver = _retail_silver(spark, sf_dir)
+    write_layer(silver, silver_path, partition_by=["ano", "mes"], files=SILVER_FILES)
+    stream = st.table_stream(spark, silver_path, silver.schema)
+    query = st.start_complete(
+        lj.product_month(stream), gold_path, f"{gold_path}_checkpoint", trigger={"availableNow": True}
+    )
+    st.run_until_done(query)
+    return snap.read_snapshot(spark, gold_path)
+
+
+# --- Synthetic sales -------------------------------------------------------------
+
+from strata.sources import synthetic as syn  # noqa: E402
+
+
+def _sql_synthetic(key: str = "o_orderkey", seed: int = 42) -> str:
+    def d(stream: int) -> str:
+        off = seed + stream * 7919
+        return f"(((({key} + {off}) % 2147483648) * 1103515245 + 12345) % 2147483648 // 65536)"
+
+    def lst(vals) -> str:
+        return "[" + ", ".join(repr(v) if isinstance(v, str) else str(v) for v in vals) + "]"
+
+    lo = lst([round(p[1] * 100) for p in syn.PRODUCTS])
+    hi = lst([round(p[2] * 100) for p in syn.PRODUCTS])
+    prod = f"({d(1)} % {len(syn.PRODUCTS)})"
+    price = f"({lo}[{prod} + 1] + {d(2)} % ({hi}[{prod} + 1] - {lo}[{prod} + 1] + 1))"
+    qty = f"({d(3)} % 10 + 1)"
+    return f"""
+SELECT {key} AS id_pedido,
+       strftime(DATE '{syn.FIRST_DAY}' + CAST({d(5)} % {syn.N_DAYS} AS INTEGER), '%Y-%m-%d') AS data_pedido,
+       lpad(CAST({d(6)} % 15 + 8 AS VARCHAR), 2, '0') || ':' || lpad(CAST({d(7)} % 60 AS VARCHAR), 2, '0') || ':00'
+         AS hora_pedido,
+       ({d(8)} * 32768 + {d(12)}) % {syn.N_CLIENTS} + 1 AS cliente_id,
+       {d(9)} % {syn.N_SHOPS} + 1 AS loja_id,
+       {lst([p[0] for p in syn.PRODUCTS])}[{prod} + 1] AS produto,
+       CAST(CAST({price} AS DECIMAL(10,0)) * 0.01 AS DECIMAL(10,2)) AS preco_unitario,
+       {qty} AS quantidade,
+       CAST(CAST({price} * {qty} AS DECIMAL(12,0)) * 0.01 AS DECIMAL(12,2)) AS valor_total,
+       {lst(syn.PAYMENT_METHODS)}[{d(4)} % {len(syn.PAYMENT_METHODS)} + 1] AS metodo_pagamento,
+       'Cidade ' || CAST({d(10)} % {syn.N_CITIES} + 1 AS VARCHAR) AS cidade,
+       {lst(syn.STATES)}[{d(11)} % {len(syn.STATES)} + 1] AS estado
+FROM orders
+"""
+
+
+@register("synthetic_sales", _sql_synthetic())
+def q_synthetic_sales(spark, sf_dir):
+    """One synthetic retail sale per order key."""
+    return syn.synthetic_sales(B.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", seed=42)

@@ -11,6 +11,7 @@ keeps its own schema (schema replacement on overwrite).
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -59,16 +60,22 @@ def write_snapshot(
     operation: str = "WRITE",
     partition_by: Sequence[str] | None = None,
     files: int | None = None,
+    version: int | None = None,
 ) -> int:
-    """Write ``df`` as the next version and commit it; returns the version.
+    """Write ``df`` as the next version (or as ``version``) and commit it;
+    returns the version. With an explicit ``version`` that is already
+    committed nothing is written, so replaying a stream batch is idempotent.
 
     The row count comes from an observed metric of the write itself, so the
     data is computed once.
     """
     spark = df.sparkSession
-    latest = _latest_version(spark, path)
-    version = 0 if latest is None else latest + 1
-    obs = Observation(f"snapshot_{version}")
+    if version is None:
+        latest = _latest_version(spark, path)
+        version = 0 if latest is None else latest + 1
+    elif snapshot_history(spark, path).filter(F.col("version") == version).limit(1).collect():
+        return version  # already committed: a replayed batch is a no-op
+    obs = Observation(f"snapshot_{version}_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("num_rows"))
     write_layer(observed, _version_path(path, version), partition_by=partition_by, files=files)
     num_rows = int(obs.get["num_rows"])

@@ -1 +1 @@
-"""strata.streaming"""
+"""Structured Streaming sources, sinks and stateful operators."""
