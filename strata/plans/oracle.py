@@ -123,4 +123,5 @@ WHERE (part = 'pose' AND has_pose) OR (part = 'face' AND has_face)
 def with_bindings(sql: str, extra: dict[str, str] | None = None) -> str:
     ctes = {**BINDINGS, **(extra or {})}
     parts = ",\n".join(f"{name} AS ({body.strip()})" for name, body in ctes.items())
-    return f"WITH {parts}\n{sql.strip()}"
+    recursive = "RECURSIVE " if any(body.lstrip().startswith("-- recursive") for body in ctes.values()) else ""
+    return f"WITH {recursive}{parts}\n{sql.strip()}"

@@ -646,3 +646,193 @@ FROM orders
 def q_synthetic_sales(spark, sf_dir):
     """One synthetic retail sale per order key."""
     return syn.synthetic_sales(B.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", seed=42)
+
+
+# --- Landmarks -------------------------------------------------------------------
+
+from strata.operators import landmarks as lm  # noqa: E402
+
+
+def _features(spark, sf_dir):
+    return lm.frame_features(B.landmark_frames(spark, sf_dir), B.landmarks(spark, sf_dir))
+
+
+def _sql_features() -> str:
+    cols = [
+        "COALESCE(bool_or(l.part = 'pose'), false) AS has_pose",
+        "COALESCE(bool_or(l.part = 'face'), false) AS has_face",
+        "COALESCE(bool_or(l.part = 'hand' AND l.label = 'Left'), false) AS has_left",
+        "COALESCE(bool_or(l.part = 'hand' AND l.label = 'Right'), false) AS has_right",
+    ]
+    for lid in lm._POSE_IDS:
+        cols += [f"max(l.{c}) FILTER (WHERE l.part = 'pose' AND l.landmark_id = {lid}) AS pose_{lid}_{c}" for c in "xy"]
+    for lid in lm._FACE_IDS:
+        cols += [f"max(l.{c}) FILTER (WHERE l.part = 'face' AND l.landmark_id = {lid}) AS face_{lid}_{c}" for c in "xy"]
+    for side, ids, label in (("left", lm._LEFT_IDS, "Left"), ("right", lm._RIGHT_IDS, "Right")):
+        for lid in ids:
+            cols += [
+                f"arg_min(l.{c}, l.detection_idx) FILTER (WHERE l.part = 'hand' AND l.label = '{label}' "
+                f"AND l.landmark_id = {lid}) AS {side}_{lid}_{c}"
+                for c in "xy"
+            ]
+    return (
+        "SELECT f.subject, f.frame_no, f.w, f.h, " + ",\n       ".join(cols) + "\n"
+        "FROM landmark_frames f LEFT JOIN landmarks l ON f.subject = l.subject AND f.frame_no = l.frame_no\n"
+        "GROUP BY f.subject, f.frame_no, f.w, f.h"
+    )
+
+
+def _sql_dist(pa, a, pb, b, truncate=True):
+    if truncate:
+        dx = f"(trunc({pb}_{b}_x * w) - trunc({pa}_{a}_x * w))"
+        dy = f"(trunc({pb}_{b}_y * h) - trunc({pa}_{a}_y * h))"
+    else:
+        dx = f"(({pa}_{a}_x - {pb}_{b}_x) * w)"
+        dy = f"(({pa}_{a}_y - {pb}_{b}_y) * h)"
+    return f"sqrt({dx} * {dx} + {dy} * {dy})"
+
+
+_W = _sql_dist("face", lm.MOUTH_LEFT, "face", lm.MOUTH_RIGHT)
+_H = _sql_dist("face", lm.MOUTH_TOP, "face", lm.MOUTH_BOTTOM)
+_FINGERS = (
+    "CASE WHEN has_left THEN "
+    + " + ".join(f"CASE WHEN left_{t}_y < left_{j}_y THEN 1 ELSE 0 END" for t, j in lm.FINGER_PAIRS)
+    + " ELSE 0 END"
+)
+_SQL_VISIBLE = f"""
+SELECT subject, frame_no, visivel,
+       CASE WHEN visivel THEN CAST(trunc(left_{lm.MIDDLE_MCP}_x * w) AS INTEGER) END AS cx_raw,
+       CASE WHEN visivel THEN CAST(trunc(left_{lm.MIDDLE_MCP}_y * h) AS INTEGER) END AS cy_raw
+FROM (SELECT *, has_left AND ({_FINGERS}) >= {lm.OPEN_HAND_FINGERS} AS visivel FROM features)
+"""
+_SQL_SMOOTH = """-- recursive
+SELECT subject, frame_no, cx_raw AS cx, cy_raw AS cy, run_start, rn FROM runs WHERE rn = 1
+UNION ALL
+SELECT q.subject, q.frame_no,
+       CAST(trunc(0.25 * q.cx_raw + 0.75 * sm.cx) AS INTEGER),
+       CAST(trunc(0.25 * q.cy_raw + 0.75 * sm.cy) AS INTEGER),
+       q.run_start, q.rn
+FROM smooth sm JOIN runs q
+  ON q.subject = sm.subject AND q.run_start IS NOT DISTINCT FROM sm.run_start AND q.rn = sm.rn + 1
+"""
+_SQL_RUNS = """
+SELECT subject, frame_no, cx_raw, cy_raw, run_start,
+       row_number() OVER (PARTITION BY subject, run_start ORDER BY frame_no) AS rn
+FROM (SELECT *, max(CASE WHEN NOT visivel THEN frame_no END)
+                  OVER (PARTITION BY subject ORDER BY frame_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                  AS run_start
+      FROM visible) WHERE visivel
+"""
+_LM_CTES = {"features": _sql_features(), "visible": _SQL_VISIBLE, "runs": _SQL_RUNS, "smooth": _SQL_SMOOTH}
+
+
+@register(
+    "first_hand_per_label",
+    "SELECT subject, frame_no, label, min(detection_idx) AS detection_idx FROM landmarks "
+    "WHERE part = 'hand' GROUP BY subject, frame_no, label",
+)
+def q_first_hand_per_label(spark, sf_dir):
+    return lm.first_hand_per_label(B.landmarks(spark, sf_dir))
+
+
+@register(
+    "pixel_distance",
+    f"SELECT subject, frame_no, {_W} AS largura_boca, {_H} AS altura_boca FROM features WHERE has_face",
+    _LM_CTES,
+)
+def q_pixel_distance(spark, sf_dir):
+    return lm.mouth_distances(_features(spark, sf_dir))
+
+
+@register(
+    "expression_label",
+    f"""
+SELECT subject, frame_no,
+       CASE WHEN NOT has_face THEN '{lm.NO_FACE}'
+            WHEN {_W} = 0 THEN '{lm.NEUTRAL}'
+            WHEN {_H} / {_W} > {lm.SURPRISE_RATIO} THEN '{lm.SURPRISED}'
+            WHEN {_W} > {lm.SMILE_WIDTH_PX} AND {_H} / {_W} > {lm.SMILE_RATIO} THEN '{lm.HAPPY}'
+            ELSE '{lm.NEUTRAL}' END AS expressao
+FROM features
+""",
+    _LM_CTES,
+)
+def q_expression_label(spark, sf_dir):
+    return lm.expression_label(_features(spark, sf_dir))
+
+
+def _sql_movements() -> str:
+    checks = [
+        (f"pose_{lm.LEFT_WRIST}_y < pose_{lm.LEFT_SHOULDER}_y", lm.LEFT_HAND_UP),
+        (f"pose_{lm.RIGHT_WRIST}_y < pose_{lm.RIGHT_SHOULDER}_y", lm.RIGHT_HAND_UP),
+        (f"{_sql_dist('pose', lm.LEFT_WRIST, 'pose', lm.RIGHT_WRIST)} > w * {lm.ARMS_OPEN_FRACTION}", lm.ARMS_OPEN),
+        (f"{_sql_dist('pose', lm.LEFT_WRIST, 'pose', lm.RIGHT_SHOULDER)} < w * {lm.ARM_CROSSED_FRACTION}",
+         lm.LEFT_ARM_CROSSED),
+        (f"{_sql_dist('pose', lm.RIGHT_WRIST, 'pose', lm.LEFT_SHOULDER)} < w * {lm.ARM_CROSSED_FRACTION}",
+         lm.RIGHT_ARM_CROSSED),
+    ]
+    arr = "[" + ", ".join(f"CASE WHEN {c} THEN '{t}' END" for c, t in checks) + "]"
+    return f"""
+SELECT subject, frame_no,
+       CASE WHEN NOT has_pose THEN ['{lm.NO_BODY}']
+            WHEN len(found) = 0 THEN ['{lm.NEUTRAL_POSE}'] ELSE found END AS movimentos
+FROM (SELECT *, list_filter({arr}, lambda v: v IS NOT NULL) AS found FROM features)
+"""
+
+
+@register("movement_labels", _sql_movements(), _LM_CTES)
+def q_movement_labels(spark, sf_dir):
+    return lm.movement_labels(_features(spark, sf_dir))
+
+
+@register(
+    "raised_fingers",
+    f"SELECT subject, frame_no, {_FINGERS} AS dedos_levantados, ({_FINGERS}) >= {lm.OPEN_HAND_FINGERS} AS mao_aberta "
+    f"FROM features",
+    _LM_CTES,
+)
+def q_raised_fingers(spark, sf_dir):
+    return lm.raised_fingers(_features(spark, sf_dir))
+
+
+_PINCH = _sql_dist("right", lm.THUMB_TIP, "right", lm.INDEX_TIP, truncate=False)
+
+
+@register(
+    "pinch_scale",
+    f"""
+SELECT subject, frame_no,
+       CASE WHEN has_right THEN greatest({lm.PINCH_MIN}, least({_PINCH} / {lm.PINCH_DIVISOR}, {lm.PINCH_MAX}))
+            ELSE {lm.PINCH_DEFAULT} END AS escala
+FROM features
+""",
+    _LM_CTES,
+)
+def q_pinch_scale(spark, sf_dir):
+    return lm.pinch_scale(_features(spark, sf_dir))
+
+
+@register("visible_frames", "SELECT * FROM visible", _LM_CTES)
+def q_visible_frames(spark, sf_dir):
+    return lm.visible_frames(_features(spark, sf_dir))
+
+
+@register("smoothed_position", "SELECT subject, frame_no, cx, cy FROM smooth", _LM_CTES)
+def q_smoothed_position(spark, sf_dir):
+    return lm.smoothed_position(lm.visible_frames(_features(spark, sf_dir)))
+
+
+def _sql_pairs() -> str:
+    parts = [
+        f"SELECT subject, frame_no, {t} AS landmark_id, "
+        f"CAST(trunc(left_{t}_x * w) AS INTEGER) AS x1, CAST(trunc(left_{t}_y * h) AS INTEGER) AS y1, "
+        f"CAST(trunc(right_{t}_x * w) AS INTEGER) AS x2, CAST(trunc(right_{t}_y * h) AS INTEGER) AS y2 "
+        f"FROM features WHERE has_left AND has_right"
+        for t in lm.TIPS
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("fingertip_pairs", _sql_pairs(), _LM_CTES)
+def q_fingertip_pairs(spark, sf_dir):
+    return lm.fingertip_pairs(_features(spark, sf_dir))
