@@ -836,3 +836,77 @@ def _sql_pairs() -> str:
 @register("fingertip_pairs", _sql_pairs(), _LM_CTES)
 def q_fingertip_pairs(spark, sf_dir):
     return lm.fingertip_pairs(_features(spark, sf_dir))
+
+
+# --- API responses ------------------------------------------------------------------
+
+from strata.operators import responses as rs  # noqa: E402
+
+_SQL_QUOTE_SRC = """
+SELECT event_id AS response_id, event_type, value, ts, json_extract_string(props, '$.k') AS k FROM events
+"""
+_QUOTE_CTES = {"quote_src": _SQL_QUOTE_SRC}
+
+
+@register(
+    "quotes_parsed",
+    """
+SELECT response_id,
+       CASE WHEN event_type = 'click' THEN 'EUR' ELSE 'USD' END AS base,
+       'BRL' AS moeda,
+       CAST(value AS DECIMAL(18,6)) AS taxa,
+       date_trunc('second', ts) AS data_referencia
+FROM quote_src
+WHERE k <> '0' AND event_type IN ('signup', 'click', 'purchase')
+""",
+    _QUOTE_CTES,
+)
+def q_quotes_parsed(spark, sf_dir):
+    return rs.quotes_parsed(B.quote_bodies(spark, sf_dir))
+
+
+@register(
+    "quotes_rejected",
+    f"""
+SELECT response_id,
+       CASE WHEN k = '0' THEN '{rs.NOT_JSON}'
+            WHEN event_type = 'error' THEN '{rs.MISSING_PAIR.replace("'", "''")}'
+            ELSE '{rs.MISSING_FIELDS.replace("'", "''")}' END AS motivo
+FROM quote_src
+WHERE k = '0' OR event_type IN ('error', 'view')
+""",
+    _QUOTE_CTES,
+)
+def q_quotes_rejected(spark, sf_dir):
+    return rs.quotes_rejected(B.quote_bodies(spark, sf_dir))
+
+
+@register(
+    "issues_flat",
+    f"""
+SELECT conv_id, turn, CAST(i AS INTEGER) AS posicao, CAST(i + 1 AS VARCHAR) AS numero,
+       CASE WHEN line = '' THEN '{rs.DEFAULT_TITLE}' ELSE line END AS titulo,
+       CASE WHEN role = 'user' THEN 'user_' || CAST(conv_id AS VARCHAR) ELSE '{rs.DEFAULT_AUTHOR}' END AS autor,
+       'https://issues.example/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) || '/'
+         || CAST(i + 1 AS VARCHAR) AS url
+FROM (SELECT conv_id, turn, role,
+             unnest(string_split(text, chr(10))) AS line,
+             unnest(range(len(string_split(text, chr(10))))) AS i
+      FROM conversations WHERE role <> 'system' AND text IS NOT NULL)
+""",
+)
+def q_issues_flat(spark, sf_dir):
+    return rs.issues_flat(B.issue_bodies(spark, sf_dir))
+
+
+@register(
+    "issues_summary",
+    """
+SELECT conv_id, turn,
+       CASE WHEN role = 'system' THEN NULL ELSE CAST(len(string_split(text, chr(10))) AS INTEGER) END AS total,
+       CASE WHEN role = 'system' THEN 'Bad credentials' END AS erro
+FROM conversations
+""",
+)
+def q_issues_summary(spark, sf_dir):
+    return rs.issues_summary(B.issue_bodies(spark, sf_dir))
