@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from strata.sources.files import write_layer
 
@@ -36,11 +35,19 @@ def _version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/snapshot_version={version}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system the URI names."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     """The commit history, newest first (``DESCRIBE HISTORY``)."""
-    try:
-        hist = spark.read.schema(_HISTORY_SCHEMA).parquet(_history_path(path))
-    except AnalysisException:
+    hist_path = _history_path(path)
+    if path_exists(spark, hist_path):
+        hist = spark.read.schema(_HISTORY_SCHEMA).parquet(hist_path)
+    else:
         hist = spark.createDataFrame([], _HISTORY_SCHEMA)
     return hist.orderBy(F.col("version").desc())
 
