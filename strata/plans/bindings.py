@@ -149,7 +149,7 @@ def lj_vendas_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("l_extendedprice") * q
     return li.select(
         (F.col("l_orderkey") * 10 + line).alias("id_pedido"),
-        F.when(q == 2, F.lit("not-a-date")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("data_pedido"),
+        F.when(q == 2, F.lit("not-a-date")).otherwise(F.to_date("l_shipdate").cast("string")).alias("data_pedido"),
         F.concat(F.lpad((line + 7).cast("string"), 2, "0"), F.lit(":00:00")).alias("hora_pedido"),
         F.when(q == 8, F.lit(None).cast("bigint")).otherwise(F.col("l_partkey")).alias("cliente_id"),
         F.col("l_suppkey").alias("loja_id"),

@@ -429,13 +429,7 @@ UNION ALL SELECT 'gold' AS layer, count(*) AS n_rows FROM retail_gold
 )
 def q_row_counts(spark, sf_dir):
     raw = B.lj_vendas_raw(spark, sf_dir)
-    silver = lj.silver_retail(raw)
-    gold = lj.product_month(silver)
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("layer"), "n_rows")
-        for name, df in (("bronze", raw), ("silver", silver), ("gold", gold))
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return lj.layer_counts(raw, lj.silver_retail(raw))
 
 
 @register(

@@ -3,7 +3,7 @@ gold (batch or stream) -> the dashboard's slices, series, totals and top-k."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import format_card_int, format_card_money
@@ -101,15 +101,31 @@ def period_cards(gold: DataFrame, year: int | None = None, month: int | None = N
 
 def filter_values(gold: DataFrame, cols: tuple[str, ...] = ("ano", "mes")) -> DataFrame:
     """Sorted distinct values of the filter columns, with the default flag
-    (newest value) the dashboard preselects."""
-    parts = []
-    for c in cols:
-        vals = gold.select(F.lit(c).alias("filtro"), F.col(c).cast("int").alias("valor")).distinct()
-        parts.append(vals.withColumn("padrao", F.col("valor") == _newest(gold, c)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("filtro", "valor")
+    (newest value) the dashboard preselects. One pass over the gold table:
+    the (column, value) pairs are aggregated, then flagged per column."""
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("filtro"), F.col(c).cast("int").alias("valor")) for c in cols])
+    )
+    values = gold.select(pairs.alias("p")).select("p.*").distinct()
+    newest = F.max("valor").over(Window.partitionBy("filtro"))
+    return values.withColumn("padrao", F.col("valor") == newest).orderBy("filtro", "valor")
+
+
+def layer_counts(raw: DataFrame, silver: DataFrame) -> DataFrame:
+    """Row counts of the bronze, silver and gold tables, with the silver
+    computed once: the gold grouping also counts the silver rows it folds."""
+    bronze = raw.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("bronze").alias("layer"), "n_rows")
+    groups = silver.groupBy("ano", "mes", "produto").agg(F.count(F.lit(1)).alias("_n"))
+    both = groups.agg(F.sum("_n").cast("bigint").alias("silver"), F.count(F.lit(1)).alias("gold"))
+    rest = both.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("silver").alias("layer"), F.coalesce("silver", F.lit(0).cast("bigint")).alias("n_rows")),
+                F.struct(F.lit("gold").alias("layer"), F.col("gold").alias("n_rows")),
+            )
+        )
+    )
+    return bronze.unionByName(rest)
 
 
 def top_products(gold: DataFrame, year: int | None = None, n: int = 10) -> DataFrame:

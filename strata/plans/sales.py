@@ -122,34 +122,32 @@ def daily_sales(silver: DataFrame) -> DataFrame:
     )
 
 
-def daily_growth(fact: DataFrame) -> DataFrame:
+def daily_growth(fact: DataFrame, materialize: bool = True) -> DataFrame:
     """Previous row's total per product, in (data_venda, cliente_id) order,
     and the growth against it (NULL when there is no previous row or it is 0).
 
-    The lag is split in two so no task holds a whole product: within a
-    product-day a window gives the previous client's total; the first row of a
-    day takes the last total of the product's previous day, from a table with
-    one row per product-day (bounded by the calendar, not by the data).
+    The lag is split in two so no task holds a whole product: one window over
+    each product-day gives the previous client's total and the day's last
+    total; the first row of a day takes the last total of the product's
+    previous day, from a table with one row per product-day (bounded by the
+    calendar, not by the data). With ``materialize`` the windowed fact is
+    checkpointed to the shared checkpoint folder, so the two branches of the
+    join read it instead of evaluating the upstream plan twice.
     """
-    w_day = Window.partitionBy("produto_id", "data_venda").orderBy(F.col("cliente_id").asc_nulls_first())
+    order = F.col("cliente_id").asc_nulls_first()
+    w_day = Window.partitionBy("produto_id", "data_venda").orderBy(order)
+    w_day_all = w_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     with_day = fact.withColumns(
         {
             "_prev_in_day": F.lag("total_vendas_dia").over(w_day),
             "_first_in_day": F.row_number().over(w_day) == 1,
+            "_day_total": F.last("total_vendas_dia").over(w_day_all),
         }
     )
-    # Last row of a day in cliente_id order (NULLs first, so a NULL client is last only when alone).
-    day_last = (
-        fact.groupBy("produto_id", "data_venda")
-        .agg(
-            F.max(F.struct(F.col("cliente_id").isNotNull(), F.col("cliente_id"), F.col("total_vendas_dia"))).alias(
-                "_last"
-            )
-        )
-        .select("produto_id", "data_venda", F.col("_last.total_vendas_dia").alias("_day_total"))
-    )
+    if materialize:
+        with_day = with_day.checkpoint(eager=True)
     w_prod = Window.partitionBy("produto_id").orderBy("data_venda")
-    prev_day = day_last.select(
+    prev_day = with_day.filter("_first_in_day").select(
         "produto_id", "data_venda", F.lag("_day_total").over(w_prod).alias("_prev_day_total")
     )
     joined = with_day.join(prev_day, ["produto_id", "data_venda"], "left")

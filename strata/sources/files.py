@@ -60,7 +60,9 @@ def read_layer(
 
 def _layout(df: DataFrame, partition_by: Sequence[str], files: int | None, shuffle: bool) -> DataFrame:
     if files is None:
-        return df
+        # AQE rebalance: small partitions merged, skewed ones split, so each
+        # partition directory gets few files and a hot value several tasks.
+        return df.hint("rebalance", *partition_by) if partition_by else df
     if not shuffle:
         return df.coalesce(files)
     if partition_by:
@@ -79,10 +81,10 @@ def write_layer(
 ) -> None:
     """Write a layer table.
 
-    Partition columns that the frame lacks are skipped. ``files`` bounds the
-    output file count: by default with ``repartition(files, *partition_by)``,
-    which keeps the upstream stage's parallelism and writes each partition
-    directory from few tasks; ``shuffle=False`` uses ``coalesce(files)``.
+    Partition columns that the frame lacks are skipped. A partitioned write is
+    rebalanced on its partition columns (AQE sizes the tasks, splitting hot
+    values). ``files`` instead fixes the task count: ``repartition(files,
+    *partition_by)`` by default, ``coalesce(files)`` with ``shuffle=False``.
     """
     cols = [c for c in (partition_by or []) if c in df.columns]
     writer = _layout(df, cols, files, shuffle).write.mode(mode).format(fmt)
