@@ -19,7 +19,24 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one test table.
+
+    The large fact table is spread round-robin over the session's cores when
+    its scan has fewer splits than cores (the test files are one row group
+    each, so everything before the first shuffle would run in one task). A
+    real input of many files and row groups has splits enough and is left
+    as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in SPREAD_TABLES:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
+
+
+# Test tables big enough for spreading a single-split scan to pay off.
+SPREAD_TABLES = {"lineitem"}
 
 
 # --- Orders pipeline: customers, orders ------------------------------------

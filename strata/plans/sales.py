@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import nanos_to_timestamp, safe_ratio
 from strata.operators.clean import ordered_columns, rename_select
+from strata.session import ensure_checkpoint_dir
 
 # Column order of the enriched sales fact.
 SALES_COLUMN_ORDER = [
@@ -145,6 +146,7 @@ def daily_growth(fact: DataFrame, materialize: bool = True) -> DataFrame:
         }
     )
     if materialize:
+        ensure_checkpoint_dir(fact.sparkSession)
         with_day = with_day.checkpoint(eager=True)
     w_prod = Window.partitionBy("produto_id").orderBy("data_venda")
     prev_day = with_day.filter("_first_in_day").select(

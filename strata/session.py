@@ -67,6 +67,11 @@ def _checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` usable: the cluster's folder when set."""
+    return _checkpoint_root(spark)
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder below the shared checkpoint folder, one per use."""
     root = _checkpoint_root(spark)
