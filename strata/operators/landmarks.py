@@ -15,14 +15,17 @@ streaming pass over sorted partitions: O(1) state, one Arrow batch in memory.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import clamp, pixel_distance, trunc_int
+from strata.session import ensure_checkpoint_dir
 
 # Labels of the expression heuristic.
 NO_FACE = "sem rosto"
@@ -301,9 +304,21 @@ def _smooth_partitions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
         yield pd.DataFrame({"subject": subj, "frame_no": pdf["frame_no"].to_numpy(), "cx": cx, "cy": cy})
 
 
-def smoothed_position(visible: DataFrame, partitions: int | None = None) -> DataFrame:
+def ship_by_value(module_name: str) -> None:
+    """Pickle the module's functions by value, so Python workers run them
+    without the package installed on the executors."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
+def smoothed_position(visible: DataFrame, partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """Smoothed palm position per visible frame, restarting after every frame
     where the hand is gone or closed."""
+    ship_by_value(__name__)
+    if materialize:
+        # One small row per frame; both branches of the run scan read it
+        # instead of re-running the landmark pivot.
+        ensure_checkpoint_dir(visible.sparkSession)
+        visible = visible.checkpoint(eager=True)
     runs = visible_runs(visible)
     keyed = runs.repartition(partitions, "subject", "run_start") if partitions else runs.repartition(
         "subject", "run_start"

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from strata.operators.landmarks import SMOOTH_ALPHA
+from strata.operators.landmarks import SMOOTH_ALPHA, ship_by_value
 
 OUTPUT_SCHEMA = "subject long, frame_no long, cx int, cy int"
 STATE_SCHEMA = "last_frame long, px int, py int, open boolean"
@@ -50,6 +50,7 @@ def _smooth_subject(
 def smooth_stream(visible: DataFrame) -> DataFrame:
     """``visible``: streaming rows ``(subject, frame_no, visivel, cx_raw,
     cy_raw)``. Returns the smoothed position of every visible frame."""
+    ship_by_value(__name__)
     return visible.groupBy("subject").applyInPandasWithState(
         _smooth_subject, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
