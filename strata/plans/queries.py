@@ -904,3 +904,35 @@ FROM conversations
 )
 def q_issues_summary(spark, sf_dir):
     return rs.issues_summary(B.issue_bodies(spark, sf_dir))
+
+
+# --- Streaming smoothing -------------------------------------------------------
+
+from strata.session import ensure_checkpoint_dir  # noqa: E402
+from strata.streaming import smoothing as sm  # noqa: E402
+
+# Frame files landed for the smoothing stream, one per frame range, in order.
+SMOOTH_LANDING_FILES = 3
+
+
+@register("stream_smoothed_position", "SELECT subject, frame_no, cx, cy FROM smooth", _LM_CTES)
+def q_stream_smoothed_position(spark, sf_dir):
+    """Visible frames land in frame order, one file per frame range; the
+    per-subject stateful stream smooths them one file per micro-batch, so the
+    state carries across batches. Equals the batch ``smoothed_position``."""
+    ensure_checkpoint_dir(spark)
+    visible = lm.visible_frames(_features(spark, sf_dir)).checkpoint(eager=True)
+    lo, hi = visible.agg(F.min("frame_no"), F.max("frame_no")).collect()[0]
+    landing = scratch_dir(spark, "landing_visible_frames")
+    sink = scratch_dir(spark, "smoothed_position_stream")
+    if lo is not None:
+        step = (hi - lo) // SMOOTH_LANDING_FILES + 1
+        for i in range(SMOOTH_LANDING_FILES):
+            part = visible.filter((F.col("frame_no") >= lo + i * step) & (F.col("frame_no") < lo + (i + 1) * step))
+            part.coalesce(1).write.mode("append").parquet(landing)
+    else:
+        visible.coalesce(1).write.mode("append").parquet(landing)
+    stream = st.table_stream(spark, landing, visible.schema, max_files=1)
+    query = st.start_append(sm.smooth_stream(stream), sink, f"{sink}_checkpoint", trigger={"availableNow": True})
+    st.run_until_done(query)
+    return spark.read.schema(sm.OUTPUT_SCHEMA).parquet(sink)

@@ -9,7 +9,10 @@ from tools.check_oracle import TABLES, rows_of
 
 from conftest import SF_SMALL
 
-STATEFUL = {"scan_snapshot", "snapshot_v0", "snapshot_history", "stream_orders_append", "stream_product_month"}
+STATEFUL = {
+    "scan_snapshot", "snapshot_v0", "snapshot_history", "stream_orders_append", "stream_product_month",
+    "stream_smoothed_position",
+}
 
 
 def test_entry_smoke(spark):
