@@ -88,11 +88,8 @@ def merge_into_layer(
 ) -> int:
     """First load writes version 0; later loads upsert into the newest version
     and write the result as the next version. Returns the version written."""
-    from strata.sources.snapshots import has_snapshot, read_snapshot, write_snapshot
-
-    spark = df.sparkSession
-    if not has_snapshot(spark, path):
-        return write_snapshot(df, path, operation="WRITE", partition_by=partition_by)
-    current = read_snapshot(spark, path)
-    merged = upsert(current, df, keys, update_cols)
-    return write_snapshot(merged, path, operation="MERGE", partition_by=partition_by)
+    from strata.sources.snapshots import merge_snapshot
+
+    return merge_snapshot(
+        df, path, lambda current, new: upsert(current, new, keys, update_cols), partition_by=partition_by
+    )

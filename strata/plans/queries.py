@@ -544,10 +544,9 @@ def q_snapshot_history(spark, sf_dir):
 from strata.sources.files import write_json_lines, write_layer  # noqa: E402
 from strata.streaming import streams as st  # noqa: E402
 
-# Landing layout of the stream tests: JSON files landed; silver output files
-# (hash-partitioned by the partition columns, so about one file per month).
+# Landing layout of the order stream: JSON files landed (more than one
+# trigger's worth, so the files-per-trigger limit is exercised).
 LANDING_FILES = 24
-SILVER_FILES = 16
 
 
 @register(
@@ -591,7 +590,7 @@ def q_stream_product_month(spark, sf_dir):
     silver_path = scratch_dir(spark, "silver_vendas")
     gold_path = scratch_dir(spark, "gold_vendas_produto_mensal")
     silver = _retail_silver(spark, sf_dir)
-    write_layer(silver, silver_path, partition_by=["ano", "mes"], files=SILVER_FILES)
+    write_layer(silver, silver_path, partition_by=["ano", "mes"])
     stream = st.table_stream(spark, silver_path, silver.schema)
     query = st.start_complete(
         lj.product_month(stream), gold_path, f"{gold_path}_checkpoint", trigger={"availableNow": True}
@@ -917,9 +916,11 @@ SMOOTH_LANDING_FILES = 3
 
 @register("stream_smoothed_position", "SELECT subject, frame_no, cx, cy FROM smooth", _LM_CTES)
 def q_stream_smoothed_position(spark, sf_dir):
-    """Visible frames land in frame order, one file per frame range; the
-    per-subject stateful stream smooths them one file per micro-batch, so the
-    state carries across batches. Equals the batch ``smoothed_position``."""
+    """Visible frames land in frame order, one landing write per frame range,
+    each hash-partitioned by subject (all frames of a subject in a range sit
+    in one file); the per-subject stateful stream reads one file per
+    micro-batch, so the state carries across batches in frame order. Equals
+    the batch ``smoothed_position``."""
     ensure_checkpoint_dir(spark)
     visible = lm.visible_frames(_features(spark, sf_dir)).checkpoint(eager=True)
     lo, hi = visible.agg(F.min("frame_no"), F.max("frame_no")).collect()[0]
@@ -929,9 +930,9 @@ def q_stream_smoothed_position(spark, sf_dir):
         step = (hi - lo) // SMOOTH_LANDING_FILES + 1
         for i in range(SMOOTH_LANDING_FILES):
             part = visible.filter((F.col("frame_no") >= lo + i * step) & (F.col("frame_no") < lo + (i + 1) * step))
-            part.coalesce(1).write.mode("append").parquet(landing)
+            part.repartition("subject").write.mode("append").parquet(landing)
     else:
-        visible.coalesce(1).write.mode("append").parquet(landing)
+        visible.repartition("subject").write.mode("append").parquet(landing)
     stream = st.table_stream(spark, landing, visible.schema, max_files=1)
     query = st.start_append(sm.smooth_stream(stream), sink, f"{sink}_checkpoint", trigger={"availableNow": True})
     st.run_until_done(query)

@@ -52,36 +52,40 @@ def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     return hist.orderBy(F.col("version").desc())
 
 
+def _commit_row(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, str] | None:
+    """``(version, schema_json)`` of the newest commit, or of ``version``;
+    ``None`` when there is none. One small job over the history table, whose
+    size is the number of commits, not of data rows."""
+    if not path_exists(spark, _history_path(path)):
+        return None
+    hist = snapshot_history(spark, path)
+    if version is not None:
+        hist = hist.filter(F.col("version") == version)
+    rows = hist.select("version", "schema_json").limit(1).collect()
+    return None if not rows else (int(rows[0]["version"]), rows[0]["schema_json"])
+
+
 def has_snapshot(spark: SparkSession, path: str) -> bool:
-    return len(snapshot_history(spark, path).limit(1).collect()) > 0
+    return _commit_row(spark, path) is not None
 
 
-def _latest_version(spark: SparkSession, path: str) -> int | None:
-    row = snapshot_history(spark, path).agg(F.max("version").alias("v")).collect()[0]
-    return None if row["v"] is None else int(row["v"])
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    row = _commit_row(spark, path)
+    return None if row is None else row[0]
 
 
-def write_snapshot(
+def _write_version(
     df: DataFrame,
     path: str,
-    operation: str = "WRITE",
-    partition_by: Sequence[str] | None = None,
-    files: int | None = None,
-    version: int | None = None,
+    version: int,
+    operation: str,
+    partition_by: Sequence[str] | None,
+    files: int | None,
 ) -> int:
-    """Write ``df`` as the next version (or as ``version``) and commit it;
-    returns the version. With an explicit ``version`` that is already
-    committed nothing is written, so replaying a stream batch is idempotent.
-
-    The row count comes from an observed metric of the write itself, so the
-    data is computed once.
-    """
+    """Write the data of ``version``, then append its history row (the commit
+    mark). The row count comes from an observed metric of the write itself,
+    so the data is computed once."""
     spark = df.sparkSession
-    if version is None:
-        latest = _latest_version(spark, path)
-        version = 0 if latest is None else latest + 1
-    elif snapshot_history(spark, path).filter(F.col("version") == version).limit(1).collect():
-        return version  # already committed: a replayed batch is a no-op
     obs = Observation(f"snapshot_{version}_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("num_rows"))
     write_layer(observed, _version_path(path, version), partition_by=partition_by, files=files)
@@ -96,20 +100,61 @@ def write_snapshot(
     return version
 
 
+def write_snapshot(
+    df: DataFrame,
+    path: str,
+    operation: str = "WRITE",
+    partition_by: Sequence[str] | None = None,
+    files: int | None = None,
+    version: int | None = None,
+) -> int:
+    """Write ``df`` as the next version (or as ``version``) and commit it;
+    returns the version. With an explicit ``version`` that is already
+    committed nothing is written, so replaying a stream batch is idempotent.
+    """
+    spark = df.sparkSession
+    if version is None:
+        latest = latest_version(spark, path)
+        version = 0 if latest is None else latest + 1
+    elif _commit_row(spark, path, version) is not None:
+        return version  # already committed: a replayed batch is a no-op
+    return _write_version(df, path, version, operation, partition_by, files)
+
+
+def _read_version(spark: SparkSession, path: str, version: int, schema_json: str) -> DataFrame:
+    schema = StructType.fromJson(json.loads(schema_json))
+    df = spark.read.schema(schema).parquet(_version_path(path, version))
+    return df.select(*schema.fieldNames())
+
+
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """Read the newest committed version, or ``version`` (time travel).
 
     The stored schema restores column order and types, partition columns
     included.
     """
-    hist = snapshot_history(spark, path)
-    if version is None:
-        version = _latest_version(spark, path)
+    row = _commit_row(spark, path, version)
+    if row is None:
         if version is None:
             raise FileNotFoundError(f"no committed snapshot at {path}")
-    rows = hist.filter(F.col("version") == version).select("schema_json").limit(1).collect()
-    if not rows:
         raise ValueError(f"version {version} is not in the history of {path}")
-    schema = StructType.fromJson(json.loads(rows[0]["schema_json"]))
-    df = spark.read.schema(schema).parquet(_version_path(path, version))
-    return df.select(*schema.fieldNames())
+    return _read_version(spark, path, *row)
+
+
+def merge_snapshot(
+    df: DataFrame,
+    path: str,
+    merge,
+    operation: str = "MERGE",
+    partition_by: Sequence[str] | None = None,
+    files: int | None = None,
+) -> int:
+    """First load writes version 0; later loads write ``merge(newest, df)`` as
+    the next version. The history is read once for the decision, the read
+    and the version number."""
+    spark = df.sparkSession
+    row = _commit_row(spark, path)
+    if row is None:
+        return _write_version(df, path, 0, "WRITE", partition_by, files)
+    current = _read_version(spark, path, *row)
+    return _write_version(merge(current, df), path, row[0] + 1, operation, partition_by, files)
