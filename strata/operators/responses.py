@@ -33,23 +33,32 @@ _QUOTE_SCHEMA = (
 def parse_quotes(df: DataFrame, body: str = "body") -> DataFrame:
     """All rows with the parsed quote fields and ``motivo`` (NULL when valid):
     ``base, moeda`` default to USD / BRL, ``taxa`` is decimal(18,6),
-    ``data_referencia`` the quote's wall-clock time."""
+    ``data_referencia`` the quote's wall-clock time.
+
+    The body is parsed once per row, inside a one-element ``inline``: a filter
+    on ``motivo`` stays above the generator. Over a plain projection Catalyst
+    would push that filter down with the parse inlined into each of its
+    conditions (several ``from_json`` calls per row, outside codegen).
+    """
     parsed = F.from_json(
         F.col(body), _QUOTE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
-    q = parsed.getField(PAIR_KEY)
+    keep = [c for c in df.columns if c != body]
+    once = df.select(
+        *keep, F.inline(F.array(F.struct(F.col(body).isNull().alias("_no_body"), parsed.alias("_p"))))
+    )
+    q = F.col("_p").getField(PAIR_KEY)
     bid, created = q.getField("bid"), q.getField("create_date")
     taxa = bid.try_cast("decimal(18,6)")
     ts = to_timestamp_ntz_safe(created, QUOTE_TS_FORMAT)
     reason = (
-        F.when(F.col(body).isNull() | parsed.getField("_corrupt").isNotNull(), NOT_JSON)
+        F.when(F.col("_no_body") | F.col("_p").getField("_corrupt").isNotNull(), NOT_JSON)
         .when(q.isNull(), MISSING_PAIR)
         .when(bid.isNull() | created.isNull(), MISSING_FIELDS)
         .when(taxa.isNull(), BAD_BID)
         .when(ts.isNull(), BAD_DATE)
     )
-    keep = [c for c in df.columns if c != body]
-    return df.select(
+    return once.select(
         *keep,
         F.coalesce(q.getField("code"), F.lit(DEFAULT_BASE)).alias("base"),
         F.coalesce(q.getField("codein"), F.lit(DEFAULT_QUOTE)).alias("moeda"),
