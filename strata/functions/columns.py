@@ -63,8 +63,14 @@ def to_timestamp_ntz_safe(c: ColumnOrName, fmt: str) -> Column:
 
 def nanos_to_timestamp(c: ColumnOrName) -> Column:
     """Timestamp from a long of nanoseconds since the epoch (pandas-written Parquet
-    read with ``nanosAsLong``). Reading the long as seconds would be wrong."""
-    return F.timestamp_micros(F.floor(_col(c) / F.lit(1000)).cast("long"))
+    read with ``nanosAsLong``). Reading the long as seconds would be wrong.
+
+    Floor division in exact integer arithmetic: a double holds about 16
+    digits, and epoch nanoseconds have 19. Subtracting the non-negative
+    remainder first makes the truncating ``div`` a floor before 1970 too."""
+    ns = _col(c)
+    thousand = F.lit(1000)
+    return F.timestamp_micros(F.call_function("div", ns - F.pmod(ns, thousand), thousand))
 
 
 def high_value_flag(amount: ColumnOrName, threshold: float) -> Column:

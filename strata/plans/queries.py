@@ -937,3 +937,72 @@ def q_stream_smoothed_position(spark, sf_dir):
     query = st.start_append(sm.smooth_stream(stream), sink, f"{sink}_checkpoint", trigger={"availableNow": True})
     st.run_until_done(query)
     return spark.read.schema(sm.OUTPUT_SCHEMA).parquet(sink)
+
+
+# --- File formats and appends ---------------------------------------------------
+
+from strata.functions.columns import nanos_to_timestamp  # noqa: E402
+from strata.sources.files import append_layer, read_layer, read_sales_csv, write_sales_csv  # noqa: E402
+
+# Columns of the raw sales CSV, read with this schema instead of inferring one.
+RAW_SALES_CSV_SCHEMA = (
+    "id_pedido bigint, data_pedido string, hora_pedido string, cliente_id bigint, loja_id bigint, "
+    "produto string, preco_unitario double, quantidade bigint, valor_total double, "
+    "metodo_pagamento string, cidade string, estado string"
+)
+
+
+@register("csv_sales", "SELECT * FROM lj_vendas_raw")
+def q_csv_sales(spark, sf_dir):
+    """The raw sales land as CSV files with a header and are read back with
+    the explicit schema (the retail bronze's source)."""
+    path = scratch_dir(spark, "vendas_csv")
+    write_sales_csv(B.lj_vendas_raw(spark, sf_dir), path)
+    return read_sales_csv(spark, path, RAW_SALES_CSV_SCHEMA)
+
+
+@register("nanos_timestamps", "SELECT event_id, ts FROM events")
+def q_nanos_timestamps(spark, sf_dir):
+    """Event times stored as longs of nanoseconds since the epoch (how files
+    with nanosecond timestamps read with ``nanosAsLong``), converted back to
+    timestamps."""
+    path = scratch_dir(spark, "events_nanos")
+    events = B.table(spark, sf_dir, "events")
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * F.lit(1000)
+    events.select("event_id", nanos.alias("ts_ns")).write.mode("overwrite").parquet(path)
+    back = spark.read.parquet(path)
+    return back.select("event_id", nanos_to_timestamp("ts_ns").cast("timestamp_ntz").alias("ts"))
+
+
+# Quotes up to this day are appended first; later ones come with a new column.
+QUOTE_APPEND_CUT = "2024-01-16"
+QUOTE_SOURCE = "api"
+
+
+@register(
+    "quotes_appended",
+    f"""
+SELECT response_id, base, moeda, taxa, data_referencia,
+       CASE WHEN data_referencia >= TIMESTAMP '{QUOTE_APPEND_CUT}' THEN '{QUOTE_SOURCE}' END AS fonte
+FROM (
+SELECT response_id,
+       CASE WHEN event_type = 'click' THEN 'EUR' ELSE 'USD' END AS base,
+       'BRL' AS moeda,
+       CAST(value AS DECIMAL(18,6)) AS taxa,
+       date_trunc('second', ts) AS data_referencia
+FROM quote_src
+WHERE k <> '0' AND event_type IN ('signup', 'click', 'purchase')
+)
+""",
+    _QUOTE_CTES,
+)
+def q_quotes_appended(spark, sf_dir):
+    """Valid quotes appended to one table in two loads; the second load adds
+    a column, and the read merges the schemas (earlier rows get NULL)."""
+    path = scratch_dir(spark, "cotacoes")
+    quotes = rs.quotes_parsed(B.quote_bodies(spark, sf_dir))
+    early = F.col("data_referencia") < F.lit(QUOTE_APPEND_CUT).cast("timestamp_ntz")
+    append_layer(quotes.filter(early), path)
+    append_layer(quotes.filter(~early).withColumn("fonte", F.lit(QUOTE_SOURCE)), path)
+    base, name = path.rsplit("/", 1)
+    return read_layer(spark, base, name, merge_schema=True)

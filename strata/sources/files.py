@@ -47,6 +47,18 @@ def read_sales_csv(
     return reader.csv(path)
 
 
+def write_sales_csv(df: DataFrame, path: str) -> None:
+    """Land a frame as CSV files with a header. Blanks around text are kept
+    (the writer trims them by default), so a read gives back the same text."""
+    (
+        df.write.mode("overwrite")
+        .option("header", "true")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .csv(path)
+    )
+
+
 def read_layer(
     spark: SparkSession, base: str, name: str, fmt: str = "parquet", merge_schema: bool = False
 ) -> DataFrame:

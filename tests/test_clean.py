@@ -97,6 +97,14 @@ def test_nanos_to_timestamp(spark):
     assert got == dt.datetime(2023, 11, 14, 22, 13, 20, 123456)
 
 
+def test_nanos_to_timestamp_is_exact_and_floors(spark):
+    # 19-digit values a double cannot hold exactly, and one before 1970.
+    df = spark.createDataFrame([(1, 1_704_078_023_688_080_000), (2, 1_704_078_023_688_080_999), (3, -1)], "k int, t long")
+    got = dict(df.select("k", nanos_to_timestamp("t").cast("timestamp_ntz").alias("ts")).collect())
+    assert got[1] == got[2] == dt.datetime(2024, 1, 1, 3, 0, 23, 688080)
+    assert got[3] == dt.datetime(1969, 12, 31, 23, 59, 59, 999999)
+
+
 def test_dedupe_fixed_survivor_and_null_keys(spark):
     df = spark.createDataFrame(
         [(1, "b", 2), (1, "a", 9), (1, None, 5), (None, "x", 1), (None, "y", 0), (2, "z", 3)],
