@@ -1006,3 +1006,40 @@ def q_quotes_appended(spark, sf_dir):
     append_layer(quotes.filter(~early).withColumn("fonte", F.lit(QUOTE_SOURCE)), path)
     base, name = path.rsplit("/", 1)
     return read_layer(spark, base, name, merge_schema=True)
+
+
+# --- Schema replacement and SQL over the catalog -------------------------------
+
+from strata.sources.catalog import register_layers  # noqa: E402
+
+
+@register("overwrite_new_schema", "SELECT * FROM retail_silver", _RETAIL_CTES)
+def q_overwrite_new_schema(spark, sf_dir):
+    """A sales table first written with the raw CSV columns, then overwritten
+    by its cleaned rows (other columns and types, partitioned by year and
+    month). The newest version carries the new schema."""
+    path = scratch_dir(spark, "vendas")
+    snap.write_snapshot(B.lj_vendas_raw(spark, sf_dir), path, operation="WRITE")
+    silver = lj.silver_retail(snap.read_snapshot(spark, path))
+    snap.write_snapshot(silver, path, operation="OVERWRITE", partition_by=["ano", "mes"])
+    return snap.read_snapshot(spark, path)
+
+
+# The dashboard's top-10 as SQL text over a temporary view of the gold table.
+TOP_VIEW = "vw_vendas_produto_mensal"
+_SQL_TOP_ON_VIEW = (
+    "SELECT ano, mes, produto, receita_total FROM {table} WHERE ano = {year} "
+    "ORDER BY mes, receita_total DESC, produto LIMIT 10"
+)
+
+
+@register("top_products_sql", _SQL_TOP_ON_VIEW.format(table="retail_gold", year=YEAR), _RETAIL_CTES)
+def q_top_products_sql(spark, sf_dir):
+    """The gold table is written, registered in the ``gold`` database,
+    exposed as a temporary view and queried with SQL text."""
+    path = scratch_dir(spark, "gold_vendas_produto_mensal")
+    write_layer(_retail_gold(spark, sf_dir), path)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    register_layers(spark, {"gold": {name: path}})
+    spark.table(f"gold.{name}").createOrReplaceTempView(TOP_VIEW)
+    return spark.sql(_SQL_TOP_ON_VIEW.format(table=TOP_VIEW, year=YEAR))
