@@ -44,3 +44,14 @@ def test_issues(spark):
     assert rows == [(1, 0, "7", "Bug", "ana", "https://x/7"), (1, 1, "N/A", "Sem título", "Desconhecido", "")]
     summary = {r.rid: (r.total, r.erro) for r in rs.issues_summary(df).collect()}
     assert summary == {1: (2, None), 2: (0, None), 3: (None, "Bad credentials"), 4: (None, None)}
+
+
+def test_quote_body_parsed_once(spark):
+    """The validity filter sits above the parse: no ``from_json`` in a Filter,
+    and one parse per row in the plan."""
+    df = spark.createDataFrame([(1, '{"USDBRL": {"bid": "5.1", "create_date": "2026-04-19 16:54:00"}}')],
+                               "response_id long, body string")
+    plan = rs.quotes_parsed(df)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("from_json" in line for line in filters)
+    assert plan.count("from_json") == 1
