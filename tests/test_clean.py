@@ -129,3 +129,18 @@ def test_head_rows_explicit_order(spark):
     assert [r.k for r in head_rows(df, 5, ["k"]).collect()] == [0, 1, 2, 3, 4]
     plan = head_rows(df, 5, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_head_rows_large_n_cuts_before_the_merge(spark):
+    # NULL keys sort first; one value holds a third of the rows.
+    df = spark.range(50_000).select(
+        F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    for n in (2_000, 7_143, 7_200, 20_000, 49_999, 60_000):
+        got = head_rows(df, n, ["k", "v"])
+        ref = df.orderBy("k", "v").limit(n)
+        assert got.count() == min(n, 50_000)
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    plan = head_rows(df, 20_000, ["k", "v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "<=" in plan
