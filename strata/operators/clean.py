@@ -169,6 +169,8 @@ def _rank_cut(df: DataFrame, lead: str, n: int) -> Column | None:
     if below >= n:
         return c.isNull()
     lo, hi = int(stats["lo"]), int(stats["hi"])
+    if hi - lo >= 2**62:
+        return F.lit(True)  # bucket arithmetic could overflow a long: no cut
     while True:
         width = max(1, -(-(hi - lo + 1) // CUT_BUCKETS))
         bucket = F.call_function("div", c - F.lit(lo), F.lit(width)).alias("b")

@@ -144,3 +144,10 @@ def test_head_rows_large_n_cuts_before_the_merge(spark):
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
     plan = head_rows(df, 20_000, ["k", "v"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" in plan and "<=" in plan
+
+
+def test_head_rows_extreme_range_falls_back(spark):
+    big = 2**63 - 1
+    df = spark.createDataFrame([(-big,), (0,), (big,)] * 700, "k long")
+    got = [r.k for r in head_rows(df, 1_500, ["k"]).collect()]
+    assert got == [-big] * 700 + [0] * 700 + [big] * 100
