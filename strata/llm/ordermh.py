@@ -36,8 +36,9 @@ def with_fingerprint(df: DataFrame, text: Column, out: str, k: int = K, ell: int
     bin's number and 26 bits of the tuple's hash, below 2^(bin_bits + 26).
 
     A text of fewer than ``k`` words is one k-mer of all its words; a NULL or
-    blank text has no components. Each step is a column of its own, used more
-    than once, so that the optimiser evaluates it once.
+    blank text has no components. An array read inside a lambda is a column used
+    more than once, so that the optimiser keeps it a column and does not
+    evaluate it for each element.
     """
     base = df.columns
 
@@ -63,9 +64,10 @@ def with_fingerprint(df: DataFrame, text: Column, out: str, k: int = K, ell: int
     runs = F.transform(
         "_f", lambda a, j: F.sequence(F.lit(0), F.coalesce(F.get(F.col("_f"), j + 1), F.size("_s")) - a - 1)
     )
-    now = step(now, "_o", F.flatten(runs))
-    element = F.transform(
-        "_s", lambda x, i: pack(F.xxhash64(F.get(F.col("_kh"), pos(x)), F.get(F.col("_o"), i)), x.bitwiseAND(F.col("_m")))
+    # ``runs`` is an argument here, not read inside the lambda: the optimiser may move
+    # it in without evaluating it again for each element.
+    element = F.zip_with(
+        "_s", F.flatten(runs), lambda x, nth: pack(F.xxhash64(F.get(F.col("_kh"), pos(x)), nth), x.bitwiseAND(F.col("_m")))
     )
     now = step(now, "_g", F.sort_array(element))
 
