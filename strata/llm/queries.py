@@ -133,4 +133,89 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+_RULE_ROWS = ", ".join(f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{v}')" for r, v in URL_RULES)
+_SHOPS = "|".join(urls.SHOP_WORDS)
+
+_SQL_URLS = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+         THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS whole
+  FROM pages
+), parts AS (
+  SELECT page_id,
+         translate(regexp_extract(whole, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(whole, length(regexp_extract(whole, '^[^/]*')) + 1) AS path
+  FROM cut
+), rules(rule, rule_host, rule_path, verdict) AS (VALUES {_RULE_ROWS}),
+judged AS (
+  SELECT page_id, host, path,
+         (SELECT max_by(r.rule, length(r.rule)) FROM rules r
+          WHERE (host = r.rule_host OR ends_with(host, '.' || r.rule_host)) AND starts_with(path, r.rule_path)) AS rule
+  FROM parts
+)
+SELECT page_id, host, path, j.rule AS rule,
+       COALESCE(r.verdict, CASE WHEN regexp_matches(host || path, '\\A([^/]*[.-])?({_SHOPS})([.\\-/]|\\z)')
+                                THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN rules r ON j.rule = r.rule
+"""
+
+_SQL_MIXING = f"""
+WITH sized AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         md5(concat_ws('|', '42', COALESCE(CAST(doc_id AS VARCHAR), ''), md5(COALESCE(text, '')))) AS place
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         {MIX_WEIGHTS}[(row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(MIX_WEIGHTS)} + 1] AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT source, source_size, weight, {MIX_EPOCHS} * source_size AS cap, {MIX_EPOCHS} * source_size / weight AS ratio,
+         ({MIX_BUDGET} * sum(source_size) OVER ()
+          - COALESCE(sum({MIX_EPOCHS} * source_size) OVER (ORDER BY {MIX_EPOCHS} * source_size / weight, source
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY {MIX_EPOCHS} * source_size / weight, source
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources
+), targets AS (
+  SELECT source, source_size,
+         CAST(CASE WHEN (SELECT count(*) FROM levels WHERE level <= ratio) = 0 THEN cap
+              ELSE least(cap, weight * (SELECT min_by(level, ratio) FROM levels WHERE level <= ratio)) END AS DOUBLE) AS target
+  FROM levels
+), runs AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target,
+         CAST(CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS BIGINT) AS whole,
+         CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.doc_id
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - s.size AS start
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(whole * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - whole * source_size - start)) AS BIGINT) AS taken
+FROM runs
+"""
+
+_SQL_SEARCH = f"""
+WITH tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS term FROM documents WHERE text IS NOT NULL
+), counted AS (
+  SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY doc_id, term
+), lengths AS (
+  SELECT d.doc_id, COALESCE(sum(c.tf), 0) AS words FROM documents d LEFT JOIN counted c ON d.doc_id = c.doc_id GROUP BY d.doc_id
+), frequency AS (
+  SELECT term, count(*) AS df FROM counted GROUP BY term
+), stats AS (
+  SELECT count(*) AS n, avg(words) AS mean FROM lengths
+), scored AS (
+  SELECT q.doc_id AS query_id, c.doc_id,
+         round(sum(ln(1 + (s.n - f.df + 0.5) / (f.df + 0.5))
+                   * c.tf * {search.K1 + 1} / (c.tf + {search.K1} * ({1 - search.B} + {search.B} * l.words / s.mean))), {search.DIGITS}) AS score
+  FROM counted q JOIN counted c ON q.term = c.term AND q.doc_id % 100 = 0
+  JOIN frequency f ON f.term = c.term JOIN lengths l ON l.doc_id = c.doc_id CROSS JOIN stats s
+  GROUP BY q.doc_id, c.doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op6_url_filters": _SQL_URLS, "op7_mixing": _SQL_MIXING, "op10_top_k": _SQL_SEARCH}

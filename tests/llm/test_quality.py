@@ -1,0 +1,70 @@
+"""The quality classifier: held-out accuracy, fixed behaviour on odd rows."""
+
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from strata.llm import quality, queries
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    out = {r.doc_id: r for r in queries.op8_quality(spark, sf).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(out) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    for k, r in out.items():
+        assert r.held_out == (zlib.crc32(str(k).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    held = [(labels[k], out[k].predicted) for k in labels if out[k].held_out]
+    assert len(held) > 50 and np.mean([a == b for a, b in held]) >= 0.95
+
+
+def test_labels_of_held_out_rows_do_not_count(spark):
+    docs = spark.createDataFrame([(i, "good words here" if i % 2 else "bad !!! text") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    held = quality.held_out(F.col("doc_id"))
+    twisted = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a = quality.train(docs, labels, allowed=~held)
+    b = quality.train(docs, twisted, allowed=~held)
+    assert a[1] == b[1] and (a[0] == b[0]).all() and a[0].any()
+
+
+def test_odd_rows(spark, docs, rows, empty, clashing):
+    weights, bias = quality.train(docs, spark.createDataFrame([(0, 1), (1, 0), (None, 1), (2, None), (3, 0), (3, 1)], "doc_id long, quality int"))
+    out = quality.score(clashing.withColumn("score", F.lit("old")), weights, bias).collect()
+    assert len(out) == len(rows) and "_text" in out[0].__fields__
+    blank = {round(r.score, 12) for r in out if not (r.text or "").strip()}
+    assert len(blank) == 1  # empty texts score the share of label 1
+    by_text: dict = {}
+    for r in out:
+        by_text.setdefault(r.text, set()).add(r.score)
+    assert all(len(s) == 1 for s in by_text.values())
+    assert quality.score(empty, weights, bias).count() == 0
+    none = quality.train(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    assert {r.score for r in quality.score(docs, *none).collect()} == {0.5}
+
+
+def test_the_sample_is_bounded_and_stable(spark):
+    labels = spark.range(500).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    a = quality.sample_labels(labels, "doc_id", "quality", None, 40).collect()
+    b = quality.sample_labels(labels.repartition(7), "doc_id", "quality", None, 40).collect()
+    assert len(a) == 40 and sorted(a) == sorted(b)
+
+
+def test_features_are_scaled_and_whole():
+    at, value = quality.features("one two three " * 2000 + "last")
+    assert len(set(at.tolist())) == len(at) and abs(value @ value - 1) < 1e-9
+    with_last, without = quality.features("a b c last")[0], quality.features("a b c")[0]
+    assert set(without.tolist()) < set(with_last.tolist())
+    assert len(quality.features(None)[0]) == len(quality.features(" \n")[0]) == 0
+
+
+def test_ftrl_separates_two_classes():
+    rng = np.random.default_rng(0)
+    rows = []
+    for i in range(400):
+        at = np.unique(np.concatenate([rng.integers(0, 1000, 20), [2000 + i % 2]]))
+        rows.append((at, np.full(len(at), 1 / np.sqrt(len(at))), i % 2))
+    weights, bias = quality.FTRL().fit(rows)
+    assert weights[2001] > 0 > weights[2000] and abs(bias) < 0.1
