@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
 from strata.functions.columns import row_hash, to_date_safe, to_timestamp_ntz_safe
+from strata.session import scratch_dir
 
 
 def rename_select(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -143,62 +143,24 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
     )
 
 
-# Top-n sizes up to this are merged directly: each task sends at most this
-# many rows to the single merging task.
-DIRECT_TOP_N = 1000
-# Buckets per histogram pass of the rank cut.
-CUT_BUCKETS = 1024
-
-
-def _rank_cut(df: DataFrame, lead: str, n: int) -> Column | None:
-    """A filter on the leading (integral, ascending, NULLs first) order column
-    that keeps every one of the first ``n`` rows and at most about ``2 n``
-    rows; ``None`` when ``n`` covers the whole table.
-
-    Found with distributed histograms: each pass is a partial aggregation into
-    at most ``CUT_BUCKETS`` counts over one column, and narrows the value
-    range that holds rank ``n`` by that factor.
-    """
-    c = F.col(lead)
-    stats = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.count(c).alias("values"), F.min(c).alias("lo"), F.max(c).alias("hi")
-    ).collect()[0]
-    if n >= stats["rows"]:
-        return None
-    below = stats["rows"] - stats["values"]  # NULLs sort first
-    if below >= n:
-        return c.isNull()
-    lo, hi = int(stats["lo"]), int(stats["hi"])
-    if hi - lo >= 2**62:
-        return F.lit(True)  # bucket arithmetic could overflow a long: no cut
-    while True:
-        width = max(1, -(-(hi - lo + 1) // CUT_BUCKETS))
-        bucket = F.call_function("div", c - F.lit(lo), F.lit(width)).alias("b")
-        counts = sorted(
-            (r["b"], r["count"]) for r in df.filter(c.between(lo, hi)).groupBy(bucket).count().collect()
-        )
-        for b, cnt in counts:
-            if below + cnt >= n:
-                break
-            below += cnt
-        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
-        if width == 1 or cnt <= n:
-            return c.isNull() | (c <= F.lit(hi))
-
-
 def head_rows(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
     """First ``n`` rows in an explicit order (Spark has no file order).
 
-    A top-n merge takes up to ``n`` rows from every task into one. For a
-    large ``n`` led by an integral column in ascending order, the rows are
-    first cut to those at or below the value of rank ``n`` (exact; see
-    ``_rank_cut``), so the merge receives about ``n`` rows in all, however
-    many tasks read the table.
+    One path for every ``n`` and every column type: the rows are dealt into
+    ranges of the whole ordering key and written with their range's number; the
+    ranges are counted, and a row stays when the ranges before its own and its
+    place inside it reach at most ``n``. No task holds more than a range. Rows
+    that tie in the whole key may stand for each other.
     """
-    lead = order_by[0] if order_by else None
-    if n > DIRECT_TOP_N and isinstance(lead, str) and isinstance(df.schema[lead].dataType, IntegralType):
-        cut = _rank_cut(df, lead, n)
-        if cut is None:
-            return df.orderBy(*order_by)
-        df = df.filter(cut)
-    return df.orderBy(*order_by).limit(n)
+    spark = df.sparkSession
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    path = scratch_dir(spark, "head_rows")
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    before = counts.select("_range", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_before"))
+    needed = dealt.join(before.filter(F.col("_before") < n), "_range")
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    kept = needed.withColumn("_place", place).filter(F.col("_before") + F.col("_place") <= n)
+    return kept.select(*df.columns).orderBy(*order)

@@ -272,8 +272,11 @@ def visible_runs(visible: DataFrame, chunk: int = RUN_CHUNK) -> DataFrame:
     local = v.withColumn("_in_chunk", F.max(hidden).over(w_in))
     per_chunk = v.groupBy("subject", "_chunk").agg(F.max(hidden).alias("_chunk_last"))
     w_carry = Window.partitionBy("subject").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select("subject", "_chunk", F.max("_chunk_last").over(w_carry).alias("_carry"))
-    tagged = local.join(carry, ["subject", "_chunk"], "left")
+    carry = per_chunk.select(
+        F.col("subject").alias("_subject"), F.col("_chunk").alias("_of"), F.max("_chunk_last").over(w_carry).alias("_carry")
+    )
+    same = F.col("subject").eqNullSafe(F.col("_subject")) & (F.col("_chunk") == F.col("_of"))
+    tagged = local.join(carry, same, "left")
     return tagged.filter("visivel").select(
         "subject", "frame_no", "cx_raw", "cy_raw", F.coalesce("_in_chunk", "_carry").alias("run_start")
     )
@@ -288,13 +291,13 @@ def _smooth_partitions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
     for pdf in batches:
         n = len(pdf)
         subj = pdf["subject"].to_numpy()
-        run = pdf["run_start"].to_numpy(dtype="float64", na_value=np.nan)
+        run = pdf["run_start"].to_numpy(dtype="int64")
         rx = pdf["cx_raw"].to_numpy(dtype="int64")
         ry = pdf["cy_raw"].to_numpy(dtype="int64")
         cx = np.empty(n, dtype="int64")
         cy = np.empty(n, dtype="int64")
         for i in range(n):
-            k = (subj[i], None if np.isnan(run[i]) else run[i])
+            k = (subj[i], run[i])
             if k != key:
                 key, px, py = k, int(rx[i]), int(ry[i])
             else:
@@ -323,7 +326,10 @@ def smoothed_position(visible: DataFrame, partitions: int | None = None, materia
     keyed = runs.repartition(partitions, "subject", "run_start") if partitions else runs.repartition(
         "subject", "run_start"
     )
-    ordered = keyed.sortWithinPartitions("subject", "run_start", "frame_no")
-    return ordered.mapInPandas(
-        _smooth_partitions, "subject bigint, frame_no bigint, cx int, cy int"
+    # NULL subjects and starts go as plain integers, so frame numbers never become floats.
+    no = F.lit(-(2**63))
+    ordered = keyed.sortWithinPartitions("subject", "run_start", "frame_no").select(
+        F.coalesce("subject", no).alias("subject"), F.coalesce("run_start", no).alias("run_start"), "frame_no", "cx_raw", "cy_raw"
     )
+    out = ordered.mapInPandas(_smooth_partitions, "subject bigint, frame_no bigint, cx int, cy int")
+    return out.withColumn("subject", F.nullif("subject", no))

@@ -97,7 +97,8 @@ def _issue_array(body: str):
 
 def issues_flat(df: DataFrame, body: str = "body") -> DataFrame:
     """One row per issue of every array body: position, number, title,
-    author and URL with the listing's defaults. Error bodies give no rows."""
+    author and URL with the listing's defaults. Other bodies give no rows here
+    and one in ``issues_rejected``."""
     issues = _issue_array(body)
     keep = [c for c in df.columns if c != body]
     exploded = df.select(*keep, F.posexplode(issues).alias("posicao", "issue"))
@@ -112,13 +113,36 @@ def issues_flat(df: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+# Reasons of the rejected issue listings.
+ISSUES_NOT_JSON = "resposta não é JSON"
+ISSUES_NO_LIST = "Resposta da API não contém lista de issues"
+
+
+def _issues_reason(body: str):
+    """Why a body has no issue list (NULL when it has one): the API's own
+    message, no JSON at all, or JSON that is no list. ``variant`` parsing tells
+    malformed text from other JSON."""
+    text = F.col(body)
+    message = F.get_json_object(text, "$.message")
+    return (
+        F.when(text.isNull() | F.try_parse_json(text).isNull(), ISSUES_NOT_JSON)
+        .when(_issue_array(body).isNotNull(), F.lit(None).cast("string"))
+        .otherwise(F.coalesce(message, F.lit(ISSUES_NO_LIST)))
+    )
+
+
+def issues_rejected(df: DataFrame, body: str = "body") -> DataFrame:
+    """Bodies without an issue list, with the reason ``motivo``."""
+    keep = [c for c in df.columns if c != body]
+    return df.select(*keep, _issues_reason(body).alias("motivo")).filter(F.col("motivo").isNotNull())
+
+
 def issues_summary(df: DataFrame, body: str = "body") -> DataFrame:
-    """Per body: the issue count, or the API's error message."""
-    issues = _issue_array(body)
-    message = F.get_json_object(F.col(body), "$.message")
+    """Per body: the issue count, or the reason why there is none."""
+    reason = _issues_reason(body)
     keep = [c for c in df.columns if c != body]
     return df.select(
         *keep,
-        F.when(issues.isNotNull(), F.size(issues)).alias("total"),
-        message.alias("erro"),
+        F.when(reason.isNull(), F.size(_issue_array(body))).alias("total"),
+        reason.alias("erro"),
     )

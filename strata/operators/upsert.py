@@ -7,12 +7,15 @@ are NULL never match; two source rows for one target row are an error.
 
 One full outer join on the keys does all of it: presence flags tell matched,
 target-only and source-only rows apart (``coalesce`` alone would let a NULL in
-the source keep the old value).
+the source keep the old value). Rows with a NULL key match nothing; they stay
+out of the join, where they would all meet in one task, and are added after it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,8 +59,9 @@ def upsert(
     if check:
         check_single_match(target, source, keys)
 
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in target.columns], F.lit(True).alias("_in_t"))
-    s = source.select(*[F.col(c).alias(f"s__{c}") for c in source.columns], F.lit(True).alias("_in_s"))
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    t = target.filter(~no_key).select(*[F.col(c).alias(f"t__{c}") for c in target.columns], F.lit(True).alias("_in_t"))
+    s = source.filter(~no_key).select(*[F.col(c).alias(f"s__{c}") for c in source.columns], F.lit(True).alias("_in_s"))
     cond = None
     for k in keys:
         eq = F.col(f"t__{k}") == F.col(f"s__{k}")
@@ -76,7 +80,8 @@ def upsert(
         else:
             expr = F.when(in_t, tc).otherwise(sc)
         out.append(expr.alias(c))
-    return joined.select(*out)
+    unmatched = target.filter(no_key).unionByName(source.filter(no_key).select(*target.columns))
+    return joined.select(*out).unionByName(unmatched)
 
 
 def merge_into_layer(
@@ -90,6 +95,4 @@ def merge_into_layer(
     and write the result as the next version. Returns the version written."""
     from strata.sources.snapshots import merge_snapshot
 
-    return merge_snapshot(
-        df, path, lambda current, new: upsert(current, new, keys, update_cols), partition_by=partition_by
-    )
+    return merge_snapshot(df, path, keys, update_cols, partition_by=partition_by)

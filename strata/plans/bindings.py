@@ -19,41 +19,9 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one test table.
-
-    The scan (file listing and footer schema, not data) is built once per
-    session and path: the test tables are read-only, and every query plan
-    that uses the table starts from the same DataFrame. Data is read by each
-    execution as usual.
-
-    The large fact table is hash-spread over the session's cores on its key
-    when its scan has fewer splits than cores (the test files are one row
-    group each, so everything before the first shuffle would run in one
-    task). Hash rather than round-robin: a round-robin repartition sorts every
-    row first so that a retried task sends the same rows to the same place;
-    hashing a column is deterministic without that sort. A real input of many
-    files and row groups has splits enough and is left as it is.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cached = _SCANS.get((id(spark), path))
-    if cached is not None and cached.sparkSession is spark:
-        return cached
-    df = spark.read.parquet(path)
-    key = SPREAD_TABLES.get(name)
-    if key is not None:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores, key)
-    _SCANS[(id(spark), path)] = df
-    return df
-
-
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
-
-# Test tables big enough for spreading a single-split scan to pay off, with
-# the column to spread on (a key of at most seven rows).
-SPREAD_TABLES = {"lineitem": "l_orderkey"}
+    """Scan one test table, as it lies: splits are the reader's (``bench.py`` and
+    the session set its options), and no plan depends on the table's size."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- Orders pipeline: customers, orders ------------------------------------
@@ -139,14 +107,17 @@ def pm_produtos(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pm_vendas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vendas(id, cliente_id, produto_id, quantidade, valor_total, data_venda)
     from lineitem: id = orderkey*10 + linenumber (the test data repeats some),
-    client = supplier, product = part; NULL client for quantity 50 on line 7."""
+    client = supplier, product = part; NULL client for quantity 50 on line 7,
+    NULL product for quantity 49 on line 6."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.when((F.col("l_quantity") == 50) & (F.col("l_linenumber") == 7), F.lit(None).cast("bigint"))
         .otherwise(F.col("l_suppkey"))
         .alias("cliente_id"),
-        F.col("l_partkey").alias("produto_id"),
+        F.when((F.col("l_quantity") == 49) & (F.col("l_linenumber") == 6), F.lit(None).cast("bigint"))
+        .otherwise(F.col("l_partkey"))
+        .alias("produto_id"),
         F.col("l_quantity").cast("int").alias("quantidade"),
         F.col("l_extendedprice").cast("decimal(10,2)").alias("valor_total"),
         F.to_date("l_shipdate").alias("data_venda"),

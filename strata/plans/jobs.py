@@ -8,13 +8,14 @@ or a plain Parquet layer, written once; counts come from the write itself.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.upsert import merge_into_layer
 from strata.plans import orders as lh
 from strata.plans import retail as lj
 from strata.plans import sales as pm
 from strata.sources.files import write_layer
-from strata.sources.snapshots import read_snapshot, write_snapshot
+from strata.sources.snapshots import path_exists, read_snapshot, write_snapshot
 from strata.streaming import streams as st
 
 
@@ -50,8 +51,8 @@ def run_daily_sales(
     )}
     for name, df in (("clientes", clientes), ("produtos", produtos), ("vendas", vendas)):
         write_layer(df, paths[f"bronze/{name}"])
-    c = pm.clean_dim_clientes(spark.read.parquet(paths["bronze/clientes"]), nanos=nanos)
-    p = pm.clean_dim_produtos(spark.read.parquet(paths["bronze/produtos"]), nanos=nanos)
+    c = pm.silver_dimension(spark.read.parquet(paths["bronze/clientes"]), "clientes", nanos=nanos)
+    p = pm.silver_dimension(spark.read.parquet(paths["bronze/produtos"]), "produtos", nanos=nanos)
     write_layer(c, paths["silver/clientes"])
     write_layer(p, paths["silver/produtos"])
     fact = pm.enrich_sales(spark.read.parquet(paths["bronze/vendas"]), c, p)
@@ -65,7 +66,8 @@ def run_retail(
     spark: SparkSession, raw: DataFrame, base: str, trigger: dict | None = None, wait: bool = True
 ) -> dict[str, str]:
     """Retail: bronze snapshot of the raw sales, silver appended partitioned by
-    (ano, mes), gold product-month kept by a complete-mode stream."""
+    (ano, mes), gold product-month kept by a complete-mode stream. Repeatable: a
+    run appends only the orders that silver does not have."""
     paths = {
         "bronze": f"{base}/bronze/vendas",
         "silver": f"{base}/silver/vendas_silver",
@@ -74,6 +76,11 @@ def run_retail(
     }
     write_snapshot(raw, paths["bronze"], operation="WRITE")
     silver = lj.silver_retail(read_snapshot(spark, paths["bronze"]))
+    if path_exists(spark, paths["silver"]):
+        # Only orders that silver does not have yet (a NULL id is one key, as in the
+        # deduplication), so a second run on the same input adds nothing.
+        had = spark.read.parquet(paths["silver"]).select(F.col("id_pedido").alias("_had"))
+        silver = silver.join(had, F.col("id_pedido").eqNullSafe(F.col("_had")), "left_anti")
     write_layer(silver, paths["silver"], partition_by=["ano", "mes"], mode="append")
     stream = st.table_stream(spark, paths["silver"], spark.read.parquet(paths["silver"]).schema)
     query = st.start_complete(

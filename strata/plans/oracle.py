@@ -51,7 +51,7 @@ FROM part
 BINDINGS["pm_vendas"] = """
 SELECT l_orderkey * 10 + l_linenumber AS id,
        CASE WHEN l_quantity = 50 AND l_linenumber = 7 THEN NULL ELSE l_suppkey END AS cliente_id,
-       l_partkey AS produto_id,
+       CASE WHEN l_quantity = 49 AND l_linenumber = 6 THEN NULL ELSE l_partkey END AS produto_id,
        CAST(l_quantity AS INTEGER) AS quantidade,
        CAST(l_extendedprice AS DECIMAL(10,2)) AS valor_total,
        CAST(l_shipdate AS DATE) AS data_venda

@@ -51,37 +51,34 @@ def _as_of_date(as_of: dt.date | str | Column | None) -> Column:
     return F.lit(as_of if isinstance(as_of, str) else as_of.isoformat()).cast("date")
 
 
+# Columns of the enriched orders that come from the two tables.
+ENRICHED_COLUMNS = ["id", "customer_id", "order_date", "amount", "status", "customer_name", "country"]
+
+
 def enrich_orders(
     orders: DataFrame,
     customers_clean: DataFrame,
     as_of: dt.date | str | Column | None = None,
     threshold: float = HIGH_VALUE_THRESHOLD,
-    stamp: bool = False,
+    stamp: bool | Column = False,
 ) -> DataFrame:
-    """Inner join on ``customer_id = id`` with the customer side pruned to
-    ``id, name, country``; adds ``order_age_days`` and ``is_high_value``.
+    """Orders of known customers, with the customer's name and country, the age
+    of the order and the high-value flag.
 
-    Orders of dropped customers and orders with a NULL customer fall out.
+    The join is an inner one: orders of dropped customers and orders with a
+    NULL customer fall out.
     """
-    o = orders.alias("o")
-    c = customers_clean.select("id", "name", "country").alias("c")
-    out = o.join(c, F.col("o.customer_id") == F.col("c.id"), "inner").select(
-        F.col("o.id").alias("id"),
-        F.col("o.customer_id").alias("customer_id"),
-        F.col("o.order_date").alias("order_date"),
-        F.col("o.amount").alias("amount"),
-        F.col("o.status").alias("status"),
-        F.col("c.name").alias("customer_name"),
-        F.col("c.country").alias("country"),
-    )
+    names = {"id": "customer_id", "name": "customer_name"}
+    known = customers_clean.select(*[F.col(c).alias(names.get(c, c)) for c in ("id", "name", "country")])
+    out = orders.join(known, "customer_id").select(*ENRICHED_COLUMNS)
     out = out.withColumns(
         {
             "order_age_days": F.datediff(_as_of_date(as_of), F.to_date("order_date")),
             "is_high_value": high_value_flag("amount", threshold),
         }
     )
-    if stamp:
-        out = out.withColumn("_silver_ts", F.current_timestamp())
+    if stamp is not False:
+        out = out.withColumn("_silver_ts", F.current_timestamp() if stamp is True else stamp)
     return out
 
 

@@ -159,7 +159,8 @@ _SALES_CTES = {
 
 
 def _dims(spark, sf_dir):
-    return pm.clean_dim_clientes(B.pm_clientes(spark, sf_dir)), pm.clean_dim_produtos(B.pm_produtos(spark, sf_dir))
+    clientes = pm.silver_dimension(B.pm_clientes(spark, sf_dir), "clientes")
+    return clientes, pm.silver_dimension(B.pm_produtos(spark, sf_dir), "produtos")
 
 
 def _sales_enriched(spark, sf_dir, null_safe=False):
@@ -410,14 +411,29 @@ def q_top_products(spark, sf_dir):
 HEAD_ROWS = 300_000
 
 
-@register(
-    "head_rows",
-    f"SELECT * FROM lj_vendas_raw ORDER BY id_pedido, {_RAW_ORDER} LIMIT {HEAD_ROWS}",
-)
+def _sql_head(n: int) -> str:
+    return f"SELECT * FROM lj_vendas_raw ORDER BY id_pedido, {_RAW_ORDER} LIMIT {n}"
+
+
+@register("head_rows", _sql_head(HEAD_ROWS))
 def q_head_rows(spark, sf_dir):
     return head_rows(B.lj_vendas_raw(spark, sf_dir), HEAD_ROWS, _RAW_COLS)
 
 
+# A cut inside every test table, and the preview of five rows.
+HEAD_CUT, PREVIEW_ROWS = 3_000, 5
+
+
+@register("head_rows_cut", _sql_head(HEAD_CUT))
+def q_head_rows_cut(spark, sf_dir):
+    return head_rows(B.lj_vendas_raw(spark, sf_dir), HEAD_CUT, _RAW_COLS)
+
+
+@register("preview_rows", _sql_head(PREVIEW_ROWS))
+def q_preview_rows(spark, sf_dir):
+    return head_rows(B.lj_vendas_raw(spark, sf_dir), PREVIEW_ROWS, _RAW_COLS)
+
+
 @register(
     "row_counts",
     """
@@ -432,17 +448,33 @@ def q_row_counts(spark, sf_dir):
     return lj.layer_counts(raw, lj.silver_retail(raw))
 
 
+# Tables, keys and amounts of the three-table scan.
+SCANNED = {
+    "customer": ("c_custkey", "c_acctbal"),
+    "orders": ("o_orderkey", "o_totalprice"),
+    "lineitem": ("l_orderkey", "l_extendedprice"),
+}
+
+
 @register(
     "scan_parquet",
-    "SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01'",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {k} AS row_key, {v} AS amount FROM {t}" for t, (k, v) in SCANNED.items()
+    ),
 )
 def q_scan_parquet(spark, sf_dir):
+    """Three whole tables, two columns read of each."""
+    from functools import reduce
+
     from strata.sources.files import read_layer
 
-    li = read_layer(spark, sf_dir, "lineitem.parquet")
-    return li.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).select(
-        "l_orderkey", "l_partkey", "l_extendedprice"
-    )
+    scans = [
+        read_layer(spark, sf_dir, f"{t}.parquet").select(
+            F.lit(t).alias("table_name"), F.col(k).alias("row_key"), F.col(v).alias("amount")
+        )
+        for t, (k, v) in SCANNED.items()
+    ]
+    return reduce(DataFrame.unionByName, scans)
 
 
 # --- Upsert and versioned layers ---------------------------------------------
@@ -458,25 +490,28 @@ FIRST_LOAD_BEFORE = "1999-01-01"
 SECOND_LOAD_FROM = "1998-01-01"
 
 _SQL_LOADS = {
-    "load_first": f"SELECT * FROM orders_enriched WHERE order_date < DATE '{FIRST_LOAD_BEFORE}'",
+    "load_first": f"""
+SELECT * REPLACE (CASE WHEN customer_id % 97 = 0 THEN NULL ELSE id END AS id)
+FROM orders_enriched WHERE order_date < DATE '{FIRST_LOAD_BEFORE}'
+""",
     "load_second": f"""
-SELECT id, customer_id, order_date,
+SELECT CASE WHEN customer_id % 97 = 0 THEN NULL ELSE id END AS id, customer_id, order_date,
        CASE WHEN status IS NULL THEN NULL ELSE amount END AS amount,
        CASE WHEN status = 'pending' THEN 'completed' ELSE status END AS status,
        customer_name, country, order_age_days, is_high_value
 FROM orders_enriched WHERE order_date >= DATE '{SECOND_LOAD_FROM}' OR order_date IS NULL
 """,
     "merged": """
-SELECT CASE WHEN t.id IS NOT NULL THEN t.id ELSE s.id END AS id,
-       CASE WHEN s.id IS NOT NULL THEN s.customer_id ELSE t.customer_id END AS customer_id,
-       CASE WHEN s.id IS NOT NULL THEN s.order_date ELSE t.order_date END AS order_date,
-       CASE WHEN s.id IS NOT NULL THEN s.amount ELSE t.amount END AS amount,
-       CASE WHEN s.id IS NOT NULL THEN s.status ELSE t.status END AS status,
-       CASE WHEN s.id IS NOT NULL THEN s.customer_name ELSE t.customer_name END AS customer_name,
-       CASE WHEN s.id IS NOT NULL THEN s.country ELSE t.country END AS country,
-       CASE WHEN s.id IS NOT NULL THEN s.order_age_days ELSE t.order_age_days END AS order_age_days,
-       CASE WHEN s.id IS NOT NULL THEN s.is_high_value ELSE t.is_high_value END AS is_high_value
-FROM load_first t FULL OUTER JOIN load_second s ON t.id = s.id
+SELECT COALESCE(t.id, s.id) AS id,
+       CASE WHEN s._in THEN s.customer_id ELSE t.customer_id END AS customer_id,
+       CASE WHEN s._in THEN s.order_date ELSE t.order_date END AS order_date,
+       CASE WHEN s._in THEN s.amount ELSE t.amount END AS amount,
+       CASE WHEN s._in THEN s.status ELSE t.status END AS status,
+       CASE WHEN s._in THEN s.customer_name ELSE t.customer_name END AS customer_name,
+       CASE WHEN s._in THEN s.country ELSE t.country END AS country,
+       CASE WHEN s._in THEN s.order_age_days ELSE t.order_age_days END AS order_age_days,
+       CASE WHEN s._in THEN s.is_high_value ELSE t.is_high_value END AS is_high_value
+FROM load_first t FULL OUTER JOIN (SELECT *, true AS _in FROM load_second) s ON t.id = s.id
 """,
 }
 _LOAD_CTES = {**_ORDERS_CTES, **_SQL_LOADS}
@@ -484,6 +519,8 @@ _LOAD_CTES = {**_ORDERS_CTES, **_SQL_LOADS}
 
 def _order_loads(spark, sf_dir):
     enriched = _orders_enriched(spark, sf_dir)
+    # Some ids are NULL: such rows match nothing and must survive.
+    enriched = enriched.withColumn("id", F.when(F.col("customer_id") % 97 != 0, F.col("id")))
     first = enriched.filter(F.col("order_date") < F.lit(FIRST_LOAD_BEFORE).cast("date"))
     second = enriched.filter(
         (F.col("order_date") >= F.lit(SECOND_LOAD_FROM).cast("date")) | F.col("order_date").isNull()
@@ -606,8 +643,7 @@ from strata.sources import synthetic as syn  # noqa: E402
 
 def _sql_synthetic(key: str = "o_orderkey", seed: int = 42) -> str:
     def d(stream: int) -> str:
-        off = seed + stream * 7919
-        return f"(((({key} + {off}) % 2147483648) * 1103515245 + 12345) % 2147483648 // 65536)"
+        return f"CAST('0x' || substr(md5(concat_ws(':', CAST({key} AS VARCHAR), '{seed}', '{stream}')), 1, 8) AS BIGINT)"
 
     def lst(vals) -> str:
         return "[" + ", ".join(repr(v) if isinstance(v, str) else str(v) for v in vals) + "]"
@@ -622,7 +658,7 @@ SELECT {key} AS id_pedido,
        strftime(DATE '{syn.FIRST_DAY}' + CAST({d(5)} % {syn.N_DAYS} AS INTEGER), '%Y-%m-%d') AS data_pedido,
        lpad(CAST({d(6)} % 15 + 8 AS VARCHAR), 2, '0') || ':' || lpad(CAST({d(7)} % 60 AS VARCHAR), 2, '0') || ':00'
          AS hora_pedido,
-       ({d(8)} * 32768 + {d(12)}) % {syn.N_CLIENTS} + 1 AS cliente_id,
+       {d(8)} % {syn.N_CLIENTS} + 1 AS cliente_id,
        {d(9)} % {syn.N_SHOPS} + 1 AS loja_id,
        {lst([p[0] for p in syn.PRODUCTS])}[{prod} + 1] AS produto,
        CAST(CAST({price} AS DECIMAL(10,0)) * 0.01 AS DECIMAL(10,2)) AS preco_unitario,
@@ -892,6 +928,14 @@ def q_issues_flat(spark, sf_dir):
     return rs.issues_flat(B.issue_bodies(spark, sf_dir))
 
 
+@register(
+    "issues_rejected",
+    "SELECT conv_id, turn, 'Bad credentials' AS motivo FROM conversations WHERE role = 'system'",
+)
+def q_issues_rejected(spark, sf_dir):
+    return rs.issues_rejected(B.issue_bodies(spark, sf_dir))
+
+
 @register(
     "issues_summary",
     """
@@ -1010,7 +1054,7 @@ def q_quotes_appended(spark, sf_dir):
 
 # --- Schema replacement and SQL over the catalog -------------------------------
 
-from strata.sources.catalog import register_layers  # noqa: E402
+from strata.sources.catalog import layer_tables, register_layers  # noqa: E402
 
 
 @register("overwrite_new_schema", "SELECT * FROM retail_silver", _RETAIL_CTES)
@@ -1039,7 +1083,103 @@ def q_top_products_sql(spark, sf_dir):
     exposed as a temporary view and queried with SQL text."""
     path = scratch_dir(spark, "gold_vendas_produto_mensal")
     write_layer(_retail_gold(spark, sf_dir), path)
-    name = path.rsplit("/", 1)[-1].replace("-", "_")
-    register_layers(spark, {"gold": {name: path}})
-    spark.table(f"gold.{name}").createOrReplaceTempView(TOP_VIEW)
+    _register_fresh(spark, "gold", {"vendas_produto_mensal": path})
+    spark.table("gold.vendas_produto_mensal").createOrReplaceTempView(TOP_VIEW)
     return spark.sql(_SQL_TOP_ON_VIEW.format(table=TOP_VIEW, year=YEAR))
+
+
+def _register_fresh(spark, db: str, tables: dict[str, str]) -> None:
+    """Register tables under fixed names, in place of an earlier call's."""
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}") if spark.catalog.databaseExists(db) else None
+    register_layers(spark, {db: tables})
+
+
+@register(
+    "catalog_layers",
+    """
+SELECT 'versioned' AS layer, country AS part, count(*) AS n_rows FROM merged GROUP BY country
+UNION ALL
+SELECT 'partitioned' AS layer, CAST(ano AS VARCHAR) AS part, count(*) AS n_rows FROM retail_silver GROUP BY ano
+""",
+    {**_LOAD_CTES, **_RETAIL_CTES},
+)
+def q_catalog_layers(spark, sf_dir):
+    """A versioned layer of two versions and a partitioned one, read through the
+    catalog with SQL."""
+    parted = scratch_dir(spark, "vendas_silver")
+    write_layer(_retail_silver(spark, sf_dir), parted, partition_by=["ano", "mes"])
+    tables = {"pedidos_enriquecidos": _orders_layer(spark, sf_dir), "vendas_silver": parted}
+    _register_fresh(spark, "silver", tables)
+    return spark.sql(
+        "SELECT 'versioned' AS layer, country AS part, count(*) AS n_rows FROM silver.pedidos_enriquecidos GROUP BY country "
+        "UNION ALL SELECT 'partitioned', CAST(ano AS STRING), count(*) FROM silver.vendas_silver GROUP BY ano"
+    )
+
+
+@register(
+    "catalog_listing",
+    "SELECT 'listing' AS database, t AS table_name, 'EXTERNAL' AS table_type FROM (VALUES ('lineitem'), ('orders')) v(t)",
+)
+def q_catalog_listing(spark, sf_dir):
+    """The test tables registered as layers of one database, and its listing."""
+    base = sf_dir.rstrip("/")
+    _register_fresh(spark, "listing", {t: f"{base}/{t}.parquet" for t in ("lineitem", "orders")})
+    return layer_tables(spark, ["listing"])
+
+
+# --- Newest-month defaults, stamps, required columns, file counts ----------------
+
+_SQL_NEWEST = "ano = (SELECT max(ano) FROM retail_gold) AND mes = (SELECT max(mes) FROM retail_gold)"
+
+
+@register("month_slice_newest", f"SELECT * FROM retail_gold WHERE {_SQL_NEWEST}", _RETAIL_CTES)
+def q_month_slice_newest(spark, sf_dir):
+    return lj.month_slice(_retail_gold(spark, sf_dir))
+
+
+STAMP = "2024-05-06 07:08:09"
+
+
+@register("layer_stamps", f"SELECT *, TIMESTAMP '{STAMP}' AS _silver_ts FROM orders_enriched", _ORDERS_CTES)
+def q_layer_stamps(spark, sf_dir):
+    """Enriched orders with the layer's stamp at a fixed time, and the columns
+    that the next layer requires checked."""
+    from strata.operators.clean import require_columns
+
+    customers = lh.clean_customers(B.lh_customers(spark, sf_dir))
+    stamp = F.lit(STAMP).cast("timestamp_ntz")
+    out = lh.enrich_orders(B.lh_orders(spark, sf_dir), customers, as_of=AS_OF, stamp=stamp)
+    return require_columns(out, [*lh.ENRICHED_COLUMNS, "_silver_ts"])
+
+
+LAYER_FILES = 3
+
+
+@register(
+    "layer_files",
+    f"SELECT CAST({LAYER_FILES} AS BIGINT) AS n_files, (SELECT count(*) FROM orders) AS n_rows",
+)
+def q_layer_files(spark, sf_dir):
+    """Orders written with a fixed number of files, counted from what lies there."""
+    path = scratch_dir(spark, "pedidos_arquivos")
+    write_layer(B.table(spark, sf_dir, "orders"), path, files=LAYER_FILES)
+    back = spark.read.parquet(path)
+    return back.agg(
+        F.countDistinct(F.col("_metadata.file_path")).alias("n_files"), F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+@register(
+    "retail_runs_twice",
+    "SELECT produto, ano, mes, quantidade_total FROM retail_gold",
+    _RETAIL_CTES,
+)
+def q_retail_runs_twice(spark, sf_dir):
+    """The retail job run twice on the same input: its gold is that of one run."""
+    from strata.plans import jobs
+
+    base, raw = scratch_dir(spark, "retail_job"), B.lj_vendas_raw(spark, sf_dir)
+    jobs.run_retail(spark, raw, base)
+    paths = jobs.run_retail(spark, raw, base)
+    return snap.read_snapshot(spark, paths["gold"]).select("produto", "ano", "mes", "quantidade_total")

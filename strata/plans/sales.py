@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import nanos_to_timestamp, safe_ratio
-from strata.operators.clean import ordered_columns, rename_select
-from strata.session import ensure_checkpoint_dir
+from strata.operators.clean import ordered_columns
 
 # Column order of the enriched sales fact.
 SALES_COLUMN_ORDER = [
@@ -27,50 +26,39 @@ SALES_COLUMN_ORDER = [
     "produto_criado_em",
 ]
 
-# Dimensions at most this many rows are broadcast (checked, not assumed).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def _as_timestamp(col: str, nanos: bool):
-    return nanos_to_timestamp(col) if nanos else F.col(col)
-
-
-def clean_dim_clientes(clientes: DataFrame, nanos: bool = False) -> DataFrame:
-    """Silver names; ``nanos`` when ``criado_em`` is a long of nanoseconds."""
-    df = rename_select(
-        clientes, {"id": "cliente_id", "nome": "cliente_nome", "email": "cliente_email", "criado_em": "cliente_criado_em"}
-    )
-    return df.withColumn("cliente_criado_em", _as_timestamp("cliente_criado_em", nanos))
-
-
-def clean_dim_produtos(produtos: DataFrame, nanos: bool = False) -> DataFrame:
-    df = rename_select(
-        produtos,
-        {
-            "id": "produto_id",
-            "nome": "produto_nome",
-            "categoria": "produto_categoria",
-            "preco": "produto_preco",
-            "criado_em": "produto_criado_em",
-        },
-    )
-    return df.withColumns(
-        {
-            "produto_criado_em": _as_timestamp("produto_criado_em", nanos),
-            "produto_preco": F.col("produto_preco").try_cast("double"),
-        }
-    )
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; stops reading after
-    ``max_rows + 1``, so the check costs at most that much."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _dim_join(fact: DataFrame, dim: DataFrame, key: str, null_safe: bool, broadcast_max_rows: int | None):
-    if broadcast_max_rows is not None and bounded_rows(dim, broadcast_max_rows):
-        dim = F.broadcast(dim)
+# Fixed values: (source column, silver name, cast) of the two dimensions.
+DIMENSIONS = {
+    "clientes": [
+        ("id", "cliente_id", None),
+        ("nome", "cliente_nome", None),
+        ("email", "cliente_email", None),
+        ("criado_em", "cliente_criado_em", "stamp"),
+    ],
+    "produtos": [
+        ("id", "produto_id", None),
+        ("nome", "produto_nome", None),
+        ("categoria", "produto_categoria", None),
+        ("preco", "produto_preco", "double"),
+        ("criado_em", "produto_criado_em", "stamp"),
+    ],
+}
+
+
+def silver_dimension(df: DataFrame, name: str, nanos: bool = False) -> DataFrame:
+    """The dimension ``name`` of ``DIMENSIONS`` with its silver names and casts;
+    ``nanos`` when its time stamps are longs of nanoseconds."""
+    out = []
+    for source, silver, cast in DIMENSIONS[name]:
+        value = F.col(source)
+        if cast == "stamp":
+            value = nanos_to_timestamp(source) if nanos else value
+        elif cast:
+            value = value.try_cast(cast)
+        out.append(value.alias(silver))
+    return df.select(*out)
+
+
+def _dim_join(fact: DataFrame, dim: DataFrame, key: str, null_safe: bool) -> DataFrame:
     if not null_safe:
         return fact.join(dim, on=key, how="left")
     renamed = dim.withColumnRenamed(key, f"_dim_{key}")
@@ -83,14 +71,12 @@ def enrich_sales(
     clientes_sl: DataFrame,
     produtos_sl: DataFrame,
     null_safe: bool = False,
-    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Sales fact with both dimensions, left-joined.
 
-    Each dimension is broadcast only after its row count is proven under
-    ``broadcast_max_rows``; otherwise Catalyst/AQE choose (shuffle join, or
-    broadcast when the measured size is under the threshold). ``null_safe``
-    matches NULL keys to NULL keys (the pandas-merge behaviour).
+    No hint: Catalyst and AQE broadcast a dimension when its bytes are under the
+    session's threshold and shuffle both sides beyond it. ``null_safe`` matches
+    NULL keys to NULL keys (the pandas-merge behaviour).
     """
     df = vendas.select(
         F.col("id").alias("venda_id"),
@@ -100,8 +86,8 @@ def enrich_sales(
         F.col("valor_total").try_cast("double").alias("valor_total"),
         F.try_to_date(F.col("data_venda")).alias("data_venda"),
     )
-    df = _dim_join(df, clientes_sl, "cliente_id", null_safe, broadcast_max_rows)
-    df = _dim_join(df, produtos_sl, "produto_id", null_safe, broadcast_max_rows)
+    df = _dim_join(df, clientes_sl, "cliente_id", null_safe)
+    df = _dim_join(df, produtos_sl, "produto_id", null_safe)
     return ordered_columns(df, SALES_COLUMN_ORDER)
 
 
@@ -110,10 +96,11 @@ def daily_sales(silver: DataFrame) -> DataFrame:
     sales and average ticket (NULL when there is no sale).
 
     Money is summed as decimal and cast back to double: the exact sum, the
-    same whatever order the rows arrive in.
+    same whatever order the rows arrive in. An amount that is no such decimal
+    (too large, NaN, infinite) counts as NULL.
     """
     base = silver.groupBy("data_venda", "cliente_id", "produto_id").agg(
-        F.sum(F.col("valor_total").cast("decimal(18,2)")).cast("double").alias("total_vendas_dia"),
+        F.sum(F.col("valor_total").try_cast("decimal(18,2)")).cast("double").alias("total_vendas_dia"),
         F.sum("quantidade").cast("bigint").alias("qtd_itens_dia"),
         F.countDistinct("venda_id").alias("qtd_vendas_dia"),
     )
@@ -123,50 +110,51 @@ def daily_sales(silver: DataFrame) -> DataFrame:
     )
 
 
-def daily_growth(fact: DataFrame, materialize: bool = True) -> DataFrame:
+def daily_growth(fact: DataFrame) -> DataFrame:
     """Previous row's total per product, in (data_venda, cliente_id) order,
     and the growth against it (NULL when there is no previous row or it is 0).
-
-    The lag is split in two so no task holds a whole product: one window over
-    each product-day gives the previous client's total and the day's last
-    total; the first row of a day takes the last total of the product's
-    previous day, from a table with one row per product-day (bounded by the
-    calendar, not by the data). With ``materialize`` the windowed fact is
-    checkpointed to the shared checkpoint folder, so the two branches of the
-    join read it instead of evaluating the upstream plan twice.
+    A NULL product is a product of its own, and so is a NULL day a day.
+
+    The lag is split in two so no task holds a whole product: inside a
+    product-day a window gives the previous client's total; the first row of a
+    day takes the last total of the product's previous day. Those day totals
+    come from a partial aggregate with one row per product-day (bounded by the
+    calendar, not by the data). Window, aggregate and join share the hash
+    partitioning on the product-day, which is why NULLs are made plain keys
+    first.
     """
-    order = F.col("cliente_id").asc_nulls_first()
-    w_day = Window.partitionBy("produto_id", "data_venda").orderBy(order)
-    w_day_all = w_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    with_day = fact.withColumns(
+    keyed = fact.withColumns(
         {
-            "_prev_in_day": F.lag("total_vendas_dia").over(w_day),
-            "_first_in_day": F.row_number().over(w_day) == 1,
-            "_day_total": F.last("total_vendas_dia").over(w_day_all),
+            "_no_p": F.col("produto_id").isNull(),
+            "_p": F.coalesce("produto_id", F.lit(0)),
+            "_no_d": F.col("data_venda").isNull(),
+            "_d": F.coalesce("data_venda", F.lit("1970-01-01").cast("date")),
         }
     )
-    if materialize:
-        ensure_checkpoint_dir(fact.sparkSession)
-        with_day = with_day.checkpoint(eager=True)
-    w_prod = Window.partitionBy("produto_id").orderBy("data_venda")
-    prev_day = with_day.filter("_first_in_day").select(
-        "produto_id", "data_venda", F.lag("_day_total").over(w_prod).alias("_prev_day_total")
-    )
-    joined = with_day.join(prev_day, ["produto_id", "data_venda"], "left")
-    prev = F.when(F.col("_first_in_day"), F.col("_prev_day_total")).otherwise(F.col("_prev_in_day"))
-    out = joined.withColumn("total_vendas_dia_anterior", prev).withColumn(
-        "crescimento_vs_dia_anterior",
-        safe_ratio(F.col("total_vendas_dia") - F.col("total_vendas_dia_anterior"), F.col("total_vendas_dia_anterior")),
+    day = ["_no_p", "_p", "_no_d", "_d"]
+    last_client = F.struct(F.col("cliente_id").isNotNull(), "cliente_id")
+    totals = keyed.groupBy(*day).agg(F.max_by("total_vendas_dia", last_client).alias("_total"))
+    per_product = Window.partitionBy("_no_p", "_p").orderBy(F.col("_no_d").desc(), "_d")
+    before = totals.select(*day, F.lag("_total").over(per_product).alias("_day_before"))
+    in_day = Window.partitionBy(*day).orderBy(F.col("cliente_id").asc_nulls_first())
+    placed = keyed.withColumns(
+        {"_client_before": F.lag("total_vendas_dia").over(in_day), "_place": F.row_number().over(in_day)}
     )
-    return out.select(*fact.columns, "total_vendas_dia_anterior", "crescimento_vs_dia_anterior")
+    joined = placed.join(before, day)
+    previous = F.when(F.col("_place") == 1, F.col("_day_before")).otherwise(F.col("_client_before"))
+    return _with_growth(joined.withColumn("total_vendas_dia_anterior", previous), fact.columns)
+
+
+def _with_growth(df: DataFrame, columns: list[str]) -> DataFrame:
+    before = F.col("total_vendas_dia_anterior")
+    growth = safe_ratio(F.col("total_vendas_dia") - before, before)
+    return df.select(*columns, before, growth.alias("crescimento_vs_dia_anterior"))
 
 
 def daily_growth_single_window(fact: DataFrame) -> DataFrame:
     """The same result with one window over the whole product (the plain
     form: fewer stages, but a product's rows all go to one task)."""
     w = Window.partitionBy("produto_id").orderBy("data_venda", F.col("cliente_id").asc_nulls_first())
-    prev = F.lag("total_vendas_dia").over(w)
-    return fact.withColumn("total_vendas_dia_anterior", prev).withColumn(
-        "crescimento_vs_dia_anterior",
-        safe_ratio(F.col("total_vendas_dia") - F.col("total_vendas_dia_anterior"), F.col("total_vendas_dia_anterior")),
+    return _with_growth(
+        fact.withColumn("total_vendas_dia_anterior", F.lag("total_vendas_dia").over(w)), fact.columns
     )

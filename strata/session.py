@@ -9,6 +9,7 @@ tables, stream sinks, checkpoints) go below the folder the cluster names in
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,7 @@ from pyspark.sql import SparkSession
 BROADCAST_THRESHOLD_BYTES = 50 * 1024 * 1024
 
 _REBASE_CONFS = {
+    "spark.sql.legacy.parquet.nanosAsLong": "true",  # files with nanosecond timestamps read as longs
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
     "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",
@@ -61,6 +63,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         # Unset: only in tests and local runs. Take a fresh folder of our own.
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)

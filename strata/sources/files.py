@@ -70,6 +70,14 @@ def read_layer(
     return reader.load(f"{base.rstrip('/')}/{name}")
 
 
+def read_nanos_layer(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet whose nanosecond timestamps are read as longs (nanoseconds since
+    the epoch; ``nanos_to_timestamp`` converts them). Spark has no reader option
+    for it, so the session's setting is switched on."""
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    return spark.read.parquet(path)
+
+
 def _layout(df: DataFrame, partition_by: Sequence[str], files: int | None, shuffle: bool) -> DataFrame:
     if files is None:
         # AQE rebalance: small partitions merged, skewed ones split, so each

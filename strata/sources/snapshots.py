@@ -2,10 +2,15 @@
 
 A table at ``path`` holds one directory per version, ``snapshot_version=<n>``,
 and a small append-only history table ``_history`` with one row per commit:
-``version, committed_at, operation, num_rows, schema_json``. The data is
-written first and the history row after it, so the history row is the commit
-mark: a version whose write failed half-way is never visible. Each version
-keeps its own schema (schema replacement on overwrite).
+``version, committed_at, operation, num_rows, schema_json, txn, parts_json``.
+The data is written first and the history row after it, so the history row is
+the commit mark: a version whose write failed half-way is never visible. Each
+version keeps its own schema (schema replacement on overwrite).
+
+A partitioned version also lists its partitions' directories (``parts_json``).
+A merge rewrites only the partitions it touches; for the others the new version
+lists the directories that an older version wrote. Old versions are therefore
+never removed by themselves.
 """
 
 from __future__ import annotations
@@ -13,20 +18,43 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.operators.upsert import upsert
+from strata.session import scratch_dir
 from strata.sources.files import write_layer
 
 HISTORY_DIR = "_history"
 
 _HISTORY_SCHEMA = (
-    "version bigint, committed_at timestamp, operation string, num_rows bigint, schema_json string"
+    "version bigint, committed_at timestamp, operation string, num_rows bigint, schema_json string, "
+    "txn string, parts_json string"
 )
 
 
+@dataclass(frozen=True)
+class Part:
+    """One partition directory: its columns, their values as text (None: NULL)
+    and its location below the table's path."""
+
+    columns: tuple[str, ...]
+    values: tuple[str | None, ...]
+    location: str
+
+
+@dataclass(frozen=True)
+class Commit:
+    version: int
+    num_rows: int
+    schema: StructType
+    parts: tuple[Part, ...]
+
+
 def _history_path(path: str) -> str:
     return f"{path.rstrip('/')}/{HISTORY_DIR}"
 
@@ -52,26 +80,54 @@ def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     return hist.orderBy(F.col("version").desc())
 
 
-def _commit_row(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, str] | None:
-    """``(version, schema_json)`` of the newest commit, or of ``version``;
-    ``None`` when there is none. One small job over the history table, whose
-    size is the number of commits, not of data rows."""
+def _commit(spark: SparkSession, path: str, version: int | None = None, txn: str | None = None) -> Commit | None:
+    """The newest commit, or that of ``version`` or ``txn``; ``None`` when there
+    is none. One small job over the history table, whose size is the number
+    of commits, not of data rows."""
     if not path_exists(spark, _history_path(path)):
         return None
     hist = snapshot_history(spark, path)
     if version is not None:
         hist = hist.filter(F.col("version") == version)
-    rows = hist.select("version", "schema_json").limit(1).collect()
-    return None if not rows else (int(rows[0]["version"]), rows[0]["schema_json"])
+    if txn is not None:
+        hist = hist.filter(F.col("txn") == txn)
+    rows = hist.select("version", "num_rows", "schema_json", "parts_json").limit(1).collect()
+    if not rows:
+        return None
+    r = rows[0]
+    parts = [Part(tuple(p["columns"]), tuple(p["values"]), p["location"]) for p in json.loads(r["parts_json"] or "[]")]
+    return Commit(int(r["version"]), int(r["num_rows"]), StructType.fromJson(json.loads(r["schema_json"])), tuple(parts))
 
 
 def has_snapshot(spark: SparkSession, path: str) -> bool:
-    return _commit_row(spark, path) is not None
+    return _commit(spark, path) is not None
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
-    row = _commit_row(spark, path)
-    return None if row is None else row[0]
+    row = _commit(spark, path)
+    return None if row is None else row.version
+
+
+def _written_parts(spark: SparkSession, path: str, version: int) -> list[Part]:
+    """The partition directories of a version just written, from its folder
+    names (as many as there are partitions)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(_version_path(path, version))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    found: list[Part] = []
+
+    def walk(folder, part: Part) -> None:
+        below = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not below and part.columns:
+            found.append(part)
+        for child in below:
+            name, _, value = child.getName().partition("=")
+            text = None if value == "__HIVE_DEFAULT_PARTITION__" else unescape(value)
+            walk(child, Part((*part.columns, unescape(name)), (*part.values, text), f"{part.location}/{child.getName()}"))
+
+    walk(root, Part((), (), f"snapshot_version={version}"))
+    return found
 
 
 def _write_version(
@@ -81,20 +137,25 @@ def _write_version(
     operation: str,
     partition_by: Sequence[str] | None,
     files: int | None,
+    txn: str | None = None,
+    kept: Sequence[Part] = (),
+    kept_rows: int = 0,
 ) -> int:
     """Write the data of ``version``, then append its history row (the commit
     mark). The row count comes from an observed metric of the write itself,
-    so the data is computed once."""
+    so the data is computed once. ``kept`` are partitions of older versions,
+    with ``kept_rows`` rows, that belong to this one unchanged."""
     spark = df.sparkSession
     obs = Observation(f"snapshot_{version}_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("num_rows"))
     write_layer(observed, _version_path(path, version), partition_by=partition_by, files=files)
-    num_rows = int(obs.get["num_rows"])
+    num_rows = int(obs.get["num_rows"]) + kept_rows
+    parts = [*kept, *(_written_parts(spark, path, version) if partition_by else [])]
     commit = spark.createDataFrame(
-        [(version, operation, num_rows, df.schema.json())],
-        "version bigint, operation string, num_rows bigint, schema_json string",
+        [(version, operation, num_rows, df.schema.json(), txn, json.dumps([asdict(p) for p in parts]))],
+        "version bigint, operation string, num_rows bigint, schema_json string, txn string, parts_json string",
     ).select(
-        "version", F.current_timestamp().alias("committed_at"), "operation", "num_rows", "schema_json"
+        "version", F.current_timestamp().alias("committed_at"), "operation", "num_rows", "schema_json", "txn", "parts_json"
     )
     commit.coalesce(1).write.mode("append").parquet(_history_path(path))
     return version
@@ -106,25 +167,35 @@ def write_snapshot(
     operation: str = "WRITE",
     partition_by: Sequence[str] | None = None,
     files: int | None = None,
-    version: int | None = None,
+    txn: str | None = None,
 ) -> int:
-    """Write ``df`` as the next version (or as ``version``) and commit it;
-    returns the version. With an explicit ``version`` that is already
-    committed nothing is written, so replaying a stream batch is idempotent.
+    """Write ``df`` as the next version and commit it; returns the version.
+
+    ``txn`` names the write. One that is already committed under that name is
+    evaluated and thrown away (a replayed stream batch has to be consumed, or
+    its state is not stored), and its version is returned.
     """
     spark = df.sparkSession
-    if version is None:
-        latest = latest_version(spark, path)
-        version = 0 if latest is None else latest + 1
-    elif _commit_row(spark, path, version) is not None:
-        return version  # already committed: a replayed batch is a no-op
-    return _write_version(df, path, version, operation, partition_by, files)
-
-
-def _read_version(spark: SparkSession, path: str, version: int, schema_json: str) -> DataFrame:
-    schema = StructType.fromJson(json.loads(schema_json))
-    df = spark.read.schema(schema).parquet(_version_path(path, version))
-    return df.select(*schema.fieldNames())
+    if txn is not None:
+        done = _commit(spark, path, txn=txn)
+        if done is not None:
+            df.write.format("noop").mode("overwrite").save()
+            return done.version
+    latest = latest_version(spark, path)
+    version = 0 if latest is None else latest + 1
+    return _write_version(df, path, version, operation, partition_by, files, txn)
+
+
+def _read_commit(spark: SparkSession, path: str, commit: Commit, parts: Sequence[Part] | None = None) -> DataFrame:
+    """The rows of a commit, or of some of its partitions."""
+    if not commit.parts:
+        df = spark.read.schema(commit.schema).parquet(_version_path(path, commit.version))
+    else:
+        places = [f"{path.rstrip('/')}/{p.location}" for p in (commit.parts if parts is None else parts)]
+        if not places:
+            return spark.createDataFrame([], commit.schema)
+        df = spark.read.schema(commit.schema).option("basePath", path).parquet(*places)
+    return df.select(*commit.schema.fieldNames())
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -133,28 +204,58 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
     The stored schema restores column order and types, partition columns
     included.
     """
-    row = _commit_row(spark, path, version)
+    row = _commit(spark, path, version)
     if row is None:
         if version is None:
             raise FileNotFoundError(f"no committed snapshot at {path}")
         raise ValueError(f"version {version} is not in the history of {path}")
-    return _read_version(spark, path, *row)
+    return _read_commit(spark, path, row)
+
+
+def version_layout(spark: SparkSession, path: str, version: int) -> tuple[StructType, list[Part], str]:
+    """Schema, partitions (absolute locations) and folder of a committed version."""
+    row = _commit(spark, path, version)
+    if row is None:
+        raise ValueError(f"version {version} is not in the history of {path}")
+    base = path.rstrip("/")
+    return row.schema, [replace(p, location=f"{base}/{p.location}") for p in row.parts], _version_path(path, version)
 
 
 def merge_snapshot(
     df: DataFrame,
     path: str,
-    merge,
+    keys: Sequence[str],
+    update_cols: Sequence[str] | None = None,
     operation: str = "MERGE",
     partition_by: Sequence[str] | None = None,
     files: int | None = None,
 ) -> int:
-    """First load writes version 0; later loads write ``merge(newest, df)`` as
-    the next version. The history is read once for the decision, the read
-    and the version number."""
+    """First load writes version 0; later loads upsert ``df`` into the newest
+    version and commit the result as the next one.
+
+    The source is evaluated once, into the shared scratch folder. Of a
+    partitioned table only the partitions that a matched row lies in, or that a
+    source row goes to, are read and written again; the next version takes the
+    directories of the rest as they are. What reaches the driver is a list of
+    partition values.
+    """
     spark = df.sparkSession
-    row = _commit_row(spark, path)
-    if row is None:
+    commit = _commit(spark, path)
+    if commit is None:
         return _write_version(df, path, 0, "WRITE", partition_by, files)
-    current = _read_version(spark, path, *row)
-    return _write_version(merge(current, df), path, row[0] + 1, operation, partition_by, files)
+    place = scratch_dir(spark, "merge-source")
+    df.write.parquet(place)
+    source = spark.read.schema(df.schema).parquet(place)
+    kept: list[Part] = []
+    touched = list(commit.parts)
+    if commit.parts and tuple(partition_by or ()) == commit.parts[0].columns:
+        columns = list(commit.parts[0].columns)
+        matched = _read_commit(spark, path, commit).join(source.select(*keys), list(keys), "left_semi")
+        values = reduce(DataFrame.unionByName, [d.select(*[F.col(c).cast("string") for c in columns]) for d in (matched, source)])
+        hit = {tuple(r) for r in values.distinct().collect()}
+        touched = [p for p in commit.parts if p.values in hit]
+        kept = [p for p in commit.parts if p.values not in hit]
+    target = _read_commit(spark, path, commit, touched)
+    rows_kept = commit.num_rows - target.count() if kept else 0
+    merged = upsert(target, source, keys, update_cols)
+    return _write_version(merged, path, commit.version + 1, operation, partition_by, files, None, kept, rows_kept)

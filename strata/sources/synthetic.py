@@ -1,7 +1,7 @@
 """Synthetic retail sales rows, one per key of an input frame.
 
-Every field is an integer-arithmetic draw from the row's key and a seed (no
-driver loop, no random state), so the generator runs on all executors, is
+Every field is a draw by md5 from the row's key, a seed and the field's number
+(no driver loop, no random state), so the generator runs on all executors, is
 reproducible, and can be re-computed in SQL.
 """
 
@@ -35,16 +35,14 @@ N_CLIENTS = 50_000
 N_SHOPS = 50
 N_CITIES = 500
 
-_MOD = 2**31
-_MUL = 1103515245
-_INC = 12345
 
 
 def draw(key_col: str, seed: int, stream: int) -> Column:
-    """15-bit pseudo-random draw number ``stream`` for the key (0..32767):
-    one linear-congruential step on ``key + seed + 7919 * stream``, high bits."""
-    offset = seed + stream * 7919
-    return F.expr(f"pmod(pmod({key_col} + {offset}, {_MOD}) * {_MUL} + {_INC}, {_MOD}) div 65536")
+    """Pseudo-random draw number ``stream`` for the key (0 to 2^32 - 1): the
+    leading 32 bits of the md5 of key, seed and stream, so that draws of one
+    key, and of neighbouring keys, are independent."""
+    text = F.concat_ws(":", F.col(key_col).cast("string"), F.lit(str(seed)), F.lit(str(stream)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
 def _pick(values: list, idx: Column) -> Column:
@@ -67,7 +65,7 @@ def synthetic_sales(keys: DataFrame, key_col: str, seed: int = 42) -> DataFrame:
             "data_pedido"
         ),
         F.format_string("%02d:%02d:00", draw(kc, seed, 6) % 15 + 8, draw(kc, seed, 7) % 60).alias("hora_pedido"),
-        ((draw(kc, seed, 8) * 32768 + draw(kc, seed, 12)) % N_CLIENTS + 1).alias("cliente_id"),
+        (draw(kc, seed, 8) % N_CLIENTS + 1).alias("cliente_id"),
         (draw(kc, seed, 9) % N_SHOPS + 1).alias("loja_id"),
         _pick([p[0] for p in PRODUCTS], prod).alias("produto"),
         (price_cents.cast("decimal(10,0)") * cents).cast("decimal(10,2)").alias("preco_unitario"),

@@ -3,9 +3,9 @@
 * JSON file source with an explicit schema and a files-per-trigger limit.
 * Streaming read of an append-only layer table.
 * Append sink to Parquet with a checkpoint (exactly-once file sink).
-* Complete-mode sink through ``foreachBatch``: each batch rewrites the whole
-  result as a snapshot version equal to the batch id, so a replayed batch is a
-  no-op and readers only ever see committed versions.
+* Complete-mode sink through ``foreachBatch``: each batch writes the whole
+  result as the next snapshot version, committed under (query id, batch id), so
+  a replayed batch changes nothing and readers only ever see committed versions.
 
 Triggers are parameters: ``{"processingTime": "30 seconds"}`` for a running
 service, ``{"availableNow": True}`` to drain what is there and stop (tests,
@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from strata.operators.clean import with_ingest_meta
 from strata.sources.snapshots import write_snapshot
 
-# Order event records; every field nullable, so a malformed field becomes NULL
+# Order event records; every field nullable, so a malformed field becomes NULL
 # and the record is kept (PERMISSIVE parsing).
 ORDER_EVENT_SCHEMA = StructType(
     [
@@ -115,10 +115,18 @@ def start_complete(
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Complete-mode aggregate written as one snapshot version per batch (the
-    Parquet sink itself accepts append mode only)."""
+    Parquet sink itself accepts append mode only).
+
+    A batch is committed under (query id, batch id). One that is already in the
+    history (a crash between that commit and the stream's own) is evaluated
+    without being written, so its state is stored and nothing changes; a query
+    with a new checkpoint has a new id, and its batches become the next
+    versions.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_snapshot(batch, path, operation="STREAMING UPDATE", version=batch_id)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_snapshot(batch, path, operation="STREAMING UPDATE", txn=f"{query_id}/{batch_id}")
 
     writer = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write_batch)
     if query_name:
@@ -133,6 +141,12 @@ def run_until_done(query: StreamingQuery, timeout_s: float | None = None) -> Non
         raise RuntimeError(str(query.exception()))
 
 
+def wait_for_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
+    """Block until any of the session's streams ends, raising its error if it
+    failed; False when ``timeout_s`` ran out first."""
+    return spark.streams.awaitAnyTermination(timeout_s) is not False
+
+
 def event_time_ntz(df: DataFrame, col: str = "event_time") -> DataFrame:
     """Back to wall-clock (NTZ) for output: the inverse of the session-zone
     parse of the JSON text."""

@@ -38,12 +38,16 @@ def test_issues(spark):
         (2, "[]"),
         (3, json.dumps({"message": "Bad credentials"})),
         (4, "not json"),
+        (5, "{}"),
+        (6, None),
     ]
     df = spark.createDataFrame(bodies, "rid long, body string")
     rows = [(r.rid, r.posicao, r.numero, r.titulo, r.autor, r.url) for r in rs.issues_flat(df).orderBy("rid", "posicao").collect()]
     assert rows == [(1, 0, "7", "Bug", "ana", "https://x/7"), (1, 1, "N/A", "Sem título", "Desconhecido", "")]
     summary = {r.rid: (r.total, r.erro) for r in rs.issues_summary(df).collect()}
-    assert summary == {1: (2, None), 2: (0, None), 3: (None, "Bad credentials"), 4: (None, None)}
+    assert summary == {1: (2, None), 2: (0, None), 3: (None, "Bad credentials"), 4: (None, rs.ISSUES_NOT_JSON), 5: (None, rs.ISSUES_NO_LIST), 6: (None, rs.ISSUES_NOT_JSON)}
+    rejected = {r.rid: r.motivo for r in rs.issues_rejected(df).collect()}
+    assert rejected == {k: why for k, (n, why) in summary.items() if n is None}
 
 
 def test_quote_body_parsed_once(spark):

@@ -24,7 +24,7 @@ def dims(spark):
         [(1, "Produto A", "Categoria 1", Decimal("100.00"), TS), (2, "Produto B", "Categoria 2", Decimal("150.00"), TS)],
         "id long, nome string, categoria string, preco decimal(10,2), criado_em timestamp_ntz",
     )
-    return pm.clean_dim_clientes(clientes), pm.clean_dim_produtos(produtos)
+    return pm.silver_dimension(clientes, "clientes"), pm.silver_dimension(produtos, "produtos")
 
 
 V_SCHEMA = "id long, cliente_id long, produto_id long, quantidade int, valor_total decimal(10,2), data_venda date"
@@ -46,11 +46,18 @@ def test_enrich_seed_rows(spark, dims):
     assert nullsafe[4].cliente_nome == "Sem id"  # NULL matches NULL (pandas merge)
 
 
-def test_broadcast_only_when_bounded(spark, dims):
+def test_dimension_joins_carry_no_hint(spark, dims):
     vendas = spark.createDataFrame([(1, 1, 1, 2, Decimal("200.00"), D(2024, 1, 1))], V_SCHEMA)
-    plan = pm.enrich_sales(vendas, *dims)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    assert pm.bounded_rows(dims[0], 3) and not pm.bounded_rows(dims[0], 2)
+    plan = pm.enrich_sales(vendas, *dims)._jdf.queryExecution().analyzed().toString()
+    assert "UnresolvedHint" not in plan and "ResolvedHint" not in plan
+
+
+def test_money_that_is_no_decimal_counts_as_null(spark):
+    silver = spark.createDataFrame(
+        [(1, D(2024, 1, 1), 1, 1, 2, 1e30), (2, D(2024, 1, 1), 1, 1, 1, float("nan")), (3, D(2024, 1, 1), 1, 1, 1, 2.5)],
+        "venda_id long, data_venda date, cliente_id long, produto_id long, quantidade int, valor_total double",
+    )
+    assert pm.daily_sales(silver).first().total_vendas_dia == 2.5
 
 
 def _fact(spark, rows):
@@ -92,11 +99,11 @@ def test_growth_ties_first_rows_and_zero(spark):
 
 
 def test_two_level_lag_equals_single_window_on_skewed_data(spark):
-    # Product 1 holds most rows; gaps between days; several clients per day.
+    # Product 1 holds most rows, a fifth have no product; gaps between days; several clients per day.
     base = spark.range(0, 3000).select(
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 97 * 3).cast("int")).alias("data_venda"),
         (F.col("id") % 13).alias("cliente_id"),
-        F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise(F.col("id") % 5).cast("long").alias("produto_id"),
+        F.when(F.col("id") % 10 < 6, F.lit(1)).when(F.col("id") % 10 > 7, F.col("id") % 5).cast("long").alias("produto_id"),
         (F.col("id") * 1.5).alias("total_vendas_dia"),
     ).dropDuplicates(["data_venda", "cliente_id", "produto_id"])
     fact = base.select("*", F.lit(1).cast("long").alias("qtd_itens_dia"), F.lit(1).cast("long").alias("qtd_vendas_dia"),

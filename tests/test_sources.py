@@ -1,11 +1,18 @@
 """Sources and catalog: JDBC (embedded in-memory Derby, in this JVM only),
 catalog registration, synthetic sales."""
 
+import datetime as dt
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from strata.sources.catalog import layer_tables, register_layers
-from strata.sources.files import append_layer, read_jdbc, read_layer, write_layer
+from strata.functions.columns import nanos_to_timestamp
+from strata.sources.files import append_layer, read_jdbc, read_layer, read_nanos_layer, write_layer
+from strata.sources.snapshots import write_snapshot
 from strata.sources.synthetic import synthetic_sales
 
 DERBY = "jdbc:derby:memory:strata_test;create=true"
@@ -34,6 +41,69 @@ def test_register_layers_is_repeatable(spark, tmp_dir):
     assert spark.sql("SELECT count(*) FROM orders_view").collect()[0][0] == 5
 
 
+def test_catalog_reads_partitioned_and_versioned_layers(spark, tmp_dir):
+    parted, versioned = f"{tmp_dir}/parted", f"{tmp_dir}/versioned"
+    rows = spark.range(10).withColumn("kind", (F.col("id") % 3).cast("string"))
+    write_layer(rows, parted, partition_by=["kind"])
+    write_snapshot(rows.filter("id < 7"), versioned, partition_by=["kind"])
+    tables = {"bronze": {"parted": parted, "versioned": versioned}}
+    assert register_layers(spark, tables) == ["bronze.parted", "bronze.versioned"]
+    assert spark.sql("SELECT count(*) FROM bronze.parted WHERE kind = '0'").first()[0] == 4
+    assert spark.sql("SELECT count(*), count(DISTINCT kind) FROM bronze.versioned").first() == (7, 3)
+    write_snapshot(rows.withColumn("more", F.lit(1)), versioned)
+    write_layer(rows.withColumn("kind", F.lit("9")), parted, partition_by=["kind"], mode="append")
+    assert register_layers(spark, tables) == ["bronze.versioned"]  # a newer version; new partitions are recovered
+    assert spark.sql("SELECT count(*), sum(more) FROM bronze.versioned").first() == (10, 10)
+    assert spark.sql("SELECT count(*) FROM bronze.parted").first()[0] == 20
+
+
+def test_catalog_does_not_hide_damaged_layers(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/bad")
+    with open(f"{tmp_dir}/bad/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt|FAILED_READ"):
+        register_layers(spark, {"bronze": {"bad": f"{tmp_dir}/bad"}})
+
+
+def test_nanosecond_parquet_reads_as_longs(spark, tmp_dir):
+    stamp = 1_700_000_000_123_456_789
+    table = pa.table({"id": [1, 2], "t": pa.array([stamp, None], pa.timestamp("ns"))})
+    pq.write_table(table, f"{tmp_dir}/ns.parquet", version="2.6")
+    df = read_nanos_layer(spark, f"{tmp_dir}/ns.parquet")
+    assert dict(df.dtypes)["t"] == "bigint"
+    got = df.orderBy("id").select(nanos_to_timestamp("t").cast("timestamp_ntz").alias("t")).collect()
+    assert [r.t for r in got] == [dt.datetime(2023, 11, 14, 22, 13, 20, 123456), None]
+
+
+def test_unset_checkpoint_folder_is_an_error_off_local_masters(monkeypatch):
+    from strata import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    Session.conf = type("Conf", (), {"get": lambda self, key, default=None: default})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session())
+
+
+def test_synthetic_fields_are_independent(spark):
+    df = synthetic_sales(spark.range(20_000).withColumnRenamed("id", "k"), "k")
+    # 10 products x 10 quantities x 4 payments x 50 shops: 20,000 cells, of which an
+    # independent draw fills about 1 - 1/e.
+    cells = df.select("produto", "quantidade", "metodo_pagamento", "loja_id").distinct().count()
+    assert 12_300 < cells < 13_000
+    assert df.select("produto", "quantidade").distinct().count() == 100
+    body = [c for c in df.columns if c != "id_pedido"]
+    assert df.select(*body).distinct().count() > 19_990
+
+
 def test_append_and_merge_schema(spark, tmp_dir):
     path = f"{tmp_dir}/quotes"
     append_layer(spark.createDataFrame([(1, "USD")], "id long, base string"), path)

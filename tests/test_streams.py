@@ -66,6 +66,38 @@ def test_complete_mode_product_month_equals_batch(spark, tmp_dir):
     assert ops == {"STREAMING UPDATE"}
 
 
+def _gold(spark, src, gold, ckpt):
+    stream = st.table_stream(spark, src, "k long, v long")
+    q = st.start_complete(stream.groupBy("k").agg(F.sum("v").alias("v")), gold, ckpt, trigger={"availableNow": True})
+    st.run_until_done(q)
+    return sorted(map(tuple, snap.read_snapshot(spark, gold).collect()))
+
+
+def test_complete_sink_replays_and_new_checkpoints(spark, tmp_dir):
+    src, gold, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/gold", f"{tmp_dir}/ck"
+    spark.createDataFrame([(1, 1)], "k long, v long").write.parquet(src)
+    assert _gold(spark, src, gold, ckpt) == [(1, 1)]
+    # A crash after the snapshot's commit and before the stream's own.
+    os.remove(f"{ckpt}/commits/0")
+    if os.path.exists(f"{ckpt}/commits/.0.crc"):
+        os.remove(f"{ckpt}/commits/.0.crc")
+    assert _gold(spark, src, gold, ckpt) == [(1, 1)]
+    assert snap.snapshot_history(spark, gold).count() == 1
+    spark.createDataFrame([(1, 100), (2, 5)], "k long, v long").write.mode("append").parquet(src)
+    assert _gold(spark, src, gold, ckpt) == [(1, 101), (2, 5)]
+    # A new checkpoint on the same gold: its batches are the next versions.
+    assert _gold(spark, src, gold, f"{tmp_dir}/ck2") == [(1, 101), (2, 5)]
+    assert snap.snapshot_history(spark, gold).count() == 3
+
+
+def test_wait_for_any_stream(spark, tmp_dir):
+    spark.createDataFrame([(1, 1)], "k long, v long").write.parquet(f"{tmp_dir}/src")
+    spark.streams.resetTerminated()
+    q = st.start_append(st.table_stream(spark, f"{tmp_dir}/src", "k long, v long"), f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                        trigger={"availableNow": True})
+    assert st.wait_for_any(spark, 60) and not q.isActive
+
+
 def test_smoothing_stream_equals_batch(spark, tmp_dir):
     feats = lm.frame_features(B.landmark_frames(spark, SF_SMALL), B.landmarks(spark, SF_SMALL))
     visible = lm.visible_frames(feats)
