@@ -148,14 +148,16 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     links = next_keys(rows.drop("text"))
     key = ["absent", "id", "th"]
-    own = with_fingerprint(rows, F.col("text"), "fp").repartition(*key)
+    # Both sides below read the same columns of ``own``, so that Spark computes and
+    # shuffles it once (the length is counted again rather than carried).
+    own = with_fingerprint(rows.drop("n_chars"), F.col("text"), "fp").repartition(*key)
     given = own.join(links, key).select(
         F.col("to_absent").alias("absent"), F.col("to_id").alias("id"), F.col("to_th").alias("th"),
         F.substring("text", F.lit(1), (F.col("to_n") / 3).cast("int")).alias("patch"),
         F.col("fp").alias("next_fp"),
     )
     given = given.groupBy(*key).agg(F.first("patch").alias("patch"), F.first("next_fp").alias("next_fp"))
-    joined = own.join(given, key)
+    joined = own.join(given, key).withColumn("n_chars", F.length("text").cast("long"))
     cut = (F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.col("patch"))
     both = joined.select("absent", "id", "n_chars", "fp", "next_fp", edited.alias("edited"))
