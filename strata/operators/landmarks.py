@@ -9,8 +9,10 @@ group (a fixed number of landmarks), whatever the skew across subjects.
 
 The smoothing of the palm position is a sequential recurrence (truncation at
 each step). Runs of visible frames are found with a two-level scan, so no
-task holds a whole subject, and each run is smoothed in frame order by a
-streaming pass over sorted partitions: O(1) state, one Arrow batch in memory.
+task holds a whole subject, and a run is smoothed in chunks of frames: each
+chunk is first summarised as the map from its incoming position to its last
+one, the maps are chained, and the chunks are then smoothed side by side. All
+passes stream over sorted partitions, one Arrow batch in memory.
 """
 
 from __future__ import annotations
@@ -278,33 +280,98 @@ def visible_runs(visible: DataFrame, chunk: int = RUN_CHUNK) -> DataFrame:
     same = F.col("subject").eqNullSafe(F.col("_subject")) & (F.col("_chunk") == F.col("_of"))
     tagged = local.join(carry, same, "left")
     return tagged.filter("visivel").select(
-        "subject", "frame_no", "cx_raw", "cy_raw", F.coalesce("_in_chunk", "_carry").alias("run_start")
+        "subject", "frame_no", "cx_raw", "cy_raw", F.coalesce("_in_chunk", "_carry").alias("run_start"),
+        F.col("_chunk").alias("chunk"),
     )
 
 
+def _step(raw, position):
+    """One smoothing step, truncating: a number, or an array of positions."""
+    return np.trunc(SMOOTH_ALPHA * raw + (1 - SMOOTH_ALPHA) * position)
+
+
+class _ChunkMap:
+    """The map from a chunk's incoming position, any whole number in [low, high],
+    to its last one. The step is monotone, so the map is a staircase: ``ends``
+    and the least start that reaches each. Steps contract, so after a few frames
+    only a stair or two are left."""
+
+    def __init__(self, low: int, high: int):
+        self.starts = np.arange(low, high + 1)
+        self.ends = self.starts.astype("float64")
+
+    def step(self, raw: int) -> None:
+        self.ends = _step(raw, self.ends)
+        if len(self.ends) > 1:
+            new = np.concatenate(([True], self.ends[1:] != self.ends[:-1]))
+            self.starts, self.ends = self.starts[new], self.ends[new]
+
+
+CHUNK_MAP_SCHEMA = (
+    "subject bigint, run_start bigint, chunk bigint, first_x bigint, first_y bigint, "
+    "starts_x array<bigint>, ends_x array<bigint>, starts_y array<bigint>, ends_y array<bigint>"
+)
+
+
+def _chunk_maps(batches: Iterator[pd.DataFrame], low: int, high: int) -> Iterator[pd.DataFrame]:
+    """One row per chunk over rows sorted by (subject, run_start, chunk,
+    frame_no): its first raw position and the maps of both coordinates."""
+    key, maps, done = None, None, []
+
+    def row():
+        (x, y), first = maps, firsts
+        return (*key, *first, x.starts.tolist(), x.ends.astype("int64").tolist(), y.starts.tolist(), y.ends.astype("int64").tolist())
+
+    names = [c.split()[0] for c in CHUNK_MAP_SCHEMA.split(", ")]
+    for pdf in batches:
+        for *k, rx, ry in zip(*(pdf[c].to_numpy() for c in ("subject", "run_start", "chunk", "cx_raw", "cy_raw"))):
+            k = tuple(map(int, k))
+            if k != key:
+                if key is not None:
+                    done.append(row())
+                key, maps, firsts = k, (_ChunkMap(low, high), _ChunkMap(low, high)), (int(rx), int(ry))
+            maps[0].step(rx)
+            maps[1].step(ry)
+        if done:
+            yield pd.DataFrame(done, columns=names)
+            done = []
+    if key is not None:
+        yield pd.DataFrame([row()], columns=names)
+
+
+def _chain_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The incoming position of each chunk, over chunk maps sorted by (subject,
+    run_start, chunk). A run's first chunk comes in at its own first raw
+    position: a step from a position to itself stays there."""
+    run, x, y = None, 0, 0
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples(index=False):
+            if (r.subject, r.run_start) != run:
+                run, x, y = (r.subject, r.run_start), r.first_x, r.first_y
+            out.append((r.subject, r.run_start, r.chunk, x, y))
+            x = int(r.ends_x[np.searchsorted(r.starts_x, x, side="right") - 1])
+            y = int(r.ends_y[np.searchsorted(r.starts_y, y, side="right") - 1])
+        yield pd.DataFrame(out, columns=["subject", "run_start", "chunk", "in_x", "in_y"])
+
+
 def _smooth_partitions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Exponential smoothing per run over rows sorted by (subject, run_start,
-    frame_no); the first frame of a run keeps its value, every later one is
+    """Exponential smoothing over rows sorted by (subject, run_start, chunk,
+    frame_no), from each chunk's incoming position: every frame is
     ``int(0.25 * raw + 0.75 * previous)``. State carries across batches."""
     key = None
     px = py = 0
     for pdf in batches:
-        n = len(pdf)
-        subj = pdf["subject"].to_numpy()
-        run = pdf["run_start"].to_numpy(dtype="int64")
-        rx = pdf["cx_raw"].to_numpy(dtype="int64")
-        ry = pdf["cy_raw"].to_numpy(dtype="int64")
-        cx = np.empty(n, dtype="int64")
-        cy = np.empty(n, dtype="int64")
-        for i in range(n):
-            k = (subj[i], run[i])
+        keys = list(zip(pdf["subject"], pdf["run_start"], pdf["chunk"]))
+        rx, ry = pdf["cx_raw"].to_numpy(dtype="int64"), pdf["cy_raw"].to_numpy(dtype="int64")
+        in_x, in_y = pdf["in_x"].to_numpy(), pdf["in_y"].to_numpy()
+        cx, cy = np.empty(len(pdf), dtype="int64"), np.empty(len(pdf), dtype="int64")
+        for i, k in enumerate(keys):
             if k != key:
-                key, px, py = k, int(rx[i]), int(ry[i])
-            else:
-                px = int(SMOOTH_ALPHA * rx[i] + (1 - SMOOTH_ALPHA) * px)
-                py = int(SMOOTH_ALPHA * ry[i] + (1 - SMOOTH_ALPHA) * py)
-            cx[i], cy[i] = px, py
-        yield pd.DataFrame({"subject": subj, "frame_no": pdf["frame_no"].to_numpy(), "cx": cx, "cy": cy})
+                key, px, py = k, int(in_x[i]), int(in_y[i])
+            cx[i] = px = int(SMOOTH_ALPHA * rx[i] + (1 - SMOOTH_ALPHA) * px)
+            cy[i] = py = int(SMOOTH_ALPHA * ry[i] + (1 - SMOOTH_ALPHA) * py)
+        yield pd.DataFrame({"subject": pdf["subject"], "frame_no": pdf["frame_no"], "cx": cx, "cy": cy})
 
 
 def ship_by_value(module_name: str) -> None:
@@ -313,23 +380,32 @@ def ship_by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
-def smoothed_position(visible: DataFrame, partitions: int | None = None, materialize: bool = True) -> DataFrame:
+def smoothed_position(visible: DataFrame, materialize: bool = True, chunk: int = RUN_CHUNK) -> DataFrame:
     """Smoothed palm position per visible frame, restarting after every frame
-    where the hand is gone or closed."""
+    where the hand is gone or closed. A run is as many tasks as it has chunks of
+    ``chunk`` frame numbers."""
     ship_by_value(__name__)
     if materialize:
-        # One small row per frame; both branches of the run scan read it
-        # instead of re-running the landmark pivot.
+        # One small row per frame; the branches below read it instead of re-running
+        # the landmark pivot.
         ensure_checkpoint_dir(visible.sparkSession)
         visible = visible.checkpoint(eager=True)
-    runs = visible_runs(visible)
-    keyed = runs.repartition(partitions, "subject", "run_start") if partitions else runs.repartition(
-        "subject", "run_start"
-    )
     # NULL subjects and starts go as plain integers, so frame numbers never become floats.
     no = F.lit(-(2**63))
-    ordered = keyed.sortWithinPartitions("subject", "run_start", "frame_no").select(
-        F.coalesce("subject", no).alias("subject"), F.coalesce("run_start", no).alias("run_start"), "frame_no", "cx_raw", "cy_raw"
+    by = ["subject", "run_start", "chunk"]
+    runs = visible_runs(visible, chunk).select(
+        F.coalesce("subject", no).alias("subject"), F.coalesce("run_start", no).alias("run_start"),
+        "chunk", "frame_no", F.col("cx_raw").cast("bigint"), F.col("cy_raw").cast("bigint"),
+    )
+    low, high = runs.agg(F.min(F.least("cx_raw", "cy_raw")), F.max(F.greatest("cx_raw", "cy_raw"))).first()
+    low, high = low or 0, high or 0
+    dealt = runs.repartition(*by)
+    maps = dealt.sortWithinPartitions(*by, "frame_no").mapInPandas(lambda b: _chunk_maps(b, low, high), CHUNK_MAP_SCHEMA)
+    incoming = (
+        maps.repartition("subject", "run_start")
+        .sortWithinPartitions(*by)
+        .mapInPandas(_chain_chunks, "subject bigint, run_start bigint, chunk bigint, in_x bigint, in_y bigint")
     )
-    out = ordered.mapInPandas(_smooth_partitions, "subject bigint, frame_no bigint, cx int, cy int")
+    ready = dealt.join(incoming, by).repartition(*by).sortWithinPartitions(*by, "frame_no")
+    out = ready.mapInPandas(_smooth_partitions, "subject bigint, frame_no bigint, cx int, cy int")
     return out.withColumn("subject", F.nullif("subject", no))

@@ -4,6 +4,8 @@ pinch clamps."""
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from strata.operators import landmarks as lm
 
 W, H = 640, 480
@@ -94,3 +96,56 @@ def test_run_detection_across_chunks(spark):
     a = {r.frame_no: r.run_start for r in lm.visible_runs(vis, chunk=4).collect()}
     b = {r.frame_no: r.run_start for r in lm.visible_runs(vis, chunk=1000).collect()}
     assert a == b and a[0] is None and a[4] == 3 and a[11] == 9
+
+
+def _plain_smoothing(frames):
+    """{(subject, frame): (x, y)} by the recurrence, one frame after another."""
+    out, last = {}, {}
+    for subject, frame, seen, x, y in sorted(frames, key=lambda f: (str(f[0]), f[1])):
+        if not seen:
+            last.pop(subject, None)
+            continue
+        before = last.get(subject, (x, y))
+        last[subject] = out[subject, frame] = tuple(int(0.25 * r + 0.75 * p) for r, p in zip((x, y), before))
+    return out
+
+
+def test_smoothing_in_chunks_equals_the_recurrence(spark):
+    import random
+
+    rng = random.Random(11)
+    frames = []
+    for subject in (1, 2, None):
+        base = 2**53 if subject == 2 else 0  # frame numbers that a double cannot hold
+        for f in range(700):
+            seen = rng.random() > (0.002 if subject == 1 else 0.1)
+            frames.append((subject, base + f, seen, rng.randrange(-30, 640) if seen else None, rng.randrange(480) if seen else None))
+    table = spark.createDataFrame(frames, "subject long, frame_no long, visivel boolean, cx_raw int, cy_raw int").repartition(3)
+    want = _plain_smoothing(frames)
+    for chunk in (5, 64, 1 << 16):
+        got = {(r.subject, r.frame_no): (r.cx, r.cy) for r in lm.smoothed_position(table, chunk=chunk).collect()}
+        assert got == want
+    assert lm.smoothed_position(table.limit(0)).count() == 0
+
+
+def test_one_long_run_is_smoothed_by_several_tasks(spark):
+    n, chunk = 120_000, 10_000
+    table = spark.range(n).select(
+        F.lit(1).cast("long").alias("subject"), F.col("id").alias("frame_no"), F.lit(True).alias("visivel"),
+        (F.col("id") * 7919 % 640).cast("int").alias("cx_raw"), (F.col("id") * 104729 % 480).cast("int").alias("cy_raw"),
+    )
+    out = lm.smoothed_position(table, chunk=chunk)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart
+    try:
+        tasks = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == n
+    x = None
+    want = []
+    for i in range(n):
+        raw = i * 7919 % 640
+        x = raw if x is None else int(0.25 * raw + 0.75 * x)
+        want.append(x)
+    got = {r.frame_no: r.cx for r in out.filter(F.col("frame_no") % 997 == 0).collect()}
+    assert got == {i: want[i] for i in range(0, n, 997)}

@@ -114,3 +114,24 @@ def test_smoothing_stream_equals_batch(spark, tmp_dir):
     got = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/out").collect()))
     want = sorted(map(tuple, lm.smoothed_position(visible).collect()))
     assert got == want and len(got) > 0
+
+
+def test_late_frames_are_rejected_and_change_nothing(spark, tmp_dir):
+    schema = "subject long, frame_no long, visivel boolean, cx_raw int, cy_raw int"
+    src = f"{tmp_dir}/frames"
+
+    def land(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(src)
+        q = (smoothing.smooth_frames(st.table_stream(spark, src, schema)).writeStream.format("parquet")
+             .outputMode("append").option("checkpointLocation", f"{tmp_dir}/ck").option("path", f"{tmp_dir}/out")
+             .trigger(availableNow=True).start())
+        st.run_until_done(q)
+
+    land((1, 3, True, 200, 200), (1, 1, True, 100, 100))  # one batch: put in order
+    land((1, 2, True, 0, 0), (1, 3, True, 9, 9), (2, 1, True, 5, 5))
+    land((1, 4, True, 400, 400))
+    rows = {(r.subject, r.frame_no, r.late): (r.cx, r.cy) for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    assert rows == {
+        (1, 1, False): (100, 100), (1, 3, False): (125, 125), (1, 2, True): (None, None), (1, 3, True): (None, None),
+        (2, 1, False): (5, 5), (1, 4, False): (193, 193),
+    }
