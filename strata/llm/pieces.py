@@ -3,37 +3,32 @@
 With whitespace-split BPE no piece crosses a whitespace marker (U+2581) from
 the left: a marker only begins a piece. A normalised text is therefore the
 concatenation of its marked words (a run of markers and the characters up to
-the next marker), and its ids are those of its marked words in order. Each
-distinct marked word of the corpus is segmented once; the ids are joined back
-by the word's position:
-
-1. one scan turns the texts of a block into word numbers (rows of kind "text")
-   and lists the block's distinct words (rows of kind "word");
-2. the distinct words of all blocks are segmented once each;
-3. the segmented words return to their blocks, and each text's ids are read off
-   by its word numbers.
-
-The texts themselves are read once and never shuffled: what moves is one
-number for each word and the blocks' word lists.
+the next marker), and its ids are those of its marked words in order.
+
+A task keeps a table of the distinct marked words of its block of texts. The
+words that a batch adds to the table are segmented, each once, in one call of
+the library; a text is the numbers of its words by position, and its ids are
+read off the table by those numbers. The table starts afresh with the next
+block, so it is bounded by ``BLOCK_WORDS`` and one batch. Texts stay where they
+are read: nothing is shuffled.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.tables import stored
+from strata.llm.tables import free_name
 
 MARK = "▁"
-BLOCK_BYTES = 4 << 20  # text of one block, unless a single text is longer
+BLOCK_WORDS = 400_000  # distinct words after which a block ends
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -85,125 +80,61 @@ def encode_texts(docs: DataFrame, model: str, text_col: str = "text", keep: list
     for name in ("ids", "decoded"):
         if name in keep:
             raise ValueError(f"column {name} of the input would clash with the result's")
-    payload = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]).alias("payload")
-    source = docs.select(F.col(text_col).cast("string").alias("text"), payload)
-    fields = source.select("payload").schema["payload"].dataType
-    scanned = stored(source.mapInArrow(_scan, _scan_schema(source)), "pieces-scan")
-
-    words = scanned.filter(F.col("words").isNotNull()).select("block", F.posexplode("words").alias("pos", "word"))
-    distinct = words.select("word").distinct()
-    segmented = stored(
-        distinct.mapInArrow(lambda batches: _segment(batches, model), "word string, ids binary"), "pieces-words"
-    )
-    back = words.join(segmented, "word").select("block", "pos", F.col("ids").alias("data"), F.lit(None).cast(fields).alias("payload"))
-    texts = scanned.filter(F.col("codes").isNotNull()).select("block", F.col("codes").alias("data"), "payload")
-    # Words of a block come first, in position order, then its texts.
-    rows = back.select("block", F.lit(0).alias("kind"), "pos", "data", "payload").unionByName(
-        texts.select("block", F.lit(1).alias("kind"), F.lit(0).alias("pos"), "data", "payload")
-    )
-    dealt = rows.repartition("block").sortWithinPartitions("block", "kind", "pos")
-    out = dealt.mapInArrow(
-        lambda batches: _join_back(batches, model), _out_schema(source)
-    )
-    return out.select(*[F.col(f"payload.c{i}").alias(c) for i, c in enumerate(keep)], "ids", "decoded")
-
-
-def _scan_schema(source: DataFrame):
-    return source.select(
-        F.lit("").alias("block"), "payload", F.lit(b"").alias("codes"), F.array(F.lit("")).alias("words")
-    ).schema.simpleString()[len("struct<") : -1]
-
-
-def _out_schema(source: DataFrame):
-    return source.select("payload", F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema.simpleString()[len("struct<") : -1]
-
-
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, payload, codes, words): a row for each text with its word
-    numbers, and one row for each block with the words they count."""
-    import uuid
-
-    block, number, size = uuid.uuid4().hex, {}, 0
-    for batch in batches:
-        payload = batch.column("payload")
-        names, codes = [], []
-        listed: list[tuple[str, list[str]]] = []
-        for text in batch.column("text"):
-            text = text.as_py() or ""
-            if number and size + len(text) > BLOCK_BYTES:
-                listed.append((block, list(number)))
-                block, number, size = uuid.uuid4().hex, {}, 0
-            size += len(text)
-            names.append(block)
-            got = [number.setdefault(w, len(number)) for w in marked_words(text)]
-            codes.append(zlib.compress(np.array(got, np.uint32).tobytes(), 1))
-        yield _scanned(names, payload, codes, [None] * len(names))
-        if listed:
-            yield _scanned(
-                [b for b, _ in listed], pa.nulls(len(listed), payload.type), [None] * len(listed), [w for _, w in listed]
-            )
-        kind = payload.type
-    if number:
-        yield _scanned([block], pa.nulls(1, kind), [None], [list(number)])
-
-
-def _scanned(block, payload, codes, words) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(block, pa.string()), payload, pa.array(codes, pa.binary()), pa.array(words, pa.list_(pa.string()))],
-        names=["block", "payload", "codes", "words"],
-    )
-
-
-def _segment(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
-    sp = processor(model)
-    for batch in batches:
-        words = batch.column(0).to_pylist()
-        ids = [np.array(x, np.uint32).tobytes() for x in sp.encode(words, num_threads=1)]
-        # The empty rest of a word that is one marker: the library gives an empty text
-        # no ids, so take them from the marker itself.
-        lone = np.array([sp.piece_to_id(MARK)], np.uint32).tobytes()
-        ids = [lone if not w else x for w, x in zip(words, ids)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
-
-
-def _join_back(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
-    """Ids and decoded text of each text row, from the word rows that precede
-    it. One block's words are held at a time."""
-    sp = processor(model)
-    block, parts, flat, ends = None, [], None, None
-    for batch in batches:
-        keep, ids, decoded = [], [], []
-        rows = zip(batch.column("block").to_pylist(), batch.column("kind").to_pylist(), batch.column("data").to_pylist())
-        for k, (name, kind, data) in enumerate(rows):
-            if name != block:
-                block, parts, flat = name, [], None
-            if not kind:
-                parts.append(data)
-                continue
-            if flat is None:
-                lengths = np.array([len(p) // 4 for p in parts], np.int64)
-                flat, ends = np.frombuffer(b"".join(parts), np.uint32), np.cumsum(lengths)
-            codes = np.frombuffer(zlib.decompress(data), np.uint32).astype(np.int64)
-            out = np.concatenate(([sp.bos_id()], _gather(flat, ends, codes), [sp.eos_id()])).astype("<u4")
-            keep.append(k)
-            ids.append(out.tobytes())
-            decoded.append(sp.decode(out.tolist()))
-        if keep:
-            payload = batch.column("payload").take(pa.array(keep))
-            yield pa.RecordBatch.from_arrays(
-                [payload, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names=["payload", "ids", "decoded"]
-            )
-
-
-def _gather(flat: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """The ids of the words ``codes``, one after another."""
-    if not len(codes):
-        return np.zeros(0, np.uint32)
-    begin = np.concatenate(([0], ends[:-1]))
-    many = ends[codes] - begin[codes]
-    offset = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-    return flat[np.repeat(begin[codes], many) + offset]
-
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+    source = docs.select(*keep, F.col(text_col).cast("string").alias(free_name(docs, "_text")))
+    schema = docs.select(*keep, F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp, table = processor(model), WordTable(model)
+        for batch in batches:
+            ids = table.encode(batch.column(len(keep)).to_pylist())
+            decoded = [sp.decode(x.tolist()) for x in ids]
+            columns = [pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + columns, names=[*keep, "ids", "decoded"])
+
+    return source.mapInArrow(run, schema)
+
+
+class WordTable:
+    """The distinct marked words of a block, numbered, with their ids."""
+
+    def __init__(self, model: str, block_words: int = BLOCK_WORDS):
+        self.sp = processor(model)
+        self.block_words = block_words
+        self._begin_block()
+
+    def _begin_block(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat = np.zeros(0, "<u4")  # ids of all words, one after another
+        self.ends = np.zeros(0, np.int64)
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text, begin and end ids included."""
+        if len(self.number) > self.block_words:
+            self._begin_block()
+        known, number = len(self.number), self.number
+        codes = []
+        for text in texts:
+            words = marked_words(text or "")
+            codes.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+        self._segment(list(islice(number, known, None)))
+        edge = (np.array([self.sp.bos_id()], "<u4"), np.array([self.sp.eos_id()], "<u4"))
+        return [np.concatenate((edge[0], self._read(c), edge[1])) for c in codes]
+
+    def _segment(self, words: list[str]) -> None:
+        """Add the ids of new words. A word that is a lone marker has an empty
+        rest, for which the library gives no ids: they are the marker's own."""
+        lone = [self.sp.piece_to_id(MARK)]
+        ids = [x or lone for x in self.sp.encode(words, num_threads=1)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        total = int(self.ends[-1]) if len(self.ends) else 0
+        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), "<u4", int(lengths.sum()))))
+        self.ends = np.concatenate((self.ends, total + np.cumsum(lengths)))
+
+    def _read(self, codes: np.ndarray) -> np.ndarray:
+        """The ids of the words ``codes``, one after another."""
+        if not len(codes):
+            return np.zeros(0, "<u4")
+        end = self.ends[codes]
+        many = end - np.where(codes > 0, self.ends[codes - 1], 0)
+        stop = np.cumsum(many)
+        return self.flat[np.arange(int(stop[-1])) + np.repeat(end - stop, many)]

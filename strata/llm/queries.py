@@ -67,9 +67,11 @@ def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strata.llm.bpe import ByteEncoder
+    import public_tokenizers
 
-    return packing.pack_documents(read(spark, sf_dir, "documents"), end_id=ByteEncoder.END, context=8192)
+    docs = read(spark, sf_dir, "documents")
+    ranks = tokenizer(BYTE_PAIR_RANKS)
+    return packing.pack_documents(docs, BYTE_PAIR_END, context=2048, ranks_path=ranks, pattern=public_tokenizers.PATTERN)
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

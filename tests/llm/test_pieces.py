@@ -35,6 +35,16 @@ def test_marked_words_of_odd_white_space():
         assert ids == sp.encode(text), repr(text)
 
 
+def test_small_blocks_and_batches():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(30))) for _ in range(200)] + [None, "", " "]
+    for block_words in (0, 20, 10**6):
+        table = pieces.WordTable(MODEL, block_words)
+        for at in range(0, len(texts), 7):
+            assert [x.tolist() for x in table.encode(texts[at : at + 7])] == [whole(t)[0] for t in texts[at : at + 7]]
+        assert len(table.number) <= 62
+
+
 def test_query_digests(spark):
     sf = "/root/testdata/sf0.001"
     texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
