@@ -5,8 +5,9 @@ is the last frame, the last smoothed point and whether a run is open; a frame
 where the hand is gone or closed ends the run, the next visible frame starts a
 new one with its raw value. A frame at or before the subject's last one has
 come too late to be smoothed: it changes nothing and is given out as rejected.
-A subject that sends nothing for ``idle`` is forgotten, and a later frame
-starts it afresh.
+With ``idle_minutes`` a subject that sends nothing for so long is forgotten, and
+a later frame starts it afresh. That is for streams that run on: Spark keeps
+running batches to look for timeouts, so an ``availableNow`` query would not end.
 """
 
 from __future__ import annotations
@@ -25,12 +26,9 @@ OUTPUT_SCHEMA = "subject long, frame_no long, cx int, cy int"
 STATE_SCHEMA = "last_frame long, px int, py int, open boolean"
 _EMITTED_SCHEMA = OUTPUT_SCHEMA + ", late boolean"
 
-# Fixed value: minutes after which an idle subject is forgotten.
-IDLE_MINUTES = 60
-
 
 def _smooth_subject(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int
+    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int | None
 ) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
         state.remove()
@@ -60,32 +58,33 @@ def _smooth_subject(
             is_open, px, py = True, int(xs[i]), int(ys[i])
         out.append((key[0], frame, px, py, False))
     state.update((last_frame, px, py, is_open))
-    state.setTimeoutDuration(idle_ms)
+    if idle_ms is not None:
+        state.setTimeoutDuration(idle_ms)
     types = {"subject": "int64", "frame_no": "int64", "cx": "Int32", "cy": "Int32", "late": "bool"}
     yield pd.DataFrame(out, columns=list(types)).astype(types)
 
 
-def smooth_frames(visible: DataFrame, idle_minutes: float = IDLE_MINUTES) -> DataFrame:
+def smooth_frames(visible: DataFrame, idle_minutes: float | None = None) -> DataFrame:
     """``visible``: streaming rows ``(subject, frame_no, visivel, cx_raw,
     cy_raw)``. Every visible frame with its smoothed position and ``late``
     false, and every frame that came too late (visible or not) with NULL
     positions and ``late`` true."""
     ship_by_value(__name__)
-    idle_ms = int(idle_minutes * 60_000)
+    idle_ms = None if idle_minutes is None else int(idle_minutes * 60_000)
     return visible.groupBy("subject").applyInPandasWithState(
         lambda key, batches, state: _smooth_subject(key, batches, state, idle_ms),
         _EMITTED_SCHEMA,
         STATE_SCHEMA,
         "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
+        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout,
     )
 
 
-def smooth_stream(visible: DataFrame, idle_minutes: float = IDLE_MINUTES) -> DataFrame:
+def smooth_stream(visible: DataFrame, idle_minutes: float | None = None) -> DataFrame:
     """The smoothed position of every visible frame that came in order."""
     return smooth_frames(visible, idle_minutes).filter(~F.col("late")).drop("late")
 
 
-def late_frames(visible: DataFrame, idle_minutes: float = IDLE_MINUTES) -> DataFrame:
+def late_frames(visible: DataFrame, idle_minutes: float | None = None) -> DataFrame:
     """``(subject, frame_no)`` of the frames that came too late: the reject output."""
     return smooth_frames(visible, idle_minutes).filter("late").select("subject", "frame_no")
