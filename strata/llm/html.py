@@ -37,7 +37,8 @@ DROPPED = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "button",
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 IMPLIED_END = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-# ARIA roles and parts of class and id names of what is not the text.
+# ARIA roles and class and id names of what is not the text. A name is
+# one of these, or is made of them and ``QUALIFIERS`` alone ("site-footer").
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "form"}
 DROPPED_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs",
@@ -48,7 +49,11 @@ DROPPED_NAMES = {
     "subscription", "toolbar", "topbar", "widget", "widgets",
 }
 COMMENT_NAMES = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "advertisement", "sponsored", "related", "promo"}
-NEGATING = ("no-", "no_", "has-", "has_", "with-", "with_", "without-", "js-")
+QUALIFIERS = {
+    "area", "article", "articles", "bar", "block", "bottom", "box", "buttons", "entry", "form", "global", "inner", "item",
+    "items", "link", "links", "list", "main", "page", "post", "posts", "primary", "secondary", "section", "site",
+    "stories", "story", "top",
+}
 MAIN_NAMES = {
     "article", "article-body", "article-content", "article-text", "articlebody", "content", "content-body", "entry",
     "entry-content", "main", "main-content", "maincontent", "post", "post-body", "post-content", "story", "story-body",
@@ -60,48 +65,69 @@ _TAG = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+|[^>]*+)(?:>|\Z)",
     re.S,
 )
-_ATTR = re.compile(r"([a-zA-Z][\w:-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _NAME_PART = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 
-KEEP, DROP, HEADING_ONLY = 0, 1, 2
+# FORM_DROP: in a form outside the main text; NAME_DROP: in an element dropped for its name.
+KEEP, DROP, HEADING_ONLY, FORM_DROP, NAME_DROP = 0, 1, 2, 3, 4
+FORMS = {"form", "fieldset"}
 
 
 def _names(value: str) -> tuple[set[str], set[str]]:
-    """Names of a class or id attribute, whole and in parts."""
-    whole = {w for w in value.split() if not w.lower().startswith(NEGATING)}
-    parts = {p.lower() for w in whole for p in _NAME_PART.split(w) if p}
-    return {w.lower() for w in whole}, parts
+    """Names of a class or id attribute, and the words of ``DROPPED_NAMES`` in those
+    names that say that the element is not the text. A name that lengthens
+    another one of the element ("node node-promoted") is a variant of it."""
+    whole = value.split()
+    lower = {w.lower() for w in whole}
+    dropped: set[str] = set()
+    for w in whole:
+        parts = {p.lower() for p in _NAME_PART.split(w) if p}
+        said = parts & DROPPED_NAMES
+        if said and parts <= said | QUALIFIERS and not any(w.lower().startswith((o + "-", o + "_")) for o in lower):
+            dropped |= said
+    return lower, dropped
 
 
-def _judge(name: str, attrs: str, in_main: bool) -> tuple[int, bool]:
-    """(KEEP, DROP or HEADING_ONLY; whether the element marks the main text)."""
+def _judge(name: str, attrs: str, in_main: bool, forms: bool = False, names: bool = True) -> tuple[int, bool]:
+    """(KEEP, DROP or HEADING_ONLY; whether the element marks the main text).
+    ``forms``: keep forms; ``names``: heed class and id names of what is not the text."""
+    if name in ("html", "body") or forms and name in FORMS:
+        return KEEP, False
     if name in DROPPED:
         return DROP, False
-    found = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)} if "=" in attrs else {}
+    found: dict[str, str] = {}
+    for k, a, b, c in _ATTR.findall(attrs) if attrs else ():
+        found.setdefault(k.lower(), a or b or c)
     role = found.get("role", "").lower()
-    if role in DROPPED_ROLES or "hidden" in attrs.lower().split() or found.get("aria-hidden", "").lower() == "true":
+    if role in DROPPED_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return DROP, False
-    whole, parts = _names(found.get("class", "") + " " + found.get("id", ""))
+    whole, dropped = _names(found.get("class", "") + " " + found.get("id", ""))
     if name == "header":
         return (HEADING_ONLY if in_main else DROP), False
-    if name in ("html", "body"):
-        return KEEP, False
     if name in ("article", "main") or role in ("main", "article"):
-        return (DROP, False) if parts & COMMENT_NAMES else (KEEP, True)
-    if parts & DROPPED_NAMES:
-        return (HEADING_ONLY if in_main and parts & DROPPED_NAMES == {"header"} else DROP), False
+        return (DROP, False) if dropped & COMMENT_NAMES else (KEEP, True)
+    if dropped and names:
+        if dropped == {"header"} and in_main:
+            return HEADING_ONLY, False
+        return (DROP if dropped & COMMENT_NAMES else NAME_DROP), False
     return KEEP, bool(whole & MAIN_NAMES) or found.get("itemprop", "").lower() == "articlebody"
 
 
 def page_lines(page: str) -> tuple[list[str], list[int], list[int]]:
     """Lines of a page outside dropped elements, each with the length of its
-    link text and the number of the outermost main element around it (0: none)."""
+    link text and the number of the outermost main element around it (0: none;
+    negative: one inside an element that is dropped for its name)."""
+    return _parse(page)[:3]
+
+
+def _parse(page: str, forms: bool = False, names: bool = True) -> tuple[list[str], list[int], list[int], int]:
+    """What ``page_lines`` gives, and the length of the unlinked text dropped in forms."""
     lines: list[str] = []
     linked: list[int] = []
     zones: list[int] = []
     open_: list[tuple[str, int, int]] = []  # (name, judgement, zone)
     text: list[str] = []
-    state, zone, count, links, link_chars = KEEP, 0, 0, 0, 0
+    state, zone, count, links, link_chars, in_forms = KEEP, 0, 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal link_chars
@@ -114,11 +140,13 @@ def page_lines(page: str) -> tuple[list[str], list[int], list[int]]:
         link_chars = 0
 
     def add(piece: str) -> None:
-        nonlocal link_chars
+        nonlocal link_chars, in_forms
         if state == KEEP and piece:
             text.append(piece)
             if links:
                 link_chars += len(" ".join(html.unescape(piece).split()))
+        elif state == FORM_DROP and not links:
+            in_forms += len(" ".join(html.unescape(piece).split()))
 
     def top() -> tuple[int, int]:
         return (open_[-1][1], open_[-1][2]) if open_ else (KEEP, 0)
@@ -166,32 +194,49 @@ def page_lines(page: str) -> tuple[list[str], list[int], list[int]]:
                     break
                 if open_[k][0] in BLOCK:
                     break
-        was, (judged, marks) = state, _judge(name, m["attrs"], zone > 0)
+        was, (judged, marks) = state, _judge(name, m["attrs"], zone != 0, forms, names)
+        if judged == DROP and name in FORMS:
+            judged = FORM_DROP
         if was == DROP:
             judged = DROP
+        elif was in (FORM_DROP, NAME_DROP):
+            # A marked article in a form or in an element dropped for its name is still one;
+            # a class name marks it in a form outside the main text only.
+            by_tag = name in ("article", "main") or "role" in m["attrs"].lower()
+            reopens = judged == KEEP and marks and (by_tag or was == FORM_DROP and not zone)
+            if not reopens and judged not in (DROP, NAME_DROP):
+                judged = was
         elif was == HEADING_ONLY and judged == KEEP:
             judged = KEEP if name in HEADINGS else HEADING_ONLY
         if name not in BLOCK and judged == was:
             continue  # inline elements matter only where they are dropped
-        if marks and not zone and judged == KEEP:
+        if marks and judged == KEEP and (not zone or was == NAME_DROP):
             count += 1
-            zone = count
+            zone = -count if any(j == NAME_DROP for _, j, _ in open_) else count
         open_.append((name, judged, zone))
         state = judged
     add(page[at:])
     flush()
-    return lines, linked, zones
+    return lines, linked, zones, in_forms
 
 
 def main_text(page: str | None) -> str:
     """The main text of one page, its lines joined by one newline."""
     if not page:
         return ""
-    lines, linked, zones = page_lines(page)
+    lines, linked, zones, in_forms = _parse(page)
+    if not any(zones) and in_forms > sum(map(len, lines)) - sum(linked):
+        lines, linked, zones, _ = _parse(page, forms=True)  # the form is the page
+    if not lines:  # better what is named like a sidebar than nothing
+        lines, linked, zones, _ = _parse(page, forms=True, names=False)
     if not lines:
         return ""
     length = np.array([len(x) for x in lines], np.int64)
     zone = np.array(zones)
+    aside = np.bincount(np.where(zone < 0, -zone, 0), weights=np.where(zone < 0, length, 0))
+    if aside.max() > length[zone > 0].sum():  # the article is in an element named like a sidebar
+        zone = np.where(zone == -aside.argmax(), -zone, zone)
+    zone = np.maximum(zone, 0)
     if zone.any():
         totals = np.bincount(zone, weights=length)
         totals[0] = 0

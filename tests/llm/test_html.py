@@ -58,6 +58,28 @@ def test_deep_and_broken_markup_ends():
     assert page_lines("</p></div>" * 100) == ([], [], [])
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<form><nav>n</nav><article><p>a</p><form>f</form></article></form>", "a"),
+        (f"<form id=aspnet><p>{LONG}</p><p>b</p></form><p>c</p>", f"{LONG}\nb\nc"),
+        ("<form><div class=content><p>a</p></div><input></form><p>x</p>", "a"),
+        ("<div class='page-with-sidebar'><article>a</article></div>", "a"),
+        ("<div class='layout sidebar-right'><p>a</p></div><div class='sidebar'>s</div>", "a"),
+        ("<div class='node node-promoted'><article>a</article></div>", "a"),
+        ("<p>skip</p><div class='sidebar'><article>all the text</article></div>", "all the text"),
+        ("<article class='post ad-free'>a</article><article class='ad'>no</article>", "a"),
+        ("<body class='box hidden md:block'><p class='is hidden x'>a</p><p data-x hidden>h</p></body>", "a"),
+        ("<body hidden><p title='so hidden it is'>a</p></body>", "a"),
+        ("<div class='overlay'><p>nothing else</p></div>", "nothing else"),
+        ("<article>the text<div class='widget'><article>a teaser</article></div></article>", "the text"),
+        ("<article>a</article><div class='site-footer'>f</div><div class='relatedPosts'><article>r</article></div>", "a"),
+    ],
+)
+def test_no_article_is_lost_under_a_dropped_ancestor(page, text):
+    assert main_text(page) == text
+
+
 def test_query_against_the_pages_articles(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
