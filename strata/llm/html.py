@@ -54,6 +54,7 @@ QUALIFIERS = {
     "items", "link", "links", "list", "main", "page", "post", "posts", "primary", "secondary", "section", "site",
     "stories", "story", "top",
 }
+TEASER_NAMES = {"preview", "previews", "recommended", "teaser", "teasers", "trending"}
 MAIN_NAMES = {
     "article", "article-body", "article-content", "article-text", "articlebody", "content", "content-body", "entry",
     "entry-content", "main", "main-content", "maincontent", "post", "post-body", "post-content", "story", "story-body",
@@ -88,35 +89,36 @@ def _names(value: str) -> tuple[set[str], set[str]]:
     return lower, dropped
 
 
-def _judge(name: str, attrs: str, in_main: bool, forms: bool = False, names: bool = True) -> tuple[int, bool]:
-    """(KEEP, DROP or HEADING_ONLY; whether the element marks the main text).
+def _judge(name: str, attrs: str, in_main: bool, forms: bool = False, names: bool = True) -> tuple[int, int]:
+    """(KEEP, DROP or HEADING_ONLY; 1 if the element marks the main text, -1 a teaser, else 0).
     ``forms``: keep forms; ``names``: heed class and id names of what is not the text."""
     if name in ("html", "body") or forms and name in FORMS:
-        return KEEP, False
+        return KEEP, 0
     if name in DROPPED:
-        return DROP, False
+        return DROP, 0
     found: dict[str, str] = {}
     for k, a, b, c in _ATTR.findall(attrs) if attrs else ():
         found.setdefault(k.lower(), a or b or c)
     role = found.get("role", "").lower()
     if role in DROPPED_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return DROP, False
+        return DROP, 0
     whole, dropped = _names(found.get("class", "") + " " + found.get("id", ""))
     if name == "header":
-        return (HEADING_ONLY if in_main else DROP), False
+        return (HEADING_ONLY if in_main else DROP), 0
+    main = -1 if any(TEASER_NAMES & set(_NAME_PART.split(w)) for w in whole) else 1
     if name in ("article", "main") or role in ("main", "article"):
-        return (DROP, False) if dropped & COMMENT_NAMES else (KEEP, True)
+        return (DROP, 0) if dropped & COMMENT_NAMES else (KEEP, main)
     if dropped and names:
         if dropped == {"header"} and in_main:
-            return HEADING_ONLY, False
-        return (DROP if dropped & COMMENT_NAMES else NAME_DROP), False
-    return KEEP, bool(whole & MAIN_NAMES) or found.get("itemprop", "").lower() == "articlebody"
+            return HEADING_ONLY, 0
+        return (DROP if dropped & COMMENT_NAMES else NAME_DROP), 0
+    return KEEP, main if whole & MAIN_NAMES or found.get("itemprop", "").lower() == "articlebody" else 0
 
 
 def page_lines(page: str) -> tuple[list[str], list[int], list[int]]:
     """Lines of a page outside dropped elements, each with the length of its
     link text and the number of the outermost main element around it (0: none;
-    negative: one inside an element that is dropped for its name)."""
+    negative: a teaser, or one inside an element that is dropped for its name)."""
     return _parse(page)[:3]
 
 
@@ -212,7 +214,7 @@ def _parse(page: str, forms: bool = False, names: bool = True) -> tuple[list[str
             continue  # inline elements matter only where they are dropped
         if marks and judged == KEEP and (not zone or was == NAME_DROP):
             count += 1
-            zone = -count if any(j == NAME_DROP for _, j, _ in open_) else count
+            zone = -count if marks < 0 or any(j == NAME_DROP for _, j, _ in open_) else count
         open_.append((name, judged, zone))
         state = judged
     add(page[at:])
@@ -234,15 +236,20 @@ def main_text(page: str | None) -> str:
     length = np.array([len(x) for x in lines], np.int64)
     zone = np.array(zones)
     aside = np.bincount(np.where(zone < 0, -zone, 0), weights=np.where(zone < 0, length, 0))
-    if aside.max() > length[zone > 0].sum():  # the article is in an element named like a sidebar
+    if aside.max() > length[zone > 0].sum():  # the article is in an element named like a sidebar or teaser
         zone = np.where(zone == -aside.argmax(), -zone, zone)
     zone = np.maximum(zone, 0)
+    unlinked = length - np.array(linked)
     if zone.any():
+        # All marked parts weigh, but for lists of links beside the longest.
         totals = np.bincount(zone, weights=length)
-        totals[0] = 0
-        weight, least = np.where(zone == totals.argmax(), length, 0), 1
+        text = np.bincount(zone, weights=unlinked)
+        whole = 2 * text >= totals
+        totals[0], whole[0] = 0, False
+        whole[totals.argmax()] = True
+        weight = np.where(whole[zone], length, 0)
     else:
-        weight, least = length - np.array(linked), SURGE
+        weight = unlinked
     sums = np.convolve(weight, np.ones(WINDOW, np.int64))  # sums[i]: lines i - WINDOW + 1 to i
     alive = sums > 0
     edges = np.flatnonzero(np.diff(np.concatenate(([0], alive.astype(np.int8), [0]))))
@@ -250,9 +257,9 @@ def main_text(page: str | None) -> str:
     if not spans:
         return ""
     peaks = [int(sums[a : b + WINDOW - 1].max()) for a, b in spans]
-    least = min(least, max(peaks))
-    kept = [line for (a, b), peak in zip(spans, peaks) if peak >= least for line in lines[a:b]]
-    return "\n".join(kept)
+    least = min(SURGE, max(peaks))
+    kept = [i for (a, b), peak in zip(spans, peaks) if peak >= least for i in range(a, b)]
+    return "\n".join(lines[i] for i in kept if weight[i] or not zone.any())
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -80,6 +80,21 @@ def test_no_article_is_lost_under_a_dropped_ancestor(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>one</p></article><p>advert</p><article><p>second</p></article>", "one\nsecond"),
+        (f"<div class=entry>{LONG}</div><hr><div class=content>b</div><p>f</p>", f"{LONG}\nb"),
+        (f"<section class=content>{LONG}</section><p>x</p><p>y</p><p>z</p><section class=content>{LONG}</section>", f"{LONG}\n{LONG}"),
+        (f"<article>{LONG}</article><article class='teaser-box'>t</article><article class=comment>c</article>", LONG),
+        (f"<article>{LONG}</article><article><a href=x>Another article</a></article>", LONG),
+        ("<p>x</p><article class=teaser><p>the only one</p></article>", "the only one"),
+    ],
+)
+def test_an_article_in_several_parts(page, text):
+    assert main_text(page) == text
+
+
 def test_query_against_the_pages_articles(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
