@@ -1,11 +1,13 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped to lines, one for each block element. Text lengths are
-summed over sliding windows of lines; the text begins where the sums surge and
-ends where they dive, and everything between is kept. Lines of menus, headers,
-footers, sidebars, notices, adverts, forms and comments carry no length; where
-the page marks its article, neither do lines outside it, nor link text where it
-does not.
+summed over sliding windows of lines; the text begins where the sums surge to
+the threshold and ends after the last sum that reaches it before they dive to
+zero, and everything between is kept. Lines of menus, headers, footers,
+sidebars, notices, adverts, forms and comments carry no length; where the page
+marks its article, neither do lines outside it, nor link text where it does
+not. Inside a marked part every line is text, however short: there the windows
+decide between parts, not between lines.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from strata.llm.tables import free_name
 
 WINDOW = 3  # lines in a window
-SURGE = 86  # characters in a window that begin a text where no article is marked
+SURGE = 86  # characters in a window that begin a text
 
 # HTML element names.
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "noembed", "noframes", "xmp", "template", "svg", "math", "object", "canvas", "audio", "video"}
@@ -258,7 +260,17 @@ def main_text(page: str | None) -> str:
         return ""
     peaks = [int(sums[a : b + WINDOW - 1].max()) for a, b in spans]
     least = min(SURGE, max(peaks))
-    kept = [i for (a, b), peak in zip(spans, peaks) if peak >= least for i in range(a, b)]
+    kept: list[int] = []
+    for (a, b), peak in zip(spans, peaks):
+        if peak < least:
+            continue
+        if least == SURGE and not zone.any():
+            # From the first to the last window that reaches the threshold.
+            surging = np.flatnonzero(sums[a : b + WINDOW - 1] >= SURGE) + a
+            a, b = max(a, int(surging[0]) - WINDOW + 1), min(b, int(surging[-1]) + 1)
+            weighted = np.flatnonzero(weight[a:b]) + a
+            a, b = int(weighted[0]), int(weighted[-1]) + 1
+        kept += range(a, b)
     return "\n".join(lines[i] for i in kept if weight[i] or not zone.any())
 
 

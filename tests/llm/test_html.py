@@ -46,6 +46,16 @@ def test_surge_and_dive_without_an_article():
     assert main_text("<p>short page</p>") == "short page"
 
 
+def test_plain_boilerplate_beside_an_unmarked_text_goes():
+    menu, foot = [f"Menu {i}" for i in range(5)], [f"Notice {i}" for i in range(5)]
+    text = ["Title", LONG, "Short.", "Shorter.", "Short again.", "More.", LONG, "The end."]
+    got = main_text("".join(f"<p>{x}</p>" for x in menu + text + foot)).split("\n")
+    # A window has three lines, so one short line of either side comes along.
+    assert got == ["Menu 4", *text, "Notice 0"]
+    page = "".join(f"<p>{x}</p>" for x in menu) + "<article>" + "".join(f"<p>{x}</p>" for x in ["a", "b", "c", "d", LONG, *"efgh"]) + "</article>"
+    assert main_text(page).split("\n") == ["a", "b", "c", "d", LONG, *"efgh"]
+
+
 def test_short_lines_and_long_pages_stay():
     blocks = [f"p{i}" if i % 3 else LONG for i in range(3000)]
     page = "<nav>m</nav><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article><footer>f</footer>"
