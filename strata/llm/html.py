@@ -29,6 +29,7 @@ SURGE = 86  # characters in a window that begin a text
 # HTML element names.
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "noembed", "noframes", "xmp", "template", "svg", "math", "object", "canvas", "audio", "video"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+FOREIGN = {"svg", "math"}  # may close themselves
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div",
     "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head",
@@ -69,6 +70,11 @@ _TAG = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
+_BREAKOUT = re.compile(
+    r"(?=</?(?:b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|meta|nobr|ol|p|pre"
+    r"|ruby|s|small|span|strong|strike|sub|sup|table|tt|u|ul|var|article|section|main|header|footer|nav|aside)(?=[\s/>]))|\Z",
+    re.I,
+)
 _NAME_PART = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 
 # FORM_DROP: in a form outside the main text; NAME_DROP: in an element dropped for its name.
@@ -131,6 +137,7 @@ def _parse(page: str, forms: bool = False, names: bool = True) -> tuple[list[str
     zones: list[int] = []
     open_: list[tuple[str, int, int]] = []  # (name, judgement, zone)
     text: list[str] = []
+    unclosed: set[str] = set()  # svg, math: no end tag follows
     state, zone, count, links, link_chars, in_forms = KEEP, 0, 0, 0, 0, 0
 
     def flush() -> None:
@@ -181,8 +188,14 @@ def _parse(page: str, forms: bool = False, names: bool = True) -> tuple[list[str
                 if name in ("p", "li", "dd", "dt") and open_[k][0] in ("div", "article", "section", "main", "body", "nav", "aside", "td"):
                     break
             continue
+        if name in FOREIGN and m["attrs"].endswith("/"):
+            continue
         if name in RAW:
-            stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?|\Z", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?|\Z", re.I)
+            stop = None if name in unclosed else end.search(page, at)
+            if name in FOREIGN and not (stop and stop.group()):
+                unclosed.add(name)
+                stop = _BREAKOUT.search(page, at)  # HTML goes on at the next HTML element
             at = stop.end()
             continue
         if m["attrs"].endswith("/") and name not in BLOCK:

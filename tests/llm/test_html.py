@@ -46,6 +46,19 @@ def test_surge_and_dive_without_an_article():
     assert main_text("<p>short page</p>") == "short page"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>a <svg class='i' viewBox='0 0 1 1'/> b</p><p>c</p></article>", "a b\nc"),
+        ("<article><p>a <SVG /> b</p><svg><text>no</text></svg><p>c</p></article>", "a b\nc"),
+        ("<article><p>a <math/> b</p><p>c <svg><path d='x'/></svg> d</p></article>", "a b\nc d"),
+        ("<article><p>a</p><svg width=1><path d='x'><p>b</p></article>", "a\nb"),
+    ],
+)
+def test_text_after_an_icon_stays(page, text):
+    assert main_text(page) == text
+
+
 def test_plain_boilerplate_beside_an_unmarked_text_goes():
     menu, foot = [f"Menu {i}" for i in range(5)], [f"Notice {i}" for i in range(5)]
     text = ["Title", LONG, "Short.", "Shorter.", "Short again.", "More.", LONG, "The end."]
