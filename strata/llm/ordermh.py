@@ -6,8 +6,11 @@ which also deals it to one of ``sketches`` bins; a bin keeps its ``ell`` least
 elements, puts them back in text order and hashes the tuple of their k-mers
 (Marcais et al., Locality-sensitive hashing for the edit distance, 2019; one
 permutation in bins instead of one permutation for each sketch, so that a
-text is hashed once). Texts with the same k-mers in another order differ, and
-the share of equal tuples falls with the edit distance.
+text is hashed once). A bin that holds fewer than ``ell`` elements is filled
+from the next ones (``filled``): its sketch is the ``ell`` least elements counted
+from the bin's start round the circle of hashes, so every tuple is of ``ell``
+elements and carries their order, in short texts too. Texts with the same k-mers in
+another order differ, and the share of equal tuples falls with the edit distance.
 
 Everything about one text happens in arrays of its own row; nothing is
 exploded and no shuffle is needed for a fingerprint. Arrays that Spark sorts
@@ -30,10 +33,13 @@ def _fn(name: str, *args) -> Column:
     return F.call_function(name, *[a if isinstance(a, Column) else F.lit(a) for a in args])
 
 
-def with_fingerprint(df: DataFrame, text: Column, out: str, k: int = K, ell: int = ELL, bin_bits: int = BIN_BITS) -> DataFrame:
+def with_fingerprint(df: DataFrame, text: Column, out: str, k: int = K, ell: int = ELL, bin_bits: int = BIN_BITS, filled: bool = False) -> DataFrame:
     """Add ``out``: array<bigint> of the text's components, one for each of the
     2^bin_bits bins that hold an element, in bin order. A component is the
     bin's number and 26 bits of the tuple's hash, below 2^(bin_bits + 26).
+    ``filled``: one for each bin of a text that is not blank, elements that a bin
+    lacks taken from the next ones; only texts of fewer than ``ell`` k-mers have
+    shorter tuples.
 
     A text of fewer than ``k`` words is one k-mer of all its words; a NULL or
     blank text has no components. An array read inside a lambda is a column used
@@ -76,14 +82,30 @@ def with_fingerprint(df: DataFrame, text: Column, out: str, k: int = K, ell: int
     begins = F.transform("_g", lambda x, i: F.when(~bin_of(x).eqNullSafe(bin_of(F.get(F.col("_g"), i - 1))), i).otherwise(-1))
     now = step(now, "_n", F.filter(begins, lambda i: i >= 0))
 
-    def component(a: Column) -> Column:
-        number = bin_of(F.get(F.col("_g"), a))
-        least = F.filter(F.slice("_g", a + 1, F.lit(ell)), lambda x: bin_of(x) == number)
+    if filled:
+        # Signed bins from -half to half - 1 are in the order of ``_g``; bins up to one that
+        # holds elements begin where it does, those after the last at the first element again.
+        half = 1 << (bin_bits - 1)
+        signed = lambda i: _fn("shiftright", F.get(F.col("_g"), i), F.lit(64 - bin_bits)).cast("int")
+        upto = F.transform(
+            "_n", lambda a, j: F.array_repeat(a, signed(a) - F.coalesce(signed(F.get(F.col("_n"), j - 1)), F.lit(-half - 1)))
+        )
+        after = F.array_repeat(F.lit(0), F.lit(half - 1) - F.coalesce(signed(F.get(F.col("_n"), F.size("_n") - 1)), F.lit(half - 1)))
+        now = step(now, "_a", F.concat(F.flatten(upto), after))
+        now = step(now, "_c", F.concat("_g", F.slice("_g", 1, ell)))
+
+    def component(a: Column, i: Column) -> Column:
+        if filled:
+            number = ((i + half) % (1 << bin_bits)).cast("long")
+            least = F.slice("_c", a + 1, F.least(_fn("shiftright", F.size("_c"), 1), F.lit(ell)))
+        else:
+            number = bin_of(F.get(F.col("_g"), a))
+            least = F.filter(F.slice("_g", a + 1, F.lit(ell)), lambda x: bin_of(x) == number)
         in_order = F.sort_array(F.transform(least, pos))
         tuple_hash = F.xxhash64(F.transform(in_order, lambda p: F.get(F.col("_kh"), p)))
         return F.shiftleft(number, 26).bitwiseOR(F.shiftrightunsigned(tuple_hash, 38))
 
-    now = step(now, out, F.array_sort(F.transform("_n", component)))
+    now = step(now, out, F.array_sort(F.transform("_a" if filled else "_n", component)))
     return now.select(*[c for c in base if c != out], out)
 
 
@@ -150,7 +172,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     key = ["absent", "id", "th"]
     # Both sides below read the same columns of ``own``, so that Spark computes and
     # shuffles it once (the length is counted again rather than carried).
-    own = with_fingerprint(rows.drop("n_chars"), F.col("text"), "fp").repartition(*key)
+    own = with_fingerprint(rows.drop("n_chars"), F.col("text"), "fp", filled=True).repartition(*key)
     given = own.join(links, key).select(
         F.col("to_absent").alias("absent"), F.col("to_id").alias("id"), F.col("to_th").alias("th"),
         F.substring("text", F.lit(1), (F.col("to_n") / 3).cast("int")).alias("patch"),
@@ -161,7 +183,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     cut = (F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.col("patch"))
     both = joined.select("absent", "id", "n_chars", "fp", "next_fp", edited.alias("edited"))
-    both = with_fingerprint(both, F.col("edited"), "edited_fp")
+    both = with_fingerprint(both, F.col("edited"), "edited_fp", filled=True)
     return both.select(
         F.when(~F.col("absent"), F.col("id")).alias("doc_id"),
         "n_chars",

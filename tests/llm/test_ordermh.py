@@ -111,6 +111,44 @@ def test_likeness_follows_the_edits(spark):
     assert near("base", "moved") < 0.75
 
 
+def test_short_texts_in_another_order_differ(spark):
+    """Against 64 permutations of a plain order MinHash, over texts with
+    the same words in another order."""
+    rng = random.Random(5)
+    for n in (20, 40, 100):
+        pairs = []
+        for _ in range(20):
+            base = [f"w{rng.randrange(9999)}" for _ in range(n)]
+            pairs.append((base, base[n // 2 :] + base[: n // 2]))
+        rows = [(2 * i + j, " ".join(t)) for i, p in enumerate(pairs) for j, t in enumerate(p)]
+        out = ordermh.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+        got = {r.doc_id: r.fingerprint for r in out.collect()}
+        assert all(len(f) == 64 for f in got.values())
+        near = sum(len(set(got[2 * i]) & set(got[2 * i + 1])) for i in range(20)) / (20 * 64)
+        want = 0.0
+        for a, b in pairs:
+            for seed in range(64):
+                first, second = [
+                    [g for g in kmers(" ".join(t)) if g in set(sorted(kmers(" ".join(t)), key=lambda g: xxhash.xxh64_intdigest(" ".join(g), seed))[:2])]
+                    for t in (a, b)
+                ]
+                want += (first == second) / (20 * 64)
+        assert abs(near - want) < 0.12, (n, near, want)
+
+
+def test_filled_bins_equal_the_definition(spark, docs, rows):
+    """Bins with ``ell`` elements keep their component; the others count on round the circle."""
+    texts = sorted({r[1] or "" for r in rows})
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    both = ordermh.with_fingerprint(ordermh.with_fingerprint(df, F.col("text"), "fp"), F.col("text"), "full", filled=True)
+    for r in both.collect():
+        assert [x >> 26 for x in r.full] == (list(range(64)) if r.fp else [])
+        if len(kmers(r.text)) > 3000:
+            assert r.fp == r.full
+        if len(kmers(r.text)) in (1, 2):  # one tuple of all elements
+            assert len({x & (1 << 26) - 1 for x in r.full}) == 1
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
