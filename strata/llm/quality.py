@@ -153,21 +153,19 @@ def train(
     """Weights and bias fitted on at most ``max_rows`` labelled documents.
 
     The sampled ids are few by their bound and are sent to the documents; each
-    sampled text is turned into its sparse vector where it lies, and only those
-    vectors reach the driver. ``allowed`` restricts the rows of ``labels``.
+    sampled id's text of the least hash is turned into its sparse vector, and only
+    those vectors, one for each id, reach the driver. ``allowed`` restricts the rows of ``labels``.
     Where no row is labelled the weights are all zero (every score 0.5).
     """
     picked = sample_labels(labels, id_col, label_col, allowed, max_rows)
     rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("_text"))
     joined = rows.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).select("_doc", "_label", "_text")
+    by_hash = F.struct(F.xxhash64("_text"), "_text")  # rows that repeat an id count once
+    joined = joined.groupBy("_doc", "_label").agg(F.min_by("_text", by_hash).alias("_text"))
     vectors = joined.mapInArrow(_vectors, "doc long, label int, at binary, value binary")
     found = vectors.toArrow().to_pylist()
-    found.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r["doc"])), r["doc"], r["at"]))
-    seen, data = set(), []
-    for r in found:  # one text for each id
-        if r["doc"] not in seen:
-            seen.add(r["doc"])
-            data.append((np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["value"], np.float32).astype(np.float64), r["label"]))
+    found.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r["doc"])), r["doc"]))
+    data = [(np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["value"], np.float32).astype(np.float64), r["label"]) for r in found]
     return (model or FTRL()).fit(data)
 
 

@@ -52,6 +52,18 @@ def test_the_sample_is_bounded_and_stable(spark):
     assert len(a) == 40 and sorted(a) == sorted(b)
 
 
+def test_one_vector_an_id_reaches_the_driver(spark, monkeypatch):
+    rows = [(0, f"good words {i}") for i in range(300)] + [(0, None), (1, "bad !!!"), (1, "bad !!!"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    collected, to_arrow = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: collected.append(to_arrow(df)) or collected[-1])
+    a = quality.train(docs, labels)
+    b = quality.train(docs.repartition(7), labels)
+    assert [t.num_rows for t in collected] == [3, 3]
+    assert a[1] == b[1] and (a[0] == b[0]).all()
+
+
 def test_features_are_scaled_and_whole():
     at, value = quality.features("one two three " * 2000 + "last")
     assert len(set(at.tolist())) == len(at) and abs(value @ value - 1) < 1e-9
