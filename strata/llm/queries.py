@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import flat, html, mixing, ordermh, packing, pieces, quality, search, simhash, urls
+from strata.llm import circulant, divergence, flat, html, mixing, ordermh, packing, pieces, quality, repair, search
+from strata.llm import simhash, urls
 
 # The file names of the public tokenizers.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -115,6 +116,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(read(spark, sf_dir, "documents"), by_hundred, k=10)
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(read(spark, sf_dir, "documents"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.damage(read(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -132,6 +145,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_top_k": op10_top_k,
+    "op11_minhash": op11_minhash,
+    "op12_divergence": op12_divergence,
+    "op13_repair": op13_repair,
     "pipeline": pipeline,
 }
 
@@ -220,4 +236,64 @@ WITH tokens AS (
 SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_SQL_MINHASH = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words
+), sizes AS (
+  SELECT d.doc_id, count(s.s) AS n FROM documents d LEFT JOIN shingles s ON d.doc_id = s.doc_id GROUP BY d.doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= {circulant.PERCENT} * (p.n + q.n - c)
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+), least AS (
+  SELECT x, min(y) AS component_id FROM reached GROUP BY x
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least ON x = doc_id
+"""
+
+_SQL_DIVERGENCE = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+         translate(COALESCE(text, ''), {_LOWER}) AS text FROM documents
+), tokens AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM tokens GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM tokens JOIN kept USING (lang, term) GROUP BY ALL
+), langs AS (
+  SELECT lang, count(*) AS v, sum(total) AS whole FROM kept GROUP BY lang
+), groups AS (
+  SELECT g.lang, g.source, COALESCE(l.v, 0) AS v, COALESCE(l.whole, 0) AS whole,
+         COALESCE((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0) AS size
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs l ON l.lang = g.lang
+), cells AS (
+  SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS n,
+         CAST(1 + 1000000000::HUGEINT * (COALESCE(c.n, 0) + 1) // (g.size + g.v) AS HUGEINT) AS p,
+         CAST(1 + 1000000000::HUGEINT * (k.total + 1) // (g.whole + g.v) AS HUGEINT) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(COALESCE(s.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM cells WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLES = {"op6_url_filters": _SQL_URLS, "op7_mixing": _SQL_MIXING, "op10_top_k": _SQL_SEARCH}
+ORACLES |= {"op11_minhash": _SQL_MINHASH, "op12_divergence": _SQL_DIVERGENCE}

@@ -1,0 +1,198 @@
+"""Conversation repair: brute force over edit sequences, and a plain span table."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from strata.llm import queries
+from strata.llm.repair import damage, repair_conversations, repaired_turns, span_cell
+
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def by_enumeration(kinds, most=3):
+    """Least (cost, audit) over every sequence of edits with at most ``most``
+    insertions in a gap."""
+    gaps = ["".join(x) for n in range(most + 1) for x in itertools.product("ua", repeat=n)]
+    choices = []
+    for k in kinds:
+        more = 5 if k.isupper() else 0
+        row = [(2, "D", "")]
+        if k != "x":
+            row += [(1 + more, "R", "u"), (1 + more, "R", "a")]
+            if k.lower() != "o":
+                row.append((more, "K", k.lower()))
+        choices.append(row)
+    best = None
+    for rows in itertools.product(*choices):
+        for fill in itertools.product(gaps, repeat=len(kinds) + 1):
+            said = fill[0] + "".join(r[2] + f for r, f in zip(rows, fill[1:]))
+            if not GRAMMAR.fullmatch(said):
+                continue
+            audit = "I" * len(fill[0]) + "".join(r[1] + "I" * len(f) for r, f in zip(rows, fill[1:]))
+            found = (sum(r[0] for r in rows) + 5 * sum(map(len, fill)), audit)
+            if best is None or found < best:
+                best = found
+    return best
+
+
+def by_state(kinds):
+    """Least (cost, audit) by the automaton, one turn after the other, up to two
+    insertions before each turn and after the last."""
+    step = {"s": {0: 1}, "u": {0: 2, 1: 2, 3: 2}, "a": {2: 3}}
+
+    def better(now, q, new):
+        if q not in now or new < now[q]:
+            now[q] = new
+
+    def insert(now):
+        for _ in range(3):
+            for q, (c, a) in list(now.items()):
+                for r in "ua":
+                    if q in step[r]:
+                        better(now, step[r][q], (c + 5, a + "I"))
+        return now
+
+    now = insert({0: (0, "")})
+    for k in kinds:
+        more, out = (5 if k.isupper() else 0), {}
+        for q, (c, a) in now.items():
+            better(out, q, (c + 2, a + "D"))
+            if k == "x":
+                continue
+            for r in "ua":
+                if q in step[r]:
+                    better(out, step[r][q], (c + 1 + more, a + "R"))
+            if q in step.get(k.lower(), {}):
+                better(out, step[k.lower()][q], (c + more, a + "K"))
+        now = insert(out)
+    return min(now[q] for q in (0, 3) if q in now)
+
+
+def by_cells(kinds):
+    cell = span_cell(kinds)
+    return min(cell[0, q] for q in (0, 3) if (0, q) in cell)
+
+
+def test_cells_against_every_edit_sequence():
+    kinds = "suaoSUAOx"
+    for n in range(3):
+        for k in itertools.product(kinds, repeat=n):
+            assert by_cells("".join(k)) == by_enumeration(k, 2), k
+
+
+def test_cells_against_the_automaton():
+    rng = random.Random(3)
+    for _ in range(1500):
+        k = "".join(rng.choice("suaoSUAOxuaua") for _ in range(rng.randrange(3, 24)))
+        assert by_cells(k) == by_state(k), k
+
+
+def test_every_cut_of_a_span_gives_its_cell():
+    from strata.llm.repair import _join
+
+    rng = random.Random(4)
+    for _ in range(60):
+        k = "".join(rng.choice("suaoSUAOxuaua") for _ in range(rng.randrange(2, 12)))
+        for cut in range(len(k) + 1):
+            assert _join(span_cell(k[:cut]), span_cell(k[cut:])) == span_cell(k)
+
+
+def plain(rows):
+    """The contract on a list of (turn, role, text), without the operator."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    seen, kinds, counts = set(), "", {"b": 0, "d": 0, "t": 0}
+    for _, role, text in rows:
+        end = re.sub(r"[ \x09-\x0d]+", "", text)
+        fault = "b" if not end else "d" if (role, text) in seen else "t" if end[-1] not in ".!?" else ""
+        seen.add((role, text))
+        if fault:
+            counts[fault] += 1
+        k = role[:1] if role[:1] in ("s", "u", "a") and role else "o"
+        kinds += "x" if fault in ("b", "d") else k.upper() if fault == "t" else k
+    first = [r[1][:1] for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:]))
+    turns = [r[0] for r in rows if r[0] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    cost, audit = by_state(kinds)
+    lines, at, said = [], 0, ""
+    for e in audit:
+        role, text = ("assistant" if said[-1:] == "u" else "user"), ""
+        if e != "I":
+            role, text = (rows[at][1] if e == "K" else role), rows[at][2]
+            at += 1
+        if e != "D":
+            lines.append(f"{role}:{text}")
+            said += role[0]
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return (gaps, counts["b"], counts["d"], counts["t"], illegal, cost, audit, digest), lines
+
+
+def damaged(rows):
+    out = {}
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        m = zlib.crc32(name.encode()) % 20
+        have = out.setdefault(conv, [])
+        if m == 0:
+            continue
+        text = "" if m == 1 else re.sub("[.!?]", "", text) if m == 2 else text
+        have += [(turn, "user" if m == 4 else role, text)] * (2 if m == 3 else 1)
+    return out
+
+
+@pytest.fixture(scope="module")
+def odd():
+    rng = random.Random(5)
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "tool", "User", "", None, "up"]),
+             rng.choice(["Yes.", "no", " ", "", None, "What?! ", "same.", "é!\n", "x" * 5000 + "."]))
+            for c in range(300) for t in range(rng.randrange(1, 9))]
+    rows += [(None, t, "user", "a.") for t in (1, None, None, 7)] + [(500, 3, "user", "hi.")] * 4
+    rows += [(600, rng.choice([None, 2, -4, 2**40]), "assistant", f"{i % 5}.") for i in range(12)]
+    rows += [(700, i, "user" if i % 2 == 0 else "assistant", f"turn {i}" + ("." if i % 7 else "")) for i in range(3000)]
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [4096, 3])
+def test_against_the_plain_form(spark, odd, chunk):
+    df = spark.createDataFrame(odd, SCHEMA).repartition(3)
+    out = repair_conversations(damage(df), chunk=chunk).collect()
+    want = {c: plain(r)[0] for c, r in damaged(odd).items()}
+    assert {r[0]: tuple(r)[1:] for r in out} == want and len(out) == len(want)
+
+
+def test_repaired_turns(spark, odd):
+    df = damage(spark.createDataFrame(odd, SCHEMA))
+    turns = repaired_turns(df, repair_conversations(df)).collect()
+    found = {}
+    for r in sorted(turns, key=lambda r: r.position):
+        found.setdefault(r.conv_id, []).append(f"{r.role}:{r.text}")
+        assert r.position == len(found[r.conv_id]) - 1
+    want = {c: plain(r)[1] for c, r in damaged(odd).items()}
+    assert found == {c: x for c, x in want.items() if x}
+
+
+def test_odd_tables(spark):
+    extra = SCHEMA + ", kind string, at long, conv string, fault int"
+    rows = [(1, 0, "user", "a.", "k", 1, "c", 2), (1, 1, "assistant", "b.", None, None, None, None)]
+    out = repair_conversations(spark.createDataFrame(rows, extra)).collect()
+    assert [tuple(r)[:8] for r in out] == [(1, 0, 0, 0, 0, 0, 0, "KK")]
+    assert repair_conversations(damage(spark.createDataFrame([], extra))).count() == 0
+    gone = spark.createDataFrame([(9, 0, "user", "a.", False)], SCHEMA + ", present boolean")
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [tuple(r) for r in repair_conversations(gone).collect()] == [(9, 0, 0, 0, 0, 0, 0, "", empty)]
+    names = spark.createDataFrame([("x", 0, "user", "a.")], "conv_id string, turn int, role string, text string")
+    assert [tuple(r)[:1] + tuple(r)[6:8] for r in repair_conversations(names).collect()] == [("x", 2, "D")]
+
+
+def test_query_on_the_whole_table(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    want = {c: plain(r)[0] for c, r in damaged(rows).items()}
+    assert {r[0]: tuple(r)[1:] for r in queries.op13_repair(spark, sf).collect()} == want
