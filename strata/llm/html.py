@@ -4,10 +4,11 @@ Markup is stripped to lines, one for each block element. Text lengths are
 summed over sliding windows of lines; the text begins where the sums surge to
 the threshold and ends after the last sum that reaches it before they dive to
 zero, and everything between is kept. Lines of menus, headers, footers,
-sidebars, notices, adverts, forms and comments carry no length; where the page
-marks its article, neither do lines outside it, nor link text where it does
-not. Inside a marked part every line is text, however short: there the windows
-decide between parts, not between lines.
+sidebars, notices, adverts, forms and comments carry no length, nor does link
+text. Where the page marks its article, the marking enters the distribution as
+weight: a marked line is a surge by itself, however short, and lines outside
+carry none, so the same windows find every marked part and what lies between
+parts is a dive.
 """
 
 from __future__ import annotations
@@ -40,23 +41,31 @@ DROPPED = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "button",
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 IMPLIED_END = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-# ARIA roles and class and id names of what is not the text. A name is
-# one of these, or is made of them and ``QUALIFIERS`` alone ("site-footer").
+# ARIA roles and words of class and id names of what is not the text.
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "form"}
-DROPPED_NAMES = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs",
-    "comment", "comments", "consent", "cookie", "cookies", "disclaimer", "discussion", "disqus", "footer", "gdpr",
-    "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notification",
-    "overlay", "pagination", "paywall", "popup", "promo", "promoted", "promotion", "related", "replies", "reply",
-    "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "sponsors", "subscribe",
-    "subscription", "toolbar", "topbar", "widget", "widgets",
+# Words that say so wherever they stand in a name ("left-sidebar", "ad-slot", "fb-comments").
+COMMENT_WORDS = {"comment", "comments", "commentlist", "commenting", "commenter", "commenters", "disqus"}
+AD_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertisements", "advertising", "adsense", "sponsor", "sponsored", "sponsors"}
+LAYOUT_WORDS = {"sidebar", "sidebars", "nav", "navbar", "navigation", "menu", "menus"}
+STRONG_WORDS = COMMENT_WORDS | AD_WORDS | LAYOUT_WORDS | {
+    "breadcrumb", "breadcrumbs", "consent", "cookie", "cookies", "gdpr", "newsletter", "pagination", "paywall", "popup", "modal", "masthead",
 }
-COMMENT_NAMES = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "advertisement", "sponsored", "related", "promo"}
+# Words that say so in a name made of them and ``QUALIFIERS`` alone ("site-footer", "related-content").
+DROPPED_NAMES = STRONG_WORDS | {
+    "banner", "disclaimer", "discussion", "footer", "header", "notice", "notification", "overlay", "promo", "promoted", "promotion",
+    "related", "replies", "reply", "respond", "share", "sharing", "signup", "social", "subscribe", "subscription", "toolbar", "topbar",
+    "widget", "widgets",
+}
+COMMENT_NAMES = COMMENT_WORDS | AD_WORDS | {"reply", "replies", "related", "promo"}
 QUALIFIERS = {
-    "area", "article", "articles", "bar", "block", "bottom", "box", "buttons", "entry", "form", "global", "inner", "item",
-    "items", "link", "links", "list", "main", "page", "post", "posts", "primary", "secondary", "section", "site",
-    "stories", "story", "top",
+    "area", "article", "articles", "bar", "block", "bottom", "box", "buttons", "column", "container", "content", "copyright", "entry", "form",
+    "global", "holder", "inner", "item", "items", "left", "legal", "link", "links", "list", "main", "manager", "outer", "page", "panel", "post",
+    "posts", "primary", "right", "secondary", "section", "site", "slot", "stories", "story", "this", "thread", "top", "unit", "wrap", "wrapper",
 }
+# Words that make a name say something about the element, not what it is ("ad-free", "has-comments").
+ABOUT = {"with", "without", "has", "no", "not", "is", "js", "free", "open", "closed", "enabled", "disabled", "allowed", "off", "on"}
+# Names of elements that lay out a page and are called after its sidebar or menu too.
+LAYOUTS = {"layout", "page", "site", "wrapper", "container", "row", "grid", "columns"}
 TEASER_NAMES = {"preview", "previews", "recommended", "teaser", "teasers", "trending"}
 MAIN_NAMES = {
     "article", "article-body", "article-content", "article-text", "articlebody", "content", "content-body", "entry",
@@ -83,17 +92,23 @@ FORMS = {"form", "fieldset"}
 
 
 def _names(value: str) -> tuple[set[str], set[str]]:
-    """Names of a class or id attribute, and the words of ``DROPPED_NAMES`` in those
-    names that say that the element is not the text. A name that lengthens
-    another one of the element ("node node-promoted") is a variant of it."""
+    """Names of a class or id attribute, and the words in them that say that the
+    element is not the text: a strong word anywhere in a name, others where a name
+    is made of them and qualifiers. A name that lengthens another one of the
+    element ("node node-promoted") is a variant of it."""
     whole = value.split()
     lower = {w.lower() for w in whole}
     dropped: set[str] = set()
     for w in whole:
         parts = {p.lower() for p in _NAME_PART.split(w) if p}
+        if parts & ABOUT or any(w.lower().startswith((o + "-", o + "_")) for o in lower):
+            continue
         said = parts & DROPPED_NAMES
-        if said and parts <= said | QUALIFIERS and not any(w.lower().startswith((o + "-", o + "_")) for o in lower):
-            dropped |= said
+        dropped |= said if said and parts <= said | QUALIFIERS else parts & STRONG_WORDS
+    if lower & LAYOUTS:
+        dropped -= LAYOUT_WORDS
+    if lower & MAIN_NAMES:  # a main text is called after something else only by a whole name
+        dropped &= lower
     return lower, dropped
 
 
@@ -130,9 +145,11 @@ def page_lines(page: str) -> tuple[list[str], list[int], list[int]]:
     return _parse(page)[:3]
 
 
-def _parse(page: str, forms: bool = False, names: bool = True) -> tuple[list[str], list[int], list[int], int]:
-    """What ``page_lines`` gives, and the length of the unlinked text dropped in forms."""
+def _parse(page: str, forms: bool = False, names: bool = True) -> tuple[list[str], list[int], list[int], list[bool], int]:
+    """What ``page_lines`` gives, whether a line is a heading, and the length of
+    the unlinked text dropped in forms."""
     lines: list[str] = []
+    headings: list[bool] = []
     linked: list[int] = []
     zones: list[int] = []
     open_: list[tuple[str, int, int]] = []  # (name, judgement, zone)
@@ -147,6 +164,7 @@ def _parse(page: str, forms: bool = False, names: bool = True) -> tuple[list[str
             lines.append(line)
             linked.append(min(link_chars, len(line)))
             zones.append(zone)
+            headings.append(any(name in HEADINGS for name, _, _ in open_))
         text.clear()
         link_chars = 0
 
@@ -234,57 +252,72 @@ def _parse(page: str, forms: bool = False, names: bool = True) -> tuple[list[str
         state = judged
     add(page[at:])
     flush()
-    return lines, linked, zones, in_forms
+    return lines, linked, zones, headings, in_forms
 
 
 def main_text(page: str | None) -> str:
     """The main text of one page, its lines joined by one newline."""
     if not page:
         return ""
-    lines, linked, zones, in_forms = _parse(page)
+    lines, linked, zones, headings, in_forms = _parse(page)
     if not any(zones) and in_forms > sum(map(len, lines)) - sum(linked):
-        lines, linked, zones, _ = _parse(page, forms=True)  # the form is the page
+        lines, linked, zones, headings, _ = _parse(page, forms=True)  # the form is the page
     if not lines:  # better what is named like a sidebar than nothing
-        lines, linked, zones, _ = _parse(page, forms=True, names=False)
+        lines, linked, zones, headings, _ = _parse(page, forms=True, names=False)
     if not lines:
         return ""
-    length = np.array([len(x) for x in lines], np.int64)
-    zone = np.array(zones)
+    length, unlinked = np.array([len(x) for x in lines], np.int64), np.array(linked, np.int64)
+    unlinked = length - unlinked
+    marked = _marked(length, unlinked, np.array(zones))
+    # What marks a line as the article makes it a surge by itself.
+    weight = np.where(marked, np.maximum(length, SURGE), 0) if marked.any() else unlinked
+    kept = between_surge_and_dive(weight, np.array(headings) & ~marked.any())
+    return "\n".join(lines[i] for i in kept if weight[i] or not marked.any())
+
+
+def _marked(length: np.ndarray, unlinked: np.ndarray, zone: np.ndarray) -> np.ndarray:
+    """The lines of the parts that mark the article: all of them, but for teasers
+    and for lists of links beside the longest."""
     aside = np.bincount(np.where(zone < 0, -zone, 0), weights=np.where(zone < 0, length, 0))
     if aside.max() > length[zone > 0].sum():  # the article is in an element named like a sidebar or teaser
         zone = np.where(zone == -aside.argmax(), -zone, zone)
     zone = np.maximum(zone, 0)
-    unlinked = length - np.array(linked)
-    if zone.any():
-        # All marked parts weigh, but for lists of links beside the longest.
-        totals = np.bincount(zone, weights=length)
-        text = np.bincount(zone, weights=unlinked)
-        whole = 2 * text >= totals
-        totals[0], whole[0] = 0, False
-        whole[totals.argmax()] = True
-        weight = np.where(whole[zone], length, 0)
-    else:
-        weight = unlinked
+    if not zone.any():
+        return zone > 0
+    totals = np.bincount(zone, weights=length)
+    whole = 2 * np.bincount(zone, weights=unlinked) >= totals
+    totals[0], whole[0] = 0, False
+    whole[totals.argmax()] = True
+    return whole[zone]
+
+
+def between_surge_and_dive(weight: np.ndarray, heading: np.ndarray) -> list[int]:
+    """Numbers of the lines between surge and dive points of the distribution.
+
+    The sums over windows of WINDOW lines rise from zero and fall back to it; of
+    each such stretch the lines from the first window that reaches SURGE to the
+    last one are kept, less lines without weight at either end, and the lines from
+    the stretch's first heading before them on. Where no window reaches SURGE, the
+    stretches with the greatest sum are kept whole.
+    """
     sums = np.convolve(weight, np.ones(WINDOW, np.int64))  # sums[i]: lines i - WINDOW + 1 to i
-    alive = sums > 0
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], alive.astype(np.int8), [0]))))
-    spans = [(surge, dive - WINDOW + 1) for surge, dive in edges.reshape(-1, 2).tolist()]
-    if not spans:
-        return ""
-    peaks = [int(sums[a : b + WINDOW - 1].max()) for a, b in spans]
-    least = min(SURGE, max(peaks))
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], (sums > 0).astype(np.int8), [0]))))
+    most = int(sums.max())
+    least = min(SURGE, most)
     kept: list[int] = []
-    for (a, b), peak in zip(spans, peaks):
-        if peak < least:
+    for start, stop in edges.reshape(-1, 2).tolist():
+        first, last = start, stop - WINDOW + 1  # the stretch's lines
+        surging = np.flatnonzero(sums[start:stop] >= least) + start
+        if not most or not len(surging):
             continue
-        if least == SURGE and not zone.any():
-            # From the first to the last window that reaches the threshold.
-            surging = np.flatnonzero(sums[a : b + WINDOW - 1] >= SURGE) + a
-            a, b = max(a, int(surging[0]) - WINDOW + 1), min(b, int(surging[-1]) + 1)
+        if least == SURGE:
+            a, b = max(first, int(surging[0]) - WINDOW + 1), min(last, int(surging[-1]) + 1)
             weighted = np.flatnonzero(weight[a:b]) + a
             a, b = int(weighted[0]), int(weighted[-1]) + 1
-        kept += range(a, b)
-    return "\n".join(lines[i] for i in kept if weight[i] or not zone.any())
+            before = np.flatnonzero(heading[first:a])
+            first, last = (first + int(before[0]) if len(before) else a), b
+        kept += range(first, last)
+    return kept
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -1,12 +1,14 @@
 """Main text of pages."""
 
 import html
+import random
 import re
 
+import numpy as np
 import pytest
 
 from strata.llm import queries
-from strata.llm.html import extract_text, main_text, page_lines
+from strata.llm.html import SURGE, WINDOW, between_surge_and_dive, extract_text, main_text, page_lines
 
 LONG = "This paragraph is long enough to be a surge in the distribution of text over the lines of a page, on its own."
 
@@ -118,6 +120,77 @@ def test_an_article_in_several_parts(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "name",
+    "user-comments reader-comments comments-wrapper comment-thread commentlist fb-comments CommentList ad-slot ad-container google-ad "
+    "advertisement-wrapper adSlot consent-manager share-this related-content sub-menu left-sidebar sidebar-left cookie-consent-bar "
+    "copyright-notice site-footer post-comments".split(),
+)
+def test_names_of_what_is_not_the_text(name):
+    for page in (f"<article><p>a</p><div class='{name}'>no</div><p>b</p></article>", f"<article><p>a</p><section id={name}><p>no</p></section><p>b</p></article>"):
+        assert main_text(page) == "a\nb"
+
+
+@pytest.mark.parametrize("name", "ad-free has-comments no-sidebar commentary adventure shared-history widgetry comments-open noticeable header-image menuhin".split())
+def test_names_that_only_look_like_it(name):
+    assert main_text(f"<article><p>a</p><div class='{name}'>b</div></article>") == "a\nb"
+    assert main_text(f"<article class='post {name}'>a</article>") == "a"
+
+
+def test_content_called_after_an_advert():
+    assert main_text("<div class='entry-content ad-layout'><p>a</p><div class=ad>no</div></div>") == "a"
+    assert main_text("<div class='content comments'><p>no</p></div><div class=content>a</div>") == "a"
+
+
+def test_no_marked_part_is_lost():
+    three = "".join(f"<p>Plain line {i} of some length, not a menu.</p>" for i in range(3))
+    page = f"<article><p>{LONG}</p></article>{three}<article><p>The end.</p></article>"
+    assert main_text(page) == f"{LONG}\nThe end."
+    page = "<article>a</article>" + three * 4 + "<article>b</article>" + three + "<article>c</article>"
+    assert main_text(page) == "a\nb\nc"
+
+
+def test_headings_before_an_unmarked_text_stay():
+    page = f"<p>menu</p><p>menu</p><h1>Title</h1><h2>Sub</h2><p>Short.</p><p>Shorter.</p><p>{LONG}</p><p>{LONG}</p>"
+    assert main_text(page) == "\n".join(["Title", "Sub", "Short.", "Shorter.", LONG, LONG])
+
+
+def plain_lines(weights, headings):
+    """Surge and dive by definition: one window after the other."""
+    n = len(weights)
+    windows = {e: sum(weights[max(0, e - WINDOW + 1) : e + 1]) for e in range(n + WINDOW - 1)}
+    most = max(windows.values())
+    if not most:
+        return []
+    kept, e = [], 0
+    while e < len(windows):
+        if not windows[e]:
+            e += 1
+            continue
+        stop = e
+        while stop in windows and windows[stop]:
+            stop += 1
+        lines = list(range(e, stop - WINDOW + 1))
+        surges = [w for w in range(e, stop) if windows[w] >= min(SURGE, most)]
+        if surges and most >= SURGE:
+            inner = [i for i in lines if surges[0] - WINDOW < i <= surges[-1] and weights[i]]
+            begin = min([inner[0]] + [i for i in lines if headings[i] and i < inner[0]])
+            kept += range(begin, inner[-1] + 1)
+        elif surges:
+            kept += lines
+        e = stop
+    return kept
+
+
+def test_windows_against_their_definition():
+    rng = random.Random(6)
+    for _ in range(3000):
+        n = rng.randrange(1, 30)
+        weights = [rng.choice([0, 0, rng.randrange(20), rng.randrange(60), SURGE]) for _ in range(n)]
+        headings = [w > 0 and rng.random() < 0.1 for w in weights]
+        assert between_surge_and_dive(np.array(weights), np.array(headings)) == plain_lines(weights, headings)
+
+
 def test_query_against_the_pages_articles(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
