@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from strata.operators.changes import signed_changes
 from strata.operators.upsert import merge_into_layer
 from strata.plans import orders as lh
 from strata.plans import retail as lj
@@ -62,29 +64,55 @@ def run_daily_sales(
     return paths
 
 
+GOLD_VERSIONS = 10  # versions of the retail gold whose data is kept
+
+
+def _append_changes(spark: SparkSession, silver: str, changes: str, version: int) -> None:
+    """Write the signed rows between each silver version and the one before it,
+    for every version that has none yet (a run that ended between the two writes
+    is made good by the next one)."""
+    pending = []
+    while version >= 0 and not path_exists(spark, f"{changes}/versao={version}/_SUCCESS"):
+        pending.append(version)
+        version -= 1
+    for v in reversed(pending):
+        new = read_snapshot(spark, silver, v)
+        rows = new.withColumn("_sign", F.lit(1)) if v == 0 else signed_changes(read_snapshot(spark, silver, v - 1), new, ["id_pedido"])
+        write_layer(rows, f"{changes}/versao={v}")
+
+
 def run_retail(
     spark: SparkSession, raw: DataFrame, base: str, trigger: dict | None = None, wait: bool = True
 ) -> dict[str, str]:
-    """Retail: bronze snapshot of the raw sales, silver appended partitioned by
-    (ano, mes), gold product-month kept by a complete-mode stream. Repeatable: a
-    run appends only the orders that silver does not have."""
+    """Retail: bronze snapshot of the raw sales, silver snapshot partitioned by
+    (ano, mes), its changes as signed rows, gold product-month kept by an
+    update-mode stream of the changes.
+
+    Repeatable: corrected, new and vanished orders reach gold through their signed
+    rows, which rewrite only their months; a run on the same input changes nothing.
+    """
     paths = {
         "bronze": f"{base}/bronze/vendas",
         "silver": f"{base}/silver/vendas_silver",
+        "changes": f"{base}/silver/vendas_mudancas",
         "gold": f"{base}/gold/vendas_produto_mensal",
         "checkpoint": f"{base}/checkpoints/gold_vendas_produto_mensal",
     }
     write_snapshot(raw, paths["bronze"], operation="WRITE")
     silver = lj.silver_retail(read_snapshot(spark, paths["bronze"]))
-    if path_exists(spark, paths["silver"]):
-        # Only orders that silver does not have yet (a NULL id is one key, as in the
-        # deduplication), so a second run on the same input adds nothing.
-        had = spark.read.parquet(paths["silver"]).select(F.col("id_pedido").alias("_had"))
-        silver = silver.join(had, F.col("id_pedido").eqNullSafe(F.col("_had")), "left_anti")
-    write_layer(silver, paths["silver"], partition_by=["ano", "mes"], mode="append")
-    stream = st.table_stream(spark, paths["silver"], spark.read.parquet(paths["silver"]).schema)
-    query = st.start_complete(
-        lj.product_month(stream), paths["gold"], paths["checkpoint"], trigger=trigger or {"availableNow": True}
+    version = write_snapshot(silver, paths["silver"], partition_by=["ano", "mes"])
+    _append_changes(spark, paths["silver"], paths["changes"], version)
+    schema = StructType([*silver.schema.fields, StructField("_sign", IntegerType()), StructField("versao", IntegerType())])
+    stream = st.table_stream(spark, paths["changes"], schema)
+    query = st.start_update(
+        lj.product_month_changes(stream),
+        paths["gold"],
+        paths["checkpoint"],
+        keys=["ano", "mes", "produto"],
+        partition_by=["ano", "mes"],
+        gone=F.col("_linhas") == 0,
+        keep_versions=GOLD_VERSIONS,
+        trigger=trigger or {"availableNow": True},
     )
     if wait:
         st.run_until_done(query)

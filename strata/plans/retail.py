@@ -54,6 +54,19 @@ def product_month(silver: DataFrame) -> DataFrame:
     )
 
 
+def product_month_changes(changes: DataFrame, sign: str = "_sign") -> DataFrame:
+    """``product_month`` from signed silver rows: corrections and deletions take
+    off what they had added. ``_linhas`` counts the rows of a group; at 0 the group
+    is gone."""
+    by = F.col(sign)
+    return changes.groupBy("ano", "mes", "produto").agg(
+        F.sum(F.col("valor_total") * by).cast("decimal(20,2)").alias("receita_total"),
+        F.sum(F.col("quantidade") * by).cast("bigint").alias("quantidade_total"),
+        F.sum(F.when(F.col("cliente_id").isNotNull(), by).otherwise(0)).cast("bigint").alias("qtd_linhas"),
+        F.sum(by).cast("bigint").alias("_linhas"),
+    )
+
+
 def _newest(gold: DataFrame, col: str) -> Column:
     """Scalar subquery for the newest value of a column (the dashboard default)."""
     return gold.select(F.max(col)).scalar()
@@ -99,6 +112,34 @@ def period_cards(gold: DataFrame, year: int | None = None, month: int | None = N
     )
 
 
+ROLLUP_LEVELS = {"produto": ["ano", "mes", "produto"], "mes": ["ano", "mes"], "ano": ["ano"]}
+
+
+def rollup_layer(gold: DataFrame) -> DataFrame:
+    """The product-month gold with its monthly and yearly totals, from one pass over
+    it: rows of ``nivel`` produto, mes and ano (columns above a row's level are
+    NULL). Written partitioned by ``nivel``, a slice reads one level of it."""
+    grouped = gold.groupingSets(list(ROLLUP_LEVELS.values()), "ano", "mes", "produto").agg(
+        F.grouping_id().alias("_id"),
+        F.sum("receita_total").cast("decimal(30,2)").alias("receita_total"),
+        F.sum("quantidade_total").cast("bigint").alias("quantidade_total"),
+        F.sum("qtd_linhas").cast("bigint").alias("qtd_linhas"),
+    )
+    level = F.when(F.col("_id") == 0, "produto").when(F.col("_id") == 1, "mes").otherwise("ano")
+    return grouped.withColumn("nivel", level).drop("_id")
+
+
+def rollup_slice(layer: DataFrame, level: str, year: int | None = None, month: int | None = None) -> DataFrame:
+    """One level of the rollup layer, of one year or month; both filters reach the
+    scan, the level's as a partition filter."""
+    out = layer.filter(F.col("nivel") == level)
+    if year is not None:
+        out = out.filter(F.col("ano") == year)
+    if month is not None:
+        out = out.filter(F.col("mes") == month)
+    return out.select(*ROLLUP_LEVELS[level], "receita_total", "quantidade_total", "qtd_linhas")
+
+
 def filter_values(gold: DataFrame, cols: tuple[str, ...] = ("ano", "mes")) -> DataFrame:
     """Sorted distinct values of the filter columns, with the default flag
     (newest value) the dashboard preselects. One pass over the gold table:

@@ -20,8 +20,9 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -59,7 +60,7 @@ def _history_path(path: str) -> str:
     return f"{path.rstrip('/')}/{HISTORY_DIR}"
 
 
-def _version_path(path: str, version: int) -> str:
+def version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/snapshot_version={version}"
 
 
@@ -112,7 +113,7 @@ def _written_parts(spark: SparkSession, path: str, version: int) -> list[Part]:
     """The partition directories of a version just written, from its folder
     names (as many as there are partitions)."""
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(_version_path(path, version))
+    root = jvm.org.apache.hadoop.fs.Path(version_path(path, version))
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     found: list[Part] = []
@@ -148,11 +149,25 @@ def _write_version(
     spark = df.sparkSession
     obs = Observation(f"snapshot_{version}_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("num_rows"))
-    write_layer(observed, _version_path(path, version), partition_by=partition_by, files=files)
+    write_layer(observed, version_path(path, version), partition_by=partition_by, files=files)
     num_rows = int(obs.get["num_rows"]) + kept_rows
     parts = [*kept, *(_written_parts(spark, path, version) if partition_by else [])]
+    return commit_version(spark, path, version, operation, num_rows, df.schema, txn, parts)
+
+
+def commit_version(
+    spark: SparkSession,
+    path: str,
+    version: int,
+    operation: str,
+    num_rows: int,
+    schema: StructType,
+    txn: str | None = None,
+    parts: Sequence[Part] = (),
+) -> int:
+    """Append the history row that makes a written version visible."""
     commit = spark.createDataFrame(
-        [(version, operation, num_rows, df.schema.json(), txn, json.dumps([asdict(p) for p in parts]))],
+        [(version, operation, num_rows, schema.json(), txn, json.dumps([asdict(p) for p in parts]))],
         "version bigint, operation string, num_rows bigint, schema_json string, txn string, parts_json string",
     ).select(
         "version", F.current_timestamp().alias("committed_at"), "operation", "num_rows", "schema_json", "txn", "parts_json"
@@ -189,7 +204,7 @@ def write_snapshot(
 def _read_commit(spark: SparkSession, path: str, commit: Commit, parts: Sequence[Part] | None = None) -> DataFrame:
     """The rows of a commit, or of some of its partitions."""
     if not commit.parts:
-        df = spark.read.schema(commit.schema).parquet(_version_path(path, commit.version))
+        df = spark.read.schema(commit.schema).parquet(version_path(path, commit.version))
     else:
         places = [f"{path.rstrip('/')}/{p.location}" for p in (commit.parts if parts is None else parts)]
         if not places:
@@ -218,7 +233,7 @@ def version_layout(spark: SparkSession, path: str, version: int) -> tuple[Struct
     if row is None:
         raise ValueError(f"version {version} is not in the history of {path}")
     base = path.rstrip("/")
-    return row.schema, [replace(p, location=f"{base}/{p.location}") for p in row.parts], _version_path(path, version)
+    return row.schema, [replace(p, location=f"{base}/{p.location}") for p in row.parts], version_path(path, version)
 
 
 def merge_snapshot(
@@ -248,7 +263,7 @@ def merge_snapshot(
     source = spark.read.schema(df.schema).parquet(place)
     kept: list[Part] = []
     touched = list(commit.parts)
-    if commit.parts and tuple(partition_by or ()) == commit.parts[0].columns:
+    if partition_by and commit.parts and tuple(partition_by) == commit.parts[0].columns:
         columns = list(commit.parts[0].columns)
         matched = _read_commit(spark, path, commit).join(source.select(*keys), list(keys), "left_semi")
         values = reduce(DataFrame.unionByName, [d.select(*[F.col(c).cast("string") for c in columns]) for d in (matched, source)])
@@ -259,3 +274,69 @@ def merge_snapshot(
     rows_kept = commit.num_rows - target.count() if kept else 0
     merged = upsert(target, source, keys, update_cols)
     return _write_version(merged, path, commit.version + 1, operation, partition_by, files, None, kept, rows_kept)
+
+
+def replace_rows(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    gone: Column | None = None,
+    operation: str = "REPLACE ROWS",
+    txn: str | None = None,
+) -> int:
+    """Commit a version in which the rows of ``df`` stand for the rows that had
+    their keys; where ``gone`` holds, the old row only goes.
+
+    The keys include the partition columns, so only the partitions that ``df``
+    names are read and written; the version lists the directories of the rest as
+    they are. ``df`` holds a key once and is evaluated once, into the scratch
+    folder; NULL keys are keys like any other. A ``txn`` that is committed already
+    changes nothing, nor does an empty ``df`` on a table that exists.
+    """
+    spark = df.sparkSession
+    if not set(partition_by) <= set(keys):
+        raise ValueError("the keys must include the partition columns")
+    place = scratch_dir(spark, "replace-source")
+    df.write.parquet(place)
+    source = spark.read.schema(df.schema).parquet(place)
+    if txn is not None:
+        done = _commit(spark, path, txn=txn)
+        if done is not None:
+            return done.version
+    fresh = source if gone is None else source.filter(~gone)
+    commit = _commit(spark, path)
+    if commit is None:
+        columns = [c for c in df.columns if gone is None or not c.startswith("_")]
+        return _write_version(fresh.select(*columns), path, 0, operation, partition_by, None, txn)
+    names = commit.schema.fieldNames()
+    hit = {tuple(r) for r in source.select(*[F.col(c).cast("string") for c in partition_by]).distinct().collect()}
+    if not hit:
+        return commit.version
+    touched = [p for p in commit.parts if p.values in hit]
+    kept = [p for p in commit.parts if p.values not in hit]
+    target = _read_commit(spark, path, commit, touched)
+    rows_kept = commit.num_rows - target.count() if kept else 0
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"s__{k}")) for k in keys])
+    left = target.join(source.select(*[F.col(k).alias(f"s__{k}") for k in keys]), same, "left_anti")
+    merged = left.select(*names).unionByName(fresh.select(*names))
+    return _write_version(merged, path, commit.version + 1, operation, partition_by, None, txn, kept, rows_kept)
+
+
+def expire_snapshots(spark: SparkSession, path: str, keep: int) -> int:
+    """Remove the data that only versions before the newest ``keep`` list; returns
+    the number of directories removed. Those versions stay in the history but
+    can no longer be read."""
+    commits = snapshot_history(spark, path).select("version", "parts_json").collect()  # one row a commit
+    listed = [{p["location"] for p in json.loads(c["parts_json"] or "[]")} or {f"snapshot_version={c['version']}"} for c in commits]
+    needed = set().union(*listed[:keep])
+    jvm = spark.sparkContext._jvm
+    removed = 0
+    for commit, places in zip(commits[keep:], listed[keep:]):
+        own = f"snapshot_version={commit['version']}"
+        for place in places - needed:
+            if place == own or place.startswith(own + "/"):
+                folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{place}")
+                fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+                removed += int(fs.delete(folder, True))
+    return removed
