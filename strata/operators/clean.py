@@ -3,6 +3,7 @@ stamps, hashes, defaults and deduplication."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -143,17 +144,94 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
     )
 
 
-def head_rows(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
-    """First ``n`` rows in an explicit order (Spark has no file order).
+# Rows that one task may hold in order: a head of up to so many is a plain top-n.
+TOP_ROWS = 100_000
+_SKETCH_ERROR = 0.03  # of the rows sketched; twice the usual rank error of the sketch's default size
 
-    One path for every ``n`` and every column type: the rows are dealt into
-    ranges of the whole ordering key and written with their range's number; the
-    ranges are counted, and a row stays when the ranges before its own and its
-    place inside it reach at most ``n``. No task holds more than a range. Rows
-    that tie in the whole key may stand for each other.
+
+def head_rows(df: DataFrame, n: int, order_by: Sequence[str | Column], top_rows: int = TOP_ROWS) -> DataFrame:
+    """First ``n`` rows in an explicit order (Spark has no file order), NULLs first.
+
+    Up to ``top_rows`` a bounded top-n: each task keeps its ``n`` best. Beyond it the
+    place of rank ``n`` is bracketed by quantile sketches of the leading key, one
+    column read each time, and checked by exact counts; rows below the bracket are a
+    pushed-down filter, and only those inside it are put in order. Nothing is
+    written. Where a bracket cannot be made small (a leading key that many rows
+    share, or one that is no number, date or timestamp), the rows inside it are
+    dealt into ranges of the whole key. Rows that tie in the whole key may stand
+    for each other.
     """
-    spark = df.sparkSession
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    if n <= top_rows:
+        return df.orderBy(*order).limit(n)
+    rank = _rank_key(df, order_by[0])
+    below, inside, need = None, df, n
+    if rank is not None:
+        key, lowest = rank
+        low, high, need, size = _bracket(df.select(key.alias("key")), n, top_rows, lowest)
+        if low is None and high is None and size <= need:  # the whole table
+            return df.orderBy(*order)
+        at = key if low is None and high is None else F.coalesce(key, F.lit(lowest))
+        if low is not None:
+            below, inside = df.filter(at < low), inside.filter(at >= low)
+        if high is not None:
+            inside = inside.filter(at <= high)
+        kept = inside.orderBy(*order).limit(need) if size <= top_rows else _head_by_ranges(inside, need, order)
+    else:
+        kept = _head_by_ranges(inside, need, order)
+    return (kept if below is None else below.unionByName(kept)).orderBy(*order)
+
+
+def _rank_key(df: DataFrame, leading: str | Column) -> tuple[Column, int] | None:
+    """A long that orders as the leading column does, and the value that stands
+    for its NULLs."""
+    if not isinstance(leading, str):
+        return None
+    kind, c = df.schema[leading].dataType.typeName(), F.col(leading)
+    if kind in ("byte", "short", "integer", "long"):
+        return c.cast("bigint"), -(2**63)
+    if kind == "date":
+        return F.unix_date(c).cast("bigint"), -(2**63)
+    if kind == "timestamp":
+        return F.unix_micros(c), -(2**63)
+    return None
+
+
+def _bracket(keys: DataFrame, n: int, top_rows: int, lowest: int) -> tuple[int | None, int | None, int, int]:
+    """(low, high, need, size): the row of rank ``n`` is the one of rank ``need``
+    among the ``size`` rows whose key is from low to high (None: no bound). Keys
+    that are NULL count as ``lowest``."""
+    key = F.coalesce(F.col("key"), F.lit(lowest)).alias("key")
+    keys, low, high, need = keys.select(key), None, None, n
+    while True:
+        part = keys
+        if low is not None:
+            part = part.filter(F.col("key") >= low)
+        if high is not None:
+            part = part.filter(F.col("key") <= high)
+        rows, grid = part.agg(
+            F.count(F.lit(1)),
+            F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint("key"), F.array(*[F.lit(i / 100) for i in range(101)])),
+        ).first()
+        if rows <= top_rows or rows <= need:
+            return low, high, need, rows
+        place = need / rows
+        a = grid[max(0, math.floor(100 * (place - _SKETCH_ERROR)))]
+        b = grid[min(100, math.ceil(100 * (place + _SKETCH_ERROR)))]
+        before, between = part.agg(F.count_if(F.col("key") < a), F.count_if(F.col("key").between(a, b))).first()
+        if not before < need <= before + between:  # the sketch was further off than it says
+            return low, high, need, rows
+        low, high, need = a, b, need - before
+        if between <= top_rows or between > rows // 2:
+            return low, high, need, between
+
+
+def _head_by_ranges(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
+    """The first ``n`` rows by ranges of the whole ordering key: the rows are written
+    with their range's number, the ranges counted, and a row stays when the ranges
+    before its own and its place inside it reach at most ``n``. No task holds
+    more than a range."""
+    spark = df.sparkSession
     path = scratch_dir(spark, "head_rows")
     df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
     dealt = spark.read.parquet(path)
@@ -163,4 +241,4 @@ def head_rows(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFr
     needed = dealt.join(before.filter(F.col("_before") < n), "_range")
     place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     kept = needed.withColumn("_place", place).filter(F.col("_before") + F.col("_place") <= n)
-    return kept.select(*df.columns).orderBy(*order)
+    return kept.select(*df.columns)

@@ -131,14 +131,15 @@ def test_head_rows_explicit_order(spark):
     assert head_rows(df, 0, ["k"]).count() == 0
 
 
-def test_head_rows_is_exact_for_every_n(spark):
+@pytest.mark.parametrize("top_rows", [100_000, 1_000])
+def test_head_rows_is_exact_for_every_n(spark, top_rows):
     # NULL keys sort first; one value holds a third of the rows.
     df = spark.range(50_000).select(
         F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"),
         F.col("id").alias("v"),
     )
     for n in (1, 7_143, 20_000, 60_000):
-        got = head_rows(df, n, ["k", "v"])
+        got = head_rows(df, n, ["k", "v"], top_rows=top_rows)
         ref = df.orderBy("k", "v").limit(n)
         assert got.count() == min(n, 50_000)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
@@ -157,5 +158,19 @@ def test_head_rows_lead_types(spark, kind, values):
     df = spark.createDataFrame([(v, i) for i in range(50) for v in values], f"k {kind}, i int")
     want = sorted(((v is not None, v, i) for i in range(50) for v in values), key=lambda r: (r[0], r[1] or values[2], r[2]))
     got = [(r.k, r.i) for r in head_rows(df, 120, ["k", "i"]).collect()]
+    assert got == [(r.k, r.i) for r in head_rows(df, 120, ["k", "i"], top_rows=9).collect()]
     ref = [(r.k, r.i) for r in df.orderBy("k", "i").limit(120).collect()]
     assert got == ref and len(want) == 200
+
+
+def test_head_rows_narrows_without_a_write(spark, monkeypatch):
+    from strata.operators import clean
+
+    monkeypatch.setattr(clean, "scratch_dir", None)  # a write would fail
+    df = spark.range(200_000).select(F.xxhash64("id").alias("k"), F.col("id").alias("v")).repartition(4)
+    for n in (3_000, 77_000, 199_999, 200_000, 300_000):
+        got = head_rows(df, n, ["k", "v"], top_rows=2_000)
+        want = [r.v for r in df.orderBy("k", "v").limit(n).collect()]
+        assert [r.v for r in got.collect()] == want
+    plan = head_rows(df, 5, ["k", "v"])._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Exchange range" not in plan
