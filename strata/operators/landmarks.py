@@ -285,31 +285,55 @@ def visible_runs(visible: DataFrame, chunk: int = RUN_CHUNK) -> DataFrame:
     )
 
 
-def _step(raw, position):
-    """One smoothing step, truncating: a number, or an array of positions."""
-    return np.trunc(SMOOTH_ALPHA * raw + (1 - SMOOTH_ALPHA) * position)
+def _step(raw: int, position: int) -> int:
+    """One smoothing step, truncating."""
+    return int(SMOOTH_ALPHA * raw + (1 - SMOOTH_ALPHA) * position)
 
 
 class _ChunkMap:
     """The map from a chunk's incoming position, any whole number in [low, high],
-    to its last one. The step is monotone, so the map is a staircase: ``ends``
-    and the least start that reaches each. Steps contract, so after a few frames
-    only a stair or two are left."""
+    to its last one, in constant space.
 
-    def __init__(self, low: int, high: int):
-        self.starts = np.arange(low, high + 1)
-        self.ends = self.starts.astype("float64")
+    A step is monotone and brings two positions a quarter nearer, so the paths
+    from both extremes close in on each other. Until they are ``NEAR`` apart (after
+    at most some 150 frames, whatever the range) the raw positions are kept as they
+    are, in ``head``; from there on the map is a staircase over the few positions
+    between the two paths: ``starts`` and the end that each leads to."""
 
-    def step(self, raw: int) -> None:
-        self.ends = _step(raw, self.ends)
-        if len(self.ends) > 1:
-            new = np.concatenate(([True], self.ends[1:] != self.ends[:-1]))
-            self.starts, self.ends = self.starts[new], self.ends[new]
+    NEAR = 8
 
+    def __init__(self, low: int, high: int):
+        self.low, self.high = low, high
+        self.head: list[int] = []
+        self.starts: list[int] = []
+        self.ends: list[int] = []
 
-CHUNK_MAP_SCHEMA = (
-    "subject bigint, run_start bigint, chunk bigint, first_x bigint, first_y bigint, "
-    "starts_x array<bigint>, ends_x array<bigint>, starts_y array<bigint>, ends_y array<bigint>"
+    def step(self, raw: int) -> None:
+        if len(self.ends) == 1:  # one stair is left
+            self.ends[0] = _step(raw, self.ends[0])
+            return
+        if self.ends:
+            ends = [_step(raw, e) for e in self.ends]
+            new = [k for k, e in enumerate(ends) if not k or e != ends[k - 1]]
+            self.starts, self.ends = [self.starts[k] for k in new], [ends[k] for k in new]
+            return
+        self.head.append(raw)
+        self.low, self.high = _step(raw, self.low), _step(raw, self.high)
+        if self.high - self.low <= self.NEAR:
+            self.starts = list(range(self.low, self.high + 1))
+            self.ends = list(self.starts)
+
+
+def _follow(head, starts, ends, position: int) -> int:
+    """Where a chunk map leads from an incoming position."""
+    for raw in head:
+        position = _step(raw, position)
+    return int(ends[np.searchsorted(starts, position, side="right") - 1]) if len(starts) else position
+
+
+_MAP_PARTS = ("head", "starts", "ends")
+CHUNK_MAP_SCHEMA = "subject bigint, run_start bigint, chunk bigint, first_x bigint, first_y bigint, " + ", ".join(
+    f"{part}_{axis} array<bigint>" for axis in "xy" for part in _MAP_PARTS
 )
 
 
@@ -319,17 +343,15 @@ def _chunk_maps(batches: Iterator[pd.DataFrame], low: int, high: int) -> Iterato
     key, maps, done = None, None, []
 
     def row():
-        (x, y), first = maps, firsts
-        return (*key, *first, x.starts.tolist(), x.ends.astype("int64").tolist(), y.starts.tolist(), y.ends.astype("int64").tolist())
+        return (*key, *firsts, *[getattr(m, part) for m in maps for part in _MAP_PARTS])
 
     names = [c.split()[0] for c in CHUNK_MAP_SCHEMA.split(", ")]
     for pdf in batches:
-        for *k, rx, ry in zip(*(pdf[c].to_numpy() for c in ("subject", "run_start", "chunk", "cx_raw", "cy_raw"))):
-            k = tuple(map(int, k))
+        for *k, rx, ry in zip(*(pdf[c].tolist() for c in ("subject", "run_start", "chunk", "cx_raw", "cy_raw"))):
             if k != key:
                 if key is not None:
                     done.append(row())
-                key, maps, firsts = k, (_ChunkMap(low, high), _ChunkMap(low, high)), (int(rx), int(ry))
+                key, maps, firsts = k, (_ChunkMap(low, high), _ChunkMap(low, high)), (rx, ry)
             maps[0].step(rx)
             maps[1].step(ry)
         if done:
@@ -350,28 +372,26 @@ def _chain_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if (r.subject, r.run_start) != run:
                 run, x, y = (r.subject, r.run_start), r.first_x, r.first_y
             out.append((r.subject, r.run_start, r.chunk, x, y))
-            x = int(r.ends_x[np.searchsorted(r.starts_x, x, side="right") - 1])
-            y = int(r.ends_y[np.searchsorted(r.starts_y, y, side="right") - 1])
+            x, y = _follow(r.head_x, r.starts_x, r.ends_x, x), _follow(r.head_y, r.starts_y, r.ends_y, y)
         yield pd.DataFrame(out, columns=["subject", "run_start", "chunk", "in_x", "in_y"])
 
 
 def _smooth_partitions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Exponential smoothing over rows sorted by (subject, run_start, chunk,
-    frame_no), from each chunk's incoming position: every frame is
-    ``int(0.25 * raw + 0.75 * previous)``. State carries across batches."""
-    key = None
+    frame_no): every frame is ``int(0.25 * raw + 0.75 * previous)``. A chunk begins
+    with the row of its incoming position (no frame number). State carries
+    across batches."""
     px = py = 0
     for pdf in batches:
-        keys = list(zip(pdf["subject"], pdf["run_start"], pdf["chunk"]))
-        rx, ry = pdf["cx_raw"].to_numpy(dtype="int64"), pdf["cy_raw"].to_numpy(dtype="int64")
-        in_x, in_y = pdf["in_x"].to_numpy(), pdf["in_y"].to_numpy()
-        cx, cy = np.empty(len(pdf), dtype="int64"), np.empty(len(pdf), dtype="int64")
-        for i, k in enumerate(keys):
-            if k != key:
-                key, px, py = k, int(in_x[i]), int(in_y[i])
-            cx[i] = px = int(SMOOTH_ALPHA * rx[i] + (1 - SMOOTH_ALPHA) * px)
-            cy[i] = py = int(SMOOTH_ALPHA * ry[i] + (1 - SMOOTH_ALPHA) * py)
-        yield pd.DataFrame({"subject": pdf["subject"], "frame_no": pdf["frame_no"], "cx": cx, "cy": cy})
+        rows = [pdf[c].tolist() for c in ("subject", "frame_no", "chunk_in", "cx_raw", "cy_raw")]
+        out = []
+        for subject, frame, comes_in, rx, ry in zip(*rows):
+            if comes_in:
+                px, py = rx, ry
+                continue
+            px, py = _step(rx, px), _step(ry, py)
+            out.append((subject, frame, px, py))
+        yield pd.DataFrame(out, columns=["subject", "frame_no", "cx", "cy"])
 
 
 def ship_by_value(module_name: str) -> None:
@@ -399,13 +419,18 @@ def smoothed_position(visible: DataFrame, materialize: bool = True, chunk: int =
     )
     low, high = runs.agg(F.min(F.least("cx_raw", "cy_raw")), F.max(F.greatest("cx_raw", "cy_raw"))).first()
     low, high = low or 0, high or 0
-    dealt = runs.repartition(*by)
-    maps = dealt.sortWithinPartitions(*by, "frame_no").mapInPandas(lambda b: _chunk_maps(b, low, high), CHUNK_MAP_SCHEMA)
+    maps = runs.repartition(*by).sortWithinPartitions(*by, "frame_no").mapInPandas(
+        lambda b: _chunk_maps(b, low, high), CHUNK_MAP_SCHEMA
+    )
     incoming = (
         maps.repartition("subject", "run_start")
         .sortWithinPartitions(*by)
         .mapInPandas(_chain_chunks, "subject bigint, run_start bigint, chunk bigint, in_x bigint, in_y bigint")
     )
-    ready = dealt.join(incoming, by).repartition(*by).sortWithinPartitions(*by, "frame_no")
+    # The incoming position travels with the chunk's frames, as its first row: no join.
+    frames = runs.withColumn("chunk_in", F.lit(False)).unionByName(
+        incoming.select(*by, no.alias("frame_no"), F.col("in_x").alias("cx_raw"), F.col("in_y").alias("cy_raw"), F.lit(True).alias("chunk_in"))
+    )
+    ready = frames.repartition(*by).sortWithinPartitions(*by, F.desc("chunk_in"), "frame_no")
     out = ready.mapInPandas(_smooth_partitions, "subject bigint, frame_no bigint, cx int, cy int")
     return out.withColumn("subject", F.nullif("subject", no))
