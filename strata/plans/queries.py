@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from strata.plans import bindings as B
 from strata.plans import orders as lh
@@ -306,6 +307,32 @@ def _retail_gold(spark, sf_dir):
     return lj.product_month(_retail_silver(spark, sf_dir))
 
 
+_LAYERS: dict[tuple[str, str], str] = {}
+
+
+def _gold_layer(spark, sf_dir) -> DataFrame:
+    """The retail gold with its rollups, written once a session as a layer that the
+    dashboard's slices read, as the jobs and the dashboard do."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYERS:
+        path = scratch_dir(spark, "gold_vendas_rollup")
+        write_layer(lj.rollup_layer(_retail_gold(spark, sf_dir)), path, partition_by=["nivel"])
+        _LAYERS[key] = path
+    return spark.read.parquet(_LAYERS[key])
+
+
+def _gold_slices(spark, sf_dir) -> DataFrame:
+    """Product-month rows of the gold layer."""
+    gold = lj.rollup_slice(_gold_layer(spark, sf_dir), "produto")
+    return gold.withColumn("receita_total", F.col("receita_total").cast("decimal(20,2)"))
+
+
+def _month_totals(spark, sf_dir) -> DataFrame:
+    """Monthly rows of the gold layer, money as in the gold."""
+    months = lj.rollup_slice(_gold_layer(spark, sf_dir), "mes")
+    return months.withColumn("receita_total", F.col("receita_total").cast("decimal(20,2)"))
+
+
 @register("silver_retail_clean", "SELECT * FROM retail_silver", _RETAIL_CTES)
 def q_silver_retail_clean(spark, sf_dir):
     return _retail_silver(spark, sf_dir)
@@ -326,7 +353,7 @@ def q_gold_product_month(spark, sf_dir):
 
 @register("month_slice", f"SELECT * FROM retail_gold WHERE ano = {YEAR} AND mes = {MONTH}", _RETAIL_CTES)
 def q_month_slice(spark, sf_dir):
-    return lj.month_slice(_retail_gold(spark, sf_dir), YEAR, MONTH)
+    return lj.month_slice(_gold_slices(spark, sf_dir), YEAR, MONTH)
 
 
 @register(
@@ -335,7 +362,7 @@ def q_month_slice(spark, sf_dir):
     _RETAIL_CTES,
 )
 def q_products_by_revenue(spark, sf_dir):
-    return lj.ranked_products(_retail_gold(spark, sf_dir), YEAR, MONTH, "receita_total")
+    return lj.ranked_products(_gold_slices(spark, sf_dir), YEAR, MONTH, "receita_total")
 
 
 @register(
@@ -344,7 +371,7 @@ def q_products_by_revenue(spark, sf_dir):
     _RETAIL_CTES,
 )
 def q_products_by_quantity(spark, sf_dir):
-    return lj.ranked_products(_retail_gold(spark, sf_dir), YEAR, MONTH, "quantidade_total")
+    return lj.ranked_products(_gold_slices(spark, sf_dir), YEAR, MONTH, "quantidade_total")
 
 
 @register(
@@ -354,7 +381,8 @@ def q_products_by_quantity(spark, sf_dir):
     _RETAIL_CTES,
 )
 def q_monthly_revenue(spark, sf_dir):
-    return lj.monthly_revenue(_retail_gold(spark, sf_dir), YEAR)
+    months = lj.rollup_slice(_gold_layer(spark, sf_dir), "mes", YEAR)
+    return months.select("mes", "receita_total").orderBy("mes")
 
 
 _SQL_PERIOD = f"""
@@ -366,7 +394,7 @@ FROM retail_gold WHERE ano = {YEAR} AND mes = {MONTH}
 
 @register("period_totals", _SQL_PERIOD, _RETAIL_CTES)
 def q_period_totals(spark, sf_dir):
-    return lj.period_totals(_retail_gold(spark, sf_dir), YEAR, MONTH)
+    return lj.period_totals(_month_totals(spark, sf_dir), YEAR, MONTH)
 
 
 @register(
@@ -379,7 +407,7 @@ FROM period
     {**_RETAIL_CTES, "period": _SQL_PERIOD},
 )
 def q_period_cards(spark, sf_dir):
-    return lj.period_cards(_retail_gold(spark, sf_dir), YEAR, MONTH)
+    return lj.period_cards(_month_totals(spark, sf_dir), YEAR, MONTH)
 
 
 @register(
@@ -394,7 +422,7 @@ FROM retail_gold GROUP BY mes
     _RETAIL_CTES,
 )
 def q_filter_values(spark, sf_dir):
-    return lj.filter_values(_retail_gold(spark, sf_dir))
+    return lj.filter_values(_month_totals(spark, sf_dir))
 
 
 @register(
@@ -404,7 +432,7 @@ def q_filter_values(spark, sf_dir):
     _RETAIL_CTES,
 )
 def q_top_products(spark, sf_dir):
-    return lj.top_products(_retail_gold(spark, sf_dir), YEAR, 10)
+    return lj.top_products(_gold_slices(spark, sf_dir), YEAR, 10)
 
 
 # Fixed value: rows kept by the CSV reduction step.
@@ -611,8 +639,6 @@ def q_stream_orders_append(spark, sf_dir):
 
 
 def query_schema_of_sink():
-    from pyspark.sql.types import StringType, StructField, StructType, TimestampType
-
     return StructType(
         list(st.ORDER_EVENT_SCHEMA.fields)
         + [StructField("_ingestion_ts", TimestampType(), True), StructField("_source", StringType(), True)]
@@ -643,7 +669,8 @@ from strata.sources import synthetic as syn  # noqa: E402
 
 def _sql_synthetic(key: str = "o_orderkey", seed: int = 42) -> str:
     def d(stream: int) -> str:
-        return f"CAST('0x' || substr(md5(concat_ws(':', CAST({key} AS VARCHAR), '{seed}', '{stream}')), 1, 8) AS BIGINT)"
+        block, place = divmod(stream - 1, syn.DRAWS_A_HASH)
+        return f"CAST('0x' || substr(sha256(concat_ws(':', CAST({key} AS VARCHAR), '{seed}', '{block}')), {1 + 8 * place}, 8) AS BIGINT)"
 
     def lst(vals) -> str:
         return "[" + ", ".join(repr(v) if isinstance(v, str) else str(v) for v in vals) + "]"
@@ -952,33 +979,31 @@ def q_issues_summary(spark, sf_dir):
 # --- Streaming smoothing -------------------------------------------------------
 
 from strata.session import ensure_checkpoint_dir  # noqa: E402
+from strata.sources.files import append_layer  # noqa: E402
+from strata.streaming import ordering  # noqa: E402
 from strata.streaming import smoothing as sm  # noqa: E402
 
-# Frame files landed for the smoothing stream, one per frame range, in order.
-SMOOTH_LANDING_FILES = 3
+# The frames' clock, files that land in no order, and how far they may be out of it.
+FRAME_MS, SMOOTH_LANDING_FILES, SMOOTH_DELAY = 40, 6, "1 day"
 
 
 @register("stream_smoothed_position", "SELECT subject, frame_no, cx, cy FROM smooth", _LM_CTES)
 def q_stream_smoothed_position(spark, sf_dir):
-    """Visible frames land in frame order, one landing write per frame range,
-    each hash-partitioned by subject (all frames of a subject in a range sit
-    in one file); the per-subject stateful stream reads one file per
-    micro-batch, so the state carries across batches in frame order. Equals
-    the batch ``smoothed_position``."""
+    """Visible frames land shuffled over files, whatever their order; the stream
+    holds each until the watermark passes and smooths in frame order. A last row
+    without a frame moves the watermark past all of them. Equals the batch
+    ``smoothed_position``."""
     ensure_checkpoint_dir(spark)
-    visible = lm.visible_frames(_features(spark, sf_dir)).checkpoint(eager=True)
-    lo, hi = visible.agg(F.min("frame_no"), F.max("frame_no")).collect()[0]
     landing = scratch_dir(spark, "landing_visible_frames")
     sink = scratch_dir(spark, "smoothed_position_stream")
-    if lo is not None:
-        step = (hi - lo) // SMOOTH_LANDING_FILES + 1
-        for i in range(SMOOTH_LANDING_FILES):
-            part = visible.filter((F.col("frame_no") >= lo + i * step) & (F.col("frame_no") < lo + (i + 1) * step))
-            part.repartition("subject").write.mode("append").parquet(landing)
-    else:
-        visible.repartition("subject").write.mode("append").parquet(landing)
-    stream = st.table_stream(spark, landing, visible.schema, max_files=1)
-    query = st.start_append(sm.smooth_stream(stream), sink, f"{sink}_checkpoint", trigger={"availableNow": True})
+    visible = lm.visible_frames(_features(spark, sf_dir)).withColumn("at", F.timestamp_millis(F.col("frame_no") * FRAME_MS))
+    write_layer(visible.repartition(SMOOTH_LANDING_FILES, F.xxhash64("subject", "frame_no")), landing)
+    end = visible.agg(F.max("at").alias("at")).select((F.col("at") + F.expr("INTERVAL 2 DAYS")).alias("at"))
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in visible.schema.fields if f.name != "at"]
+    append_layer(end.select(*blank, "at").select(*visible.columns), landing)
+    with ordering.rocksdb_state(spark):
+        smoothed = ordering.smooth_in_order(st.table_stream(spark, landing, visible.schema), "at", SMOOTH_DELAY)
+        query = st.start_append(smoothed.filter("NOT late").drop("late"), sink, f"{sink}_checkpoint", trigger={"availableNow": True})
     st.run_until_done(query)
     return spark.read.schema(sm.OUTPUT_SCHEMA).parquet(sink)
 
@@ -1133,9 +1158,19 @@ def q_catalog_listing(spark, sf_dir):
 _SQL_NEWEST = "ano = (SELECT max(ano) FROM retail_gold) AND mes = (SELECT max(mes) FROM retail_gold)"
 
 
-@register("month_slice_newest", f"SELECT * FROM retail_gold WHERE {_SQL_NEWEST}", _RETAIL_CTES)
+_NEWEST_SALES = "data_pedido < '1998-01-01' OR data_pedido = 'not-a-date'"  # whole years: the newest one has a December
+
+
+@register(
+    "month_slice_newest",
+    f"SELECT * FROM retail_gold WHERE {_SQL_NEWEST}",
+    {**_RETAIL_CTES, "retail_typed": _SQL_RETAIL_TYPED + f"WHERE {_NEWEST_SALES}"},
+)
 def q_month_slice_newest(spark, sf_dir):
-    return lj.month_slice(_retail_gold(spark, sf_dir))
+    """The default slice (newest year, newest month) of a gold whose newest year is
+    whole, so that it holds rows."""
+    raw = B.lj_vendas_raw(spark, sf_dir).filter(_NEWEST_SALES)
+    return lj.month_slice(lj.product_month(lj.silver_retail(raw)))
 
 
 STAMP = "2024-05-06 07:08:09"
@@ -1183,3 +1218,202 @@ def q_retail_runs_twice(spark, sf_dir):
     jobs.run_retail(spark, raw, base)
     paths = jobs.run_retail(spark, raw, base)
     return snap.read_snapshot(spark, paths["gold"]).select("produto", "ano", "mes", "quantidade_total")
+
+
+# --- Corrections through silver and gold -----------------------------------------
+
+# The second landing of the sales: one order more in each row of quantity 10,
+# quantity 11 vanished, quantity 12 new, and quantity 13 moved to another month.
+_SQL_RAW_FIRST = "SELECT * FROM lj_vendas_raw WHERE quantidade <> 12"
+_SQL_RAW_SECOND = """
+SELECT * REPLACE (CASE WHEN quantidade = 10 THEN 11 ELSE quantidade END AS quantidade,
+                  CASE WHEN quantidade = 13 THEN '1999-01-15' ELSE data_pedido END AS data_pedido)
+FROM lj_vendas_raw WHERE quantidade <> 11
+"""
+
+
+def _raw_landings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    raw, q = B.lj_vendas_raw(spark, sf_dir), F.col("quantidade")
+    second = raw.filter(q != 11).withColumns(
+        {
+            "data_pedido": F.when(q == 13, "1999-01-15").otherwise(F.col("data_pedido")),
+            "quantidade": F.when(q == 10, F.lit(11).cast("bigint")).otherwise(q),
+        }
+    )
+    return raw.filter(q != 12), second
+
+
+_CORRECTED_CTES = {
+    "retail_typed": _SQL_RETAIL_TYPED.replace("FROM lj_vendas_raw", f"FROM ({_SQL_RAW_SECOND})"),
+    "retail_silver": _SQL_RETAIL_SILVER,
+    "retail_gold": _SQL_RETAIL_GOLD,
+}
+
+
+@register("retail_corrections", "SELECT * FROM retail_gold", _CORRECTED_CTES)
+def q_retail_corrections(spark, sf_dir):
+    """The retail job on two landings of the sales with changed, new, vanished
+    and moved orders: its gold is that of a full rebuild on the second."""
+    from strata.plans import jobs
+
+    base = scratch_dir(spark, "retail_corrected")
+    for raw in _raw_landings(spark, sf_dir):
+        paths = jobs.run_retail(spark, raw, base)
+    return snap.read_snapshot(spark, paths["gold"])
+
+
+_SILVER_OF = {
+    name: _SQL_RETAIL_SILVER.replace("retail_typed", "(" + _SQL_RETAIL_TYPED.replace("FROM lj_vendas_raw", f"FROM ({raw})") + ")")
+    for name, raw in (("first_silver", _SQL_RAW_FIRST), ("second_silver", _SQL_RAW_SECOND))
+}
+
+
+@register(
+    "signed_changes",
+    """
+SELECT *, CAST(-1 AS INTEGER) AS _sign FROM (SELECT * FROM first_silver EXCEPT ALL SELECT * FROM second_silver)
+UNION ALL
+SELECT *, CAST(1 AS INTEGER) AS _sign FROM (SELECT * FROM second_silver EXCEPT ALL SELECT * FROM first_silver)
+""",
+    _SILVER_OF,
+)
+def q_signed_changes(spark, sf_dir):
+    """The signed silver rows between the two landings."""
+    from strata.operators.changes import signed_changes
+
+    first, second = [lj.silver_retail(raw) for raw in _raw_landings(spark, sf_dir)]
+    return signed_changes(first, second, ["id_pedido"])
+
+
+# --- Rollups, replaced months, growth by load, gated loads, evolving streams --------
+
+
+@register(
+    "gold_rollup",
+    """
+SELECT 'produto' AS nivel, ano, mes, produto, CAST(receita_total AS DECIMAL(30,2)) AS receita_total, quantidade_total, qtd_linhas FROM retail_gold
+UNION ALL
+SELECT 'mes', ano, mes, NULL, CAST(sum(receita_total) AS DECIMAL(30,2)), CAST(sum(quantidade_total) AS BIGINT), CAST(sum(qtd_linhas) AS BIGINT)
+FROM retail_gold GROUP BY ano, mes
+UNION ALL
+SELECT 'ano', ano, NULL, NULL, CAST(sum(receita_total) AS DECIMAL(30,2)), CAST(sum(quantidade_total) AS BIGINT), CAST(sum(qtd_linhas) AS BIGINT)
+FROM retail_gold GROUP BY ano
+""",
+    _RETAIL_CTES,
+)
+def q_gold_rollup(spark, sf_dir):
+    """All levels of the rollup layer."""
+    return _gold_layer(spark, sf_dir).select("nivel", "ano", "mes", "produto", "receita_total", "quantidade_total", "qtd_linhas")
+
+
+@register(
+    "rewrite_month",
+    f"SELECT ano, mes, id_pedido, CASE WHEN ano = {YEAR} AND mes = {MONTH} THEN 2 ELSE 1 END * quantidade AS quantidade FROM retail_silver",
+    _RETAIL_CTES,
+)
+def q_rewrite_month(spark, sf_dir):
+    """One month of a partitioned layer written again, with its quantities doubled;
+    the other months stay as they are."""
+    path = scratch_dir(spark, "vendas_por_mes")
+    silver = _retail_silver(spark, sf_dir).select("ano", "mes", "id_pedido", "quantidade")
+    write_layer(silver, path, partition_by=["ano", "mes"])
+    month = spark.read.schema(silver.schema).parquet(path).filter((F.col("ano") == YEAR) & (F.col("mes") == MONTH))
+    write_layer(month.withColumn("quantidade", F.col("quantidade") * 2), path, partition_by=["ano", "mes"], present_only=True)
+    return spark.read.schema(silver.schema).parquet(path).select("ano", "mes", "id_pedido", "quantidade")
+
+
+@register("growth_by_load", _SQL_GROWTH, _SALES_CTES)
+def q_growth_by_load(spark, sf_dir):
+    """Daily growth loaded year by year, each load reading its own days and the
+    carry of the one before. Equals the full run."""
+    base = scratch_dir(spark, "gold_vendas_diarias")
+    fact = B.table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("y")).distinct().orderBy("y")
+    daily = pm.daily_sales(_sales_enriched(spark, sf_dir)).withColumn("_y", F.year("data_venda"))
+    write_layer(daily, f"{base}/fato", partition_by=["_y"])
+    stored = spark.read.schema(daily.schema).parquet(f"{base}/fato")
+    carry = None
+    for i, row in enumerate(fact.collect()):  # one row a year
+        days = stored.filter(F.col("_y") == row.y).drop("_y")
+        grown, last = pm.daily_growth_after(days, carry)
+        write_layer(grown, f"{base}/gold/carga={i}")
+        write_layer(last, f"{base}/carry/{i}")
+        carry = spark.read.schema(last.schema).parquet(f"{base}/carry/{i}")
+    return spark.read.schema(grown.schema).parquet(f"{base}/gold").select(*grown.columns)
+
+
+_GATED_REASONS = """
+    CASE WHEN cliente_id IS NULL THEN ['cliente_id is null'] ELSE [] END
+    || CASE WHEN NOT (quantidade < 50) THEN ['quantidade under 50'] ELSE [] END
+    || CASE WHEN cliente_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pm_clientes c WHERE c.id = v.cliente_id) THEN ['cliente_id has no parent'] ELSE [] END
+    || CASE WHEN (SELECT n FROM (SELECT cliente_id AS a, produto_id AS b, data_venda AS d, count(*) AS n FROM pm_vendas GROUP BY ALL) r
+                  WHERE r.a = v.cliente_id AND r.b = v.produto_id AND r.d = v.data_venda) > 1
+            THEN ['cliente_id, produto_id, data_venda not unique'] ELSE [] END
+"""
+
+
+@register(
+    "gated_load",
+    f"""
+SELECT id, array_to_string(reasons, '; ') AS reasons, CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'rejected' END AS verdict
+FROM (SELECT id, {_GATED_REASONS} AS reasons FROM pm_vendas v)
+""",
+)
+def q_gated_load(spark, sf_dir):
+    """Sales loaded through their constraints: accepted rows are the version,
+    rejected ones lie beside it with their reasons."""
+    from strata.operators import gates
+
+    path = scratch_dir(spark, "vendas_conferidas")
+    rules = [
+        gates.not_null("cliente_id"),
+        gates.check("quantidade under 50", F.col("quantidade") < 50),
+        gates.foreign_key("cliente_id", B.pm_clientes(spark, sf_dir), "id"),
+        gates.unique("cliente_id", "produto_id", "data_venda"),
+    ]
+    gates.load_gated(B.pm_vendas(spark, sf_dir), path, rules)
+    accepted = snap.read_snapshot(spark, path).select("id", F.lit("").alias("reasons"), F.lit("accepted").alias("verdict"))
+    rejected = gates.read_rejected(spark, path)
+    return accepted.unionByName(rejected.select("id", F.array_join(gates.REASONS, "; ").alias("reasons"), F.lit("rejected").alias("verdict")))
+
+
+@register(
+    "stream_schema_grows",
+    """
+SELECT event_id AS order_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS amount, ts AS event_time,
+       CASE WHEN event_type = 'purchase' THEN 'app' END AS channel
+FROM events
+""",
+)
+def q_stream_schema_grows(spark, sf_dir):
+    """Order events of two landings; the second one's carry a field more. The stream
+    is restarted on its checkpoint with the wider schema and goes on in its sink."""
+    landing, sink = scratch_dir(spark, "landing_wider"), scratch_dir(spark, "orders_wider")
+    lines = B.order_event_lines(spark, sf_dir)
+    late = F.col("value").contains('"product": "purchase"')
+    wider = F.regexp_replace("value", '"status":', '"channel": "app", "status":').alias("value")
+    for schema, rows in (
+        (st.ORDER_EVENT_SCHEMA, lines.filter(~late)),
+        (StructType([*st.ORDER_EVENT_SCHEMA.fields, StructField("channel", StringType())]), lines.filter(late).select(wider)),
+    ):
+        rows.write.mode("append").text(landing)
+        stream = st.orders_stream(spark, landing, schema=schema, watermark=None).drop("_ingestion_ts", "_source")
+        st.run_until_done(st.start_evolving_append(stream, sink, f"{sink}_checkpoint", trigger={"availableNow": True}))
+    out = st.read_evolved(spark, sink)
+    return st.event_time_ntz(out).select("order_id", "amount", "event_time", "channel")
+
+
+@register("stream_orders_deduped", "SELECT event_id AS order_id, user_id AS customer_id, ts AS event_time FROM events")
+def q_stream_orders_deduped(spark, sf_dir):
+    """Every order event lands twice, in files of its own and again in a second
+    landing that a restarted stream reads; one of each reaches the sink."""
+    landing, sink = scratch_dir(spark, "landing_repeated"), scratch_dir(spark, "orders_deduped")
+    lines = B.order_event_lines(spark, sf_dir)
+    for _ in range(2):
+        write_layer(lines.unionAll(lines), f"{landing}/new", fmt="text", mode="append")
+        stream = st.orders_stream(spark, f"{landing}/new", max_files=10_000)
+        query = st.start_append(
+            st.one_per_key(stream, ["order_id"]), sink, f"{sink}_checkpoint", trigger={"availableNow": True}
+        )
+        st.run_until_done(query)
+    out = spark.read.schema(query_schema_of_sink()).parquet(sink)
+    return st.event_time_ntz(out).select("order_id", "customer_id", "event_time")

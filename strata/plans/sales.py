@@ -145,6 +145,23 @@ def daily_growth(fact: DataFrame) -> DataFrame:
     return _with_growth(joined.withColumn("total_vendas_dia_anterior", previous), fact.columns)
 
 
+def daily_growth_after(fact: DataFrame, carry: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Growth of the days in ``fact`` and the next carry, without reading history.
+
+    ``carry`` holds the columns of the fact for one row per product: its last one
+    before these days (None before the first load). It takes part as the row
+    before each product's first new one. The next carry is a partial aggregate.
+    Days are loaded in order, each whole.
+    """
+    cols = list(fact.columns)
+    old = fact.limit(0) if carry is None else carry.select(*cols)
+    both = fact.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)))
+    grown = daily_growth(both).filter("_new").drop("_new")
+    place = F.struct(F.col("data_venda").isNotNull(), "data_venda", F.col("cliente_id").isNotNull(), "cliente_id")
+    last = both.groupBy(F.col("produto_id").alias("_of")).agg(F.max_by(F.struct(*cols), place).alias("r"))
+    return grown, last.select("r.*")
+
+
 def _with_growth(df: DataFrame, columns: list[str]) -> DataFrame:
     before = F.col("total_vendas_dia_anterior")
     growth = safe_ratio(F.col("total_vendas_dia") - before, before)

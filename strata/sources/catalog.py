@@ -44,6 +44,7 @@ def register_layers(
 
 
 VERSION_PROPERTY = "strata.snapshot_version"
+PARTITIONS_A_STATEMENT = 500
 
 
 def _register_version(spark: SparkSession, db: str, name: str, path: str, version: int) -> bool:
@@ -57,14 +58,20 @@ def _register_version(spark: SparkSession, db: str, name: str, path: str, versio
         spark.sql(f"DROP TABLE {qualified}")
     schema, parts, folder = version_layout(spark, path, version)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    if len(parts) == 1 and not parts[0].columns:  # the accepted rows of a gated load
+        folder = parts[0].location
     partitioned = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts[0].columns)})" if parts and parts[0].columns else ""
     spark.sql(
         f"CREATE TABLE {qualified} ({columns}) USING parquet {partitioned} "
         f"LOCATION '{folder}' TBLPROPERTIES ('{VERSION_PROPERTY}' = '{version}')"
     )
-    for part in parts if partitioned else []:
-        spec = ", ".join(f"`{c}` = {_sql_literal(v)}" for c, v in zip(part.columns, part.values))
-        spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{part.location}'")
+    # Many partitions a statement: the catalog is asked once for each batch.
+    for at in range(0, len(parts) if partitioned else 0, PARTITIONS_A_STATEMENT):
+        specs = []
+        for part in parts[at : at + PARTITIONS_A_STATEMENT]:
+            spec = ", ".join(f"`{c}` = {_sql_literal(v)}" for c, v in zip(part.columns, part.values))
+            specs.append(f"PARTITION ({spec}) LOCATION '{part.location}'")
+        spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS {' '.join(specs)}")
     return True
 
 

@@ -72,12 +72,17 @@ def read_layer(
 
 def read_nanos_layer(spark: SparkSession, path: str) -> DataFrame:
     """Parquet whose nanosecond timestamps are read as longs (nanoseconds since
-    the epoch; ``nanos_to_timestamp`` converts them). Spark has no reader option
-    for it, so the session's setting is switched on."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    the epoch; ``nanos_to_timestamp`` converts them). Spark has a session setting
+    for it and no reader option; it has to be on (``build_session`` does it) and is
+    left as it is, as reads are lazy and it concerns all of them."""
+    if spark.conf.get(NANOS_AS_LONG, "false").lower() != "true":
+        raise ValueError(f"set {NANOS_AS_LONG} to true to read nanosecond timestamps")
     return spark.read.parquet(path)
 
 
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+
+
 def _layout(df: DataFrame, partition_by: Sequence[str], files: int | None, shuffle: bool) -> DataFrame:
     if files is None:
         # AQE rebalance: small partitions merged, skewed ones split, so each
@@ -98,19 +103,22 @@ def write_layer(
     shuffle: bool = True,
     mode: str = "overwrite",
     fmt: str = "parquet",
+    present_only: bool = False,
 ) -> None:
     """Write a layer table.
 
     Partition columns that the frame lacks are skipped. A partitioned write is
     rebalanced on its partition columns (AQE sizes the tasks, splitting hot
     values). ``files`` instead fixes the task count: ``repartition(files,
-    *partition_by)`` by default, ``coalesce(files)`` with ``shuffle=False``.
+    *partition_by)`` by default, ``coalesce(files)`` with ``shuffle=False``. With
+    ``present_only`` an overwrite replaces the partitions that ``df`` has rows of
+    and leaves the others as they are.
     """
     cols = [c for c in (partition_by or []) if c in df.columns]
     writer = _layout(df, cols, files, shuffle).write.mode(mode).format(fmt)
     if cols:
         writer = writer.partitionBy(*cols)
-    writer.save(path)
+    writer.option("partitionOverwriteMode", "dynamic" if present_only else "static").save(path)
 
 
 def append_layer(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:

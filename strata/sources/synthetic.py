@@ -37,12 +37,20 @@ N_CITIES = 500
 
 
 
-def draw(key_col: str, seed: int, stream: int) -> Column:
-    """Pseudo-random draw number ``stream`` for the key (0 to 2^32 - 1): the
-    leading 32 bits of the md5 of key, seed and stream, so that draws of one
-    key, and of neighbouring keys, are independent."""
-    text = F.concat_ws(":", F.col(key_col).cast("string"), F.lit(str(seed)), F.lit(str(stream)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+DRAWS_A_HASH = 8
+
+
+def draw_hash(key_col: str, seed: int, block: int) -> Column:
+    """Eight draws for the key: the SHA-256 of key, seed and block."""
+    return F.sha2(F.concat_ws(":", F.col(key_col).cast("string"), F.lit(str(seed)), F.lit(str(block))), 256)
+
+
+def draw(stream: int) -> Column:
+    """Pseudo-random draw number ``stream`` (from 1) of a row with the hash columns
+    ``_hash_0``, ``_hash_1``...: 32 bits (0 to 2^32 - 1), so that draws of one key, and
+    of neighbouring keys, are independent."""
+    block, place = divmod(stream - 1, DRAWS_A_HASH)
+    return F.conv(F.substring(F.col(f"_hash_{block}"), 1 + 8 * place, 8), 16, 10).cast("bigint")
 
 
 def _pick(values: list, idx: Column) -> Column:
@@ -50,28 +58,29 @@ def _pick(values: list, idx: Column) -> Column:
 
 
 def synthetic_sales(keys: DataFrame, key_col: str, seed: int = 42) -> DataFrame:
-    """Sales rows with the retail CSV's columns, ``id_pedido`` = the key."""
+    """Sales rows with the retail CSV's columns, ``id_pedido`` = the key. Two hashes
+    a row give its eleven draws."""
     k = F.col(key_col)
-    kc = key_col
-    prod = draw(kc, seed, 1) % len(PRODUCTS)
+    keys = keys.select(k, *[draw_hash(key_col, seed, b).alias(f"_hash_{b}") for b in (0, 1)])
+    prod = draw(1) % len(PRODUCTS)
     lo = _pick([round(p[1] * 100) for p in PRODUCTS], prod)
     hi = _pick([round(p[2] * 100) for p in PRODUCTS], prod)
-    price_cents = lo + draw(kc, seed, 2) % (hi - lo + 1)
-    qty = draw(kc, seed, 3) % 10 + 1
+    price_cents = lo + draw(2) % (hi - lo + 1)
+    qty = draw(3) % 10 + 1
     cents = F.lit(0.01).cast("decimal(2,2)")
     return keys.select(
         k.alias("id_pedido"),
-        F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (draw(kc, seed, 5) % N_DAYS).cast("int")), "yyyy-MM-dd").alias(
+        F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (draw(5) % N_DAYS).cast("int")), "yyyy-MM-dd").alias(
             "data_pedido"
         ),
-        F.format_string("%02d:%02d:00", draw(kc, seed, 6) % 15 + 8, draw(kc, seed, 7) % 60).alias("hora_pedido"),
-        (draw(kc, seed, 8) % N_CLIENTS + 1).alias("cliente_id"),
-        (draw(kc, seed, 9) % N_SHOPS + 1).alias("loja_id"),
+        F.format_string("%02d:%02d:00", draw(6) % 15 + 8, draw(7) % 60).alias("hora_pedido"),
+        (draw(8) % N_CLIENTS + 1).alias("cliente_id"),
+        (draw(9) % N_SHOPS + 1).alias("loja_id"),
         _pick([p[0] for p in PRODUCTS], prod).alias("produto"),
         (price_cents.cast("decimal(10,0)") * cents).cast("decimal(10,2)").alias("preco_unitario"),
         qty.alias("quantidade"),
         ((price_cents * qty).cast("decimal(12,0)") * cents).cast("decimal(12,2)").alias("valor_total"),
-        _pick(PAYMENT_METHODS, draw(kc, seed, 4) % len(PAYMENT_METHODS)).alias("metodo_pagamento"),
-        F.concat(F.lit("Cidade "), (draw(kc, seed, 10) % N_CITIES + 1).cast("string")).alias("cidade"),
-        _pick(STATES, draw(kc, seed, 11) % len(STATES)).alias("estado"),
+        _pick(PAYMENT_METHODS, draw(4) % len(PAYMENT_METHODS)).alias("metodo_pagamento"),
+        F.concat(F.lit("Cidade "), (draw(10) % N_CITIES + 1).cast("string")).alias("cidade"),
+        _pick(STATES, draw(11) % len(STATES)).alias("estado"),
     )

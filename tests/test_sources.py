@@ -75,6 +75,17 @@ def test_nanosecond_parquet_reads_as_longs(spark, tmp_dir):
     assert [r.t for r in got] == [dt.datetime(2023, 11, 14, 22, 13, 20, 123456), None]
 
 
+def test_nanosecond_reads_need_the_setting_and_leave_it(spark, tmp_dir):
+    key = "spark.sql.legacy.parquet.nanosAsLong"
+    spark.conf.set(key, "false")
+    try:
+        with pytest.raises(ValueError, match="nanosAsLong"):
+            read_nanos_layer(spark, f"{tmp_dir}/ns.parquet")
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.set(key, "true")
+
+
 def test_unset_checkpoint_folder_is_an_error_off_local_masters(monkeypatch):
     from strata import session
 
