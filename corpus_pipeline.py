@@ -15,7 +15,9 @@ from strata.llm.tables import free_name, stored
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score 0.7 or more)."""
+    """Documents that the quality classifier accepts (score 0.7 or more). A NULL
+    text is scored as an empty one; repeated rows and ids are scored each; an empty
+    table stays empty; other columns are carried along."""
     weights, bias = queries.quality_model(spark, sf_dir)
     name = free_name(docs, "score")
     scored = quality.score(docs, weights, bias, out=name)
@@ -23,25 +25,35 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group (3-word shingles, 2 bits): the one of
-    the least doc_id; of rows that repeat that doc_id, one."""
-    found = simhash.near_duplicates(docs, shingle=3, radius=2, mark=F.xxhash64("text"))
+    """One document of each SimHash group, with the operator's own shingles and
+    radius (3 words, 2 bits): the one of the least doc_id (NULL last), then of the
+    least hash of its text and of its whole row, so reruns keep the same one.
+    NULL and blank texts are one group, repeated rows are copies, an empty table
+    stays empty; other columns are carried along."""
+    whole = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in sorted(docs.columns)])
+    mark = F.struct(F.xxhash64("text").alias("of_text"), whole.alias("of_row"))
+    found = simhash.near_duplicates(docs, shingle=3, radius=2, mark=mark)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
     first = found.groupBy("root").agg(F.min_by(F.struct("doc_id", "mark"), order).alias("first"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), mark.alias("mark"))
     same = rows["id"].eqNullSafe(first["first.doc_id"]) & (rows["mark"] == first["first.mark"])
-    return rows.join(first, same).dropDuplicates(["root"]).select("row.*")
+    return rows.join(first, same).dropDuplicates(["root"]).select("row.*")  # only equal rows are left
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated, or left out, so that sources have their target weights."""
+    """Documents repeated, or left out, so that sources have their target weights.
+    A NULL source is a source, a NULL or empty text has size 0 and is taken the whole
+    epochs of its source; repeated rows are mixed each; an empty table stays empty;
+    other columns are carried along."""
     mixed = mixing.mix(docs, queries.MIX_WEIGHTS, queries.MIX_BUDGET, queries.MIX_EPOCHS)
     return mixing.repeat_documents(docs, mixed)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The SentencePiece ids of each document: digests as in the operator's query,
-    and the ids themselves (little-endian unsigned 32-bit integers)."""
+    and the ids themselves (little-endian unsigned 32-bit integers). A NULL text
+    counts as empty (begin and end ids); NULL or repeated doc_ids give a row each;
+    an empty table gives none; other columns are left out."""
     coded = pieces.encode_texts(docs, queries.tokenizer(queries.PIECE_MODEL), keep=["doc_id"])
     return coded.select(
         "doc_id",
