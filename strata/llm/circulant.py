@@ -100,45 +100,56 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return _mixed(total)
 
 
-def with_sets(docs: DataFrame, text_col: str, size: int) -> DataFrame:
-    """The columns of ``docs`` without its text, and n, d1, d2 (the set's size and
-    128-bit digest), keys (of its bands) and shingles."""
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+
+
+def with_bands(docs: DataFrame, text_col: str, size: int) -> DataFrame:
+    """The columns of ``docs`` without its text, and n, d1, d2 (the size and the
+    128-bit digest of its set) and keys (of its bands)."""
     kept = [c for c in docs.columns if c != text_col]
     source = docs.select(*kept, F.col(text_col).cast("binary").alias("_text"))
-    longs = F.array().cast("array<bigint>")
     schema = docs.select(
-        *kept, *[F.lit(0).cast("long").alias(c) for c in ("n", "d1", "d2")], longs.alias("keys"), longs.alias("shingles")
+        *kept, *[F.lit(0).cast("long").alias(c) for c in ("n", "d1", "d2")], F.array().cast("array<bigint>").alias("keys")
     ).schema
 
-    def lists(parts: list[np.ndarray]) -> pa.Array:
-        ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, digests, signatures = [], [], []
+            for text in batch.column(len(kept)):
+                shingles = shingle_set(text.as_py(), size)
+                n.append(len(shingles))
+                digests.append(xxhash.xxh3_128_digest(shingles.tobytes()))
+                if len(shingles):
+                    signatures.append(signature(shingles))
+            keys = [np.zeros(0, np.uint64)] * len(n)
+            if signatures:
+                for place, key in zip(np.flatnonzero(n), band_keys(np.stack(signatures))):
+                    keys[place] = key
+            digest = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            made = [pa.array(n, pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1]), _lists(keys)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in range(len(kept))] + made, names=schema.names)
+
+    return source.mapInArrow(run, schema)
+
+
+def _sets_of(texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, held, sets = 0, 0, []
-            for k in range(batch.num_rows + 1):
-                if k == batch.num_rows or held > 1 << 20:
-                    if sets:
-                        full = np.array([len(s) > 0 for s in sets])
-                        keys = [np.zeros(0, np.uint64)] * len(sets)
-                        if full.any():
-                            found = band_keys(np.stack([signature(s) for s in sets if len(s)]))
-                            for place, key in zip(np.flatnonzero(full), found):
-                                keys[place] = key
-                        digest = np.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "S16")
-                        digest = np.frombuffer(b"".join(x.ljust(16, b"\0") for x in digest.tolist()), np.int64).reshape(-1, 2)
-                        made = [pa.array([len(s) for s in sets], pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1])]
-                        rest = batch.slice(at, len(sets))
-                        columns = [rest.column(c) for c in range(len(kept))] + made + [lists(keys), lists(sets)]
-                        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-                    at, held, sets = k, 0, []
-                if k < batch.num_rows:
-                    sets.append(shingle_set(batch.column(len(kept))[k].as_py(), size))
-                    held += len(sets[-1])
+            for k in range(batch.num_rows):
+                sets.append(shingle_set(batch.column(1)[k].as_py(), size))
+                held += len(sets[-1])
+                if held > 1 << 20 or k == batch.num_rows - 1:
+                    nodes = batch.column(0).slice(at, len(sets))
+                    yield pa.RecordBatch.from_arrays([nodes, _lists(sets)], names=["node", "shingles"])
+                    at, held, sets = k + 1, 0, []
 
-    return source.mapInArrow(run, schema)
+    return texts.select("node", F.col("text").cast("binary")).mapInArrow(run, "node long, shingles array<bigint>")
 
 
 def _near(both: Column, n: Column, m: Column, percent: int) -> Column:
@@ -161,8 +172,8 @@ def _star_links(shared: DataFrame, sets: DataFrame, percent: int) -> tuple[DataF
         .select(F.col("leader").alias("a"), F.col("leader_n"), F.col("node").alias("b"), "n")
         .distinct()
     )
-    with_b = pairs.join(sets.select(F.col("rid").alias("b"), F.col("shingles").alias("of_b")), "b")
-    with_a = with_b.join(sets.select(F.col("rid").alias("a"), F.col("shingles").alias("of_a")), "a")
+    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
+    with_a = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
     both = F.size(F.array_intersect("of_a", "of_b"))
     return leaders, stored(with_a.filter(_near(both, F.col("n"), F.col("leader_n"), percent)).select("a", "b"), "circulant-links")
 
@@ -196,7 +207,7 @@ def _block_links(open_: DataFrame, sets: DataFrame, percent: int, block: int) ->
     )
     dealt = (
         placed.join(ends, ["blob", "block"])
-        .join(sets.select(F.col("rid").alias("node"), "shingles"), "node")
+        .join(sets, "node")
         .select("unit", "node", "label", "shingles")
         .repartition("unit")
         .sortWithinPartitions("unit", "node")
@@ -297,20 +308,23 @@ def near_duplicates(
     of its component are, and kept is true for it there only. Repeated rows and
     ids give a row each. An empty table gives no rows; other columns are ignored.
     """
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    made = with_sets(named, "text", size).withColumn("rid", F.monotonically_increasing_id())
-    rows = stored(made, "circulant-sets")  # the numbers stay as they were written
-    classes = stored(
-        rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("rid").alias("node"), F.min("id").alias("least")), "circulant-classes"
-    )
-    nodes = classes.select(F.col("node").alias("rid"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    rows = with_bands(texts, "text", size).withColumn("rid", F.monotonically_increasing_id())
+    rows = stored(rows, "circulant-bands")  # the numbers stay as they were written
+    of = F.min(F.struct("rid", "id", "t")).alias("first")  # the row whose text stands for the set
+    classes = rows.filter("n > 0").groupBy("d1", "d2").agg(of, F.min("id").alias("least"))
+    classes = stored(classes.select("d1", "d2", F.col("first.rid").alias("node"), "first.id", "first.t", "least"), "circulant-classes")
     members = stored(
-        rows.select("rid", "n", "keys").join(nodes, "rid").select(F.col("rid").alias("node"), "n", F.explode("keys").alias("key")),
+        rows.select("rid", "n", "keys").join(classes.select(F.col("node").alias("rid")), "rid")
+        .select(F.col("rid").alias("node"), "n", F.explode("keys").alias("key")),
         "circulant-members",
     )
     sizes = members.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     shared = stored(members.join(sizes, "key"), "circulant-shared")
-    sets = rows.select("rid", "shingles")
+    # Sets are kept for nodes that share a bucket only: their texts are read once more.
+    wanted = classes.join(shared.select("node").distinct(), "node").select("node", F.col("id").alias("_id"), F.col("t").alias("_t"))
+    found = texts.join(wanted, (F.col("t") == F.col("_t")) & F.col("id").eqNullSafe(F.col("_id")))
+    sets = stored(_sets_of(found.groupBy("node").agg(F.min("text").alias("text")), size), "circulant-sets")
 
     leaders, links = _star_links(shared, sets, percent)
     starred = stored(connected_components(links), "circulant-stars")
