@@ -48,6 +48,10 @@ def write_flat_tokens(
 
     Each attempt of a task writes a file of its own; the manifest is committed
     by Spark and holds those of the attempts that counted.
+
+    A NULL or empty text is an empty document (its end alone). Rows with NULL or
+    repeated ids, and repeated rows, are documents each. An empty table gives an
+    empty manifest and no file. Other columns, whatever their names, are ignored.
     """
     folder = folder or scratch_dir(docs.sparkSession, "flat-tokens")
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
@@ -144,7 +148,12 @@ def count_tokens(files: DataFrame, end_id: int, dtype: str = DTYPE, block_tokens
 
 
 def name_documents(counts: DataFrame, manifest: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens) of counted documents, by the manifest's order."""
+    """(doc_id, n_tokens) of counted documents, by the manifest's order.
+
+    A row for each document, NULL and repeated ids included; documents that are
+    counted but not listed, or listed but not counted, have none. Empty tables give
+    no rows.
+    """
     listed = manifest.select("file", "first", F.posexplode("docs").alias("pos", "doc_id"))
     listed = listed.select("file", (F.col("first") + F.col("pos")).alias("ordinal"), "doc_id")
     return listed.join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")

@@ -25,7 +25,9 @@ def ranked_weights(sources: DataFrame, weights: list[float]) -> DataFrame:
     """Add ``weight``: ``weights`` in turn over the sources by code point, NULL last.
 
     The rank is a two-level one (place inside a range, ranges before it), so
-    the number of sources is not bounded by a task.
+    the number of sources is not bounded by a task. ``sources`` holds a source once
+    (NULL is one of them) and no column called weight, _part, _rank or _offset; an
+    empty table stays empty.
     """
     order = [F.col("source").isNull().asc(), F.col("source").asc()]
     dealt = range_dealt(sources, order, "mix-sources")
@@ -46,7 +48,9 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
     ``max_epochs`` times their size, the rest share what is left of ``budget``
     by weight; those above their cap are clamped next. Ends when no further
     source is. Two totals a round reach the driver. Where the caps together
-    stay below the budget, every source is clamped.
+    stay below the budget, every source is clamped. A source of size 0 has target 0.
+    A NULL size or weight is an error of the caller and gives a NULL target. An empty
+    table stays empty.
     """
     cap = F.col("source_size") * F.lit(float(max_epochs))
     level, clamped = 0.0, -1
@@ -131,7 +135,8 @@ def repeat_documents(docs: DataFrame, mixed: DataFrame, seed: int = 42, id_col:
     documents are in whole. Columns are those of ``docs``.
 
     Rows are matched by (id, place), and rows equal in both share their copies
-    out: as many in all as ``mixed`` takes of them.
+    out: as many in all as ``mixed`` takes of them. NULL ids and texts are matched
+    like any other; empty tables give no rows; columns of any name are carried along.
     """
     whole_copies = F.when(
         F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + F.lit(0.5))

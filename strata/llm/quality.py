@@ -155,7 +155,9 @@ def train(
     The sampled ids are few by their bound and are sent to the documents; each
     sampled id's text of the least hash is turned into its sparse vector, and only
     those vectors, one for each id, reach the driver. ``allowed`` restricts the rows of ``labels``.
-    Where no row is labelled the weights are all zero (every score 0.5).
+    Where no row is labelled, or ``docs`` is empty, the weights are all zero (every
+    score 0.5). A NULL text is a text without features; rows with a NULL id are not
+    sampled; of rows that repeat an id one counts; other columns are ignored.
     """
     picked = sample_labels(labels, id_col, label_col, allowed, max_rows)
     rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("_text"))

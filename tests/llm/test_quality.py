@@ -80,3 +80,42 @@ def test_ftrl_separates_two_classes():
         rows.append((at, np.full(len(at), 1 / np.sqrt(len(at))), i % 2))
     weights, bias = quality.FTRL().fit(rows)
     assert weights[2001] > 0 > weights[2000] and abs(bias) < 0.1
+
+
+def plain_ftrl(rows, model):
+    """FTRL-proximal, a coordinate at a time."""
+    z, n = {}, {}
+    ones = sum(y for _, _, y in rows)
+    bias = np.log((ones + 1) / (len(rows) - ones + 1))
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= model.l1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * model.l1) / ((model.beta + np.sqrt(n[i])) / model.alpha + model.l2)
+
+    for _ in range(model.epochs):
+        for at, value, y in rows:
+            old = {i: weight(i) for i in at}
+            p = 1 / (1 + np.exp(-(sum(old[i] * v for i, v in zip(at, value)) + bias)))
+            for i, v in zip(at, value):
+                g = (p - y) * v
+                sigma = (np.sqrt(n.get(i, 0.0) + g * g) - np.sqrt(n.get(i, 0.0))) / model.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * old[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}, bias
+
+
+def test_training_and_scores_against_the_plain_form(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["good", "fine", "words", "bad", "!!!", "1", "Xx"], size=rng.integers(1, 12))) for _ in range(60)]
+    rows = [(*map(np.ndarray.tolist, quality.features(t)), int("good" in t)) for t in texts]
+    weights, bias = quality.FTRL().fit([(np.array(a, np.int64), np.array(v), y) for a, v, y in rows])
+    want, plain_bias = plain_ftrl(rows, quality.FTRL())
+    assert np.isclose(bias, plain_bias) and set(np.flatnonzero(weights)) == {i for i, w in want.items() if np.float32(w)}
+    assert all(np.isclose(weights[i], w, atol=1e-6) for i, w in want.items())
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + ["new words", ""])], "doc_id long, text string")
+    for r in quality.score(docs, weights, bias).collect():
+        at, value = quality.features(r.text)
+        margin = sum(float(weights[i]) * v for i, v in zip(at.tolist(), value.tolist())) + bias
+        assert np.isclose(r.score, 1 / (1 + np.exp(-margin)), atol=1e-5)
+    assert not quality.train(docs.limit(0), spark.createDataFrame([(1, 1)], "doc_id long, quality int"))[0].any()

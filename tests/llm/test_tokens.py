@@ -36,6 +36,19 @@ def test_counts_of_documents(docs, rows, empty):
     assert flat.write_flat_tokens(empty, RANKS, public_tokenizers.PATTERN, END).count() == 0
 
 
+def test_clashing_names(docs, clashing):
+    from pyspark.sql import functions as F
+
+    extra = clashing.withColumns({c: F.lit(1) for c in ("doc", "file", "bytes", "first", "docs", "pack", "input_ids", "cu_seqlens", "doc_ids")})
+    totals = []
+    for table in (docs, extra):
+        manifest = flat.write_flat_tokens(table, RANKS, public_tokenizers.PATTERN, END)
+        counts = flat.name_documents(flat.count_tokens(manifest.select("file", "bytes"), END), manifest)
+        packed = packing.pack_documents(table, END, 64)
+        totals.append((sorted(map(str, counts.collect())), sum(int(r.cu_seqlens[-1]) for r in packed.collect())))
+    assert totals[0] == totals[1]
+
+
 @pytest.mark.parametrize("ids", [[], [9], [5, 5, 9], [9, 9, 1, 9, 2], [1, 2, 3, 9, 9], [1] * 10, [9] * 10])
 def test_counts_of_odd_files(spark, tmp_path, ids):
     path = tmp_path / "t.bin"
