@@ -29,7 +29,7 @@ from strata.llm.tables import stored
 
 COLUMNS = 4096  # terms in a tile, about
 ROWS = 128  # sources in a row block
-HELD_TERMS = 1 << 18  # terms counted in a task before they are handed on
+HELD_TERMS = 1 << 19  # terms counted in a task before they are handed on
 FRONTIER = 1 << 18  # quadrant pairs looked at together
 
 # A-Z become a-z; a-z and the bytes of all other characters stay; the rest separates.
@@ -233,6 +233,7 @@ def _tiles(batches: Iterator[pa.RecordBatch], top: int, rows_a_block: int) -> It
                 yield from done()
             held, at = [], k + 1
             head = [batch.column(c)[k].as_py() for c in ("lang", "i", "j", "first", "second", "whole", "cols")]
+            head[3:5] = [[int(n) for n in sizes.split(",")] for sizes in head[3:5]]
         held.append(batch.slice(at))
     if head is not None:
         yield from done()
@@ -297,7 +298,8 @@ def audit_sources(
     places = kept.join(groups, ["lang", "source"]).select("lang", "term", "n", "total", "lead", "number", "block", "blocks", tile)
     widths = places.filter("lead = 1").groupBy("lang", "tile").agg(F.count("*").alias("cols"))
     members = groups.groupBy("lang", "block").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("number", "size"))), lambda x: x["size"]).alias("sizes")
+        # As text: Arrow fills in a list column of mostly NULLs row by row, again and again.
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "size"))), lambda x: x["size"].cast("string")), ",").alias("sizes")
     )
     langs = groups.filter("number = 0").select("lang", "whole", "blocks", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
     pairs = F.explode(
