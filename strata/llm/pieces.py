@@ -72,14 +72,12 @@ def encode_texts(docs: DataFrame, model: str, text_col: str = "text", keep: list
 
     Exactly the library's encode without sampling. A NULL text counts as empty
     (begin and end only). Rows are carried as they are, so NULL or repeated ids
-    and extra columns do no harm; columns named like an output column or like
-    the text are refused. An empty table gives no rows.
+    and extra columns do no harm; input columns named ids or decoded are replaced
+    by the results. An empty table gives no rows.
     """
     check_model(model)
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
-    for name in ("ids", "decoded"):
-        if name in keep:
-            raise ValueError(f"column {name} of the input would clash with the result's")
+    keep = [c for c in keep if c.lower() not in ("ids", "decoded")]
     source = docs.select(*keep, F.col(text_col).cast("string").alias(free_name(docs, "_text")))
     schema = docs.select(*keep, F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema
 

@@ -61,5 +61,6 @@ def test_empty_table_and_clashing_names(empty, clashing, rows):
     assert pieces.encode_texts(empty, MODEL).count() == 0
     out = pieces.encode_texts(clashing, MODEL)
     assert out.count() == len(rows) and "block" in out.columns and out.select(F.max("block")).first()[0] == 13
-    with pytest.raises(ValueError, match="ids"):
-        pieces.encode_texts(clashing.withColumn("ids", F.lit(1)), MODEL)
+    replaced = pieces.encode_texts(clashing.withColumns({"ids": F.lit(1), "decoded": F.lit(2)}), MODEL)
+    assert replaced.columns.count("ids") == 1 and dict(replaced.dtypes)["ids"] == "binary"
+    assert sorted(r.ids for r in replaced.collect()) == sorted(r.ids for r in out.collect())
