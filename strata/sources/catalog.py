@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sources.snapshots import HISTORY_DIR, latest_version, path_exists, version_layout
+from strata.sources.snapshots import HISTORY_DIR, latest_version, path_exists, read_snapshot, version_layout, write_snapshot
 
 
 def register_layers(
@@ -57,6 +57,10 @@ def _register_version(spark: SparkSession, db: str, name: str, path: str, versio
             return False
         spark.sql(f"DROP TABLE {qualified}")
     schema, parts, folder = version_layout(spark, path, version)
+    if len(parts) > 1 and not parts[0].columns:
+        # Files of several versions have no common folder: the newest version is written out.
+        version = write_snapshot(read_snapshot(spark, path), path, operation="COMPACT")
+        schema, parts, folder = version_layout(spark, path, version)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     if len(parts) == 1 and not parts[0].columns:  # the accepted rows of a gated load
         folder = parts[0].location

@@ -7,10 +7,10 @@ The data is written first and the history row after it, so the history row is
 the commit mark: a version whose write failed half-way is never visible. Each
 version keeps its own schema (schema replacement on overwrite).
 
-A partitioned version also lists its partitions' directories (``parts_json``).
-A merge rewrites only the partitions it touches; for the others the new version
-lists the directories that an older version wrote. Old versions are therefore
-never removed by themselves.
+A partitioned version also lists its partitions' directories (``parts_json``), and
+an unpartitioned one that a merge made lists its files. A merge rewrites only the
+partitions or files it touches; for the others the new version lists what an older
+version wrote. ``expire_snapshots`` removes what only old versions list.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.operators.upsert import upsert
+from strata.operators.upsert import check_single_match, upsert
 from strata.session import scratch_dir
 from strata.sources.files import write_layer
 
@@ -131,6 +131,14 @@ def _written_parts(spark: SparkSession, path: str, version: int) -> list[Part]:
     return found
 
 
+def _data_files(spark: SparkSession, path: str, version: int) -> list[Part]:
+    """The data files of an unpartitioned version."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(version_path(path, version))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return [Part((), (), f"snapshot_version={version}/{n}") for n in names if n.endswith(".parquet") and n[0] not in "._"]
+
+
 def _write_version(
     df: DataFrame,
     path: str,
@@ -151,7 +159,8 @@ def _write_version(
     observed = df.observe(obs, F.count(F.lit(1)).alias("num_rows"))
     write_layer(observed, version_path(path, version), partition_by=partition_by, files=files)
     num_rows = int(obs.get["num_rows"]) + kept_rows
-    parts = [*kept, *(_written_parts(spark, path, version) if partition_by else [])]
+    written = _written_parts(spark, path, version) if partition_by else _data_files(spark, path, version) if kept else []
+    parts = [*kept, *written]
     return commit_version(spark, path, version, operation, num_rows, df.schema, txn, parts)
 
 
@@ -203,7 +212,7 @@ def write_snapshot(
 
 def _read_commit(spark: SparkSession, path: str, commit: Commit, parts: Sequence[Part] | None = None) -> DataFrame:
     """The rows of a commit, or of some of its partitions."""
-    if not commit.parts:
+    if parts is None and not commit.parts:
         df = spark.read.schema(commit.schema).parquet(version_path(path, commit.version))
     else:
         places = [f"{path.rstrip('/')}/{p.location}" for p in (commit.parts if parts is None else parts)]
@@ -248,31 +257,45 @@ def merge_snapshot(
     """First load writes version 0; later loads upsert ``df`` into the newest
     version and commit the result as the next one.
 
-    The source is evaluated once, into the shared scratch folder. Of a
-    partitioned table only the partitions that a matched row lies in, or that a
-    source row goes to, are read and written again; the next version takes the
-    directories of the rest as they are. What reaches the driver is a list of
-    partition values.
+    The source is evaluated once, into the shared scratch folder. One join of its
+    counted keys with the target's key columns finds what is touched, and whether
+    several source rows match one target row. Of a partitioned table only the
+    partitions that a matched row lies in, or that a source row goes to, are read
+    and written again, of an unpartitioned one only the files that hold a matched
+    row; the next version takes the rest as they are. What reaches the driver is a
+    list of partitions or files.
     """
     spark = df.sparkSession
+    keys = list(keys)
     commit = _commit(spark, path)
     if commit is None:
         return _write_version(df, path, 0, "WRITE", partition_by, files)
     place = scratch_dir(spark, "merge-source")
     df.write.parquet(place)
     source = spark.read.schema(df.schema).parquet(place)
+    parts, columns = list(commit.parts), tuple(partition_by or ())
+    if not columns and not parts:
+        parts = _data_files(spark, path, commit.version)
+    known = bool(parts) and all(p.columns == columns and (columns or p.location.endswith(".parquet")) for p in parts)
+    if columns:
+        where = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
+    else:
+        where = F.struct(F.regexp_extract("_metadata.file_path", "snapshot_version=.*$", 0).alias("file"))
+    counted = source.filter(reduce(and_, [F.col(k).isNotNull() for k in keys])).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    matched = _read_commit(spark, path, commit).select(*keys, where.alias("_where")).join(counted, keys)
+    found = matched.groupBy("_where").agg(F.max("_n").alias("n")).collect()
+    if any(r.n > 1 for r in found):
+        check_single_match(_read_commit(spark, path, commit), source, keys)
     kept: list[Part] = []
-    touched = list(commit.parts)
-    if partition_by and commit.parts and tuple(partition_by) == commit.parts[0].columns:
-        columns = list(commit.parts[0].columns)
-        matched = _read_commit(spark, path, commit).join(source.select(*keys), list(keys), "left_semi")
-        values = reduce(DataFrame.unionByName, [d.select(*[F.col(c).cast("string") for c in columns]) for d in (matched, source)])
-        hit = {tuple(r) for r in values.distinct().collect()}
-        touched = [p for p in commit.parts if p.values in hit]
-        kept = [p for p in commit.parts if p.values not in hit]
-    target = _read_commit(spark, path, commit, touched)
-    rows_kept = commit.num_rows - target.count() if kept else 0
-    merged = upsert(target, source, keys, update_cols)
+    if known:
+        hit = {tuple(r["_where"]) for r in found}
+        if columns:
+            hit |= {tuple(r) for r in source.select(*[F.col(c).cast("string") for c in columns]).distinct().collect()}
+        kept = [p for p in parts if (p.values if columns else (p.location,)) not in hit]
+    touched = [p for p in parts if p not in kept]
+    target = _read_commit(spark, path, commit, touched) if known else _read_commit(spark, path, commit)
+    rows_kept = commit.num_rows - target.count() if kept else 0  # from the files' footers
+    merged = upsert(target, source, keys, update_cols, check=False)
     return _write_version(merged, path, commit.version + 1, operation, partition_by, files, None, kept, rows_kept)
 
 
@@ -325,8 +348,8 @@ def replace_rows(
 
 def expire_snapshots(spark: SparkSession, path: str, keep: int) -> int:
     """Remove the data that only versions before the newest ``keep`` list; returns
-    the number of directories removed. Those versions stay in the history but
-    can no longer be read."""
+    the number of directories and files removed. Those versions stay in the history
+    but can no longer be read."""
     commits = snapshot_history(spark, path).select("version", "parts_json").collect()  # one row a commit
     listed = [{p["location"] for p in json.loads(c["parts_json"] or "[]")} or {f"snapshot_version={c['version']}"} for c in commits]
     needed = set().union(*listed[:keep])
@@ -334,6 +357,8 @@ def expire_snapshots(spark: SparkSession, path: str, keep: int) -> int:
     removed = 0
     for commit, places in zip(commits[keep:], listed[keep:]):
         own = f"snapshot_version={commit['version']}"
+        if any(n.startswith(own + "/") for n in needed) and own in places:  # a newer version keeps some of its files
+            places = {p.location for p in _data_files(spark, path, commit["version"])}
         for place in places - needed:
             if place == own or place.startswith(own + "/"):
                 folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{place}")

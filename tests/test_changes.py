@@ -96,3 +96,28 @@ def test_replaced_rows_and_expired_versions(spark, tmp_dir):
     assert len(rows()) == 4 and len(rows(1)) == 3
     with pytest.raises(ValueError):
         replace_rows(make([]), path, ["k"], ["p"])
+
+
+def test_a_merge_rewrites_the_files_it_touches(spark, tmp_dir):
+    from strata.operators.upsert import MergeConflictError
+    from strata.sources.catalog import register_layers
+    from strata.sources.snapshots import merge_snapshot
+
+    path = f"{tmp_dir}/orders"
+    merge_snapshot(spark.range(40).select("id", F.lit(0).alias("v")).repartitionByRange(4, "id"), path, ["id"], files=None)
+    one = spark.createDataFrame([(3, 7), (100, 8), (None, 9)], "id long, v int")
+    assert merge_snapshot(one, path, ["id"]) == 1
+    first = {p.location for p in version_layout(spark, path, 1)[1]}
+    assert len([x for x in first if "snapshot_version=0/" in x]) == 3  # one of four files was touched
+    rows = {(r.id, r.v) for r in read_snapshot(spark, path).collect()}
+    assert rows == {(i, 7 if i == 3 else 0) for i in range(40)} | {(100, 8), (None, 9)}
+    assert snapshot_history(spark, path).first().num_rows == 42 and read_snapshot(spark, path, 0).count() == 40
+    assert merge_snapshot(spark.createDataFrame([(39, 1), (200, 2)], "id long, v int"), path, ["id"]) == 2
+    assert {(39, 1), (200, 2), (3, 7), (5, 0)} <= {(r.id, r.v) for r in read_snapshot(spark, path).collect()}
+    with pytest.raises(MergeConflictError):
+        merge_snapshot(spark.createDataFrame([(5, 1), (5, 2)], "id long, v int"), path, ["id"])
+    assert expire_snapshots(spark, path, 1) == 2  # the two files of version 0 that were rewritten
+    assert read_snapshot(spark, path).count() == 43
+    register_layers(spark, {"merged_files": {"orders": path}})
+    assert spark.table("merged_files.orders").count() == 43
+    assert snapshot_history(spark, path).first().operation == "COMPACT"
