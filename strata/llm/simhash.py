@@ -5,9 +5,10 @@ within ``radius`` bits agree in at least one of ``radius + 1`` bit blocks, so
 the distinct fingerprints are sharded by (block, value of the block) and a
 BK-tree is built for each shard: a node's children are keyed by their integer
 Hamming distance to it, and a search follows only the edges within the radius
-of the query's own distance to the node (triangle inequality). A shard holds at
-most ``TREE_NODES`` fingerprints in one tree; larger shards become several
-trees, and all fingerprints of the shard query each of them.
+of the query's own distance to the node (triangle inequality). A shard of more
+than ``TREE_NODES`` fingerprints is sharded again by blocks of its other bits; what
+is still larger at the last level becomes several trees, and all fingerprints
+of the shard query each of them.
 
 The trees of one executor's shards go with their queries by one shuffle rather
 than by a broadcast: all trees together grow with the corpus, and a broadcast
@@ -19,6 +20,7 @@ take part, so a group of exact copies is one node however large it is.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from strata.llm.tables import free_name, stored
 TREE_NODES = 4096  # fingerprints in one tree
 FRONTIER = 1 << 17  # (query, node) pairs looked at together
 CHUNK = 1 << 15  # shingles whose bits are counted together
+MOST_PATHS = 1000  # ways to choose the bits of a shard, over all levels
 
 
 def simhash64(text: bytes | None, shingle: int = 3) -> int:
@@ -80,28 +83,67 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3,
     return source.mapInArrow(run, schema)
 
 
-def bit_blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, width) of radius + 1 blocks that cover the 64 bits."""
-    n = radius + 1
-    edges = [64 * i // n for i in range(n + 1)]
-    return [(edges[i], edges[i + 1] - edges[i]) for i in range(n)]
+def _finer(masks: list[int], radius: int) -> list[list[int]]:
+    """For each mask of bits that a shard's members agree in, the masks that add
+    one of ``radius + 1`` groups of the bits left."""
+    out = []
+    for mask in masks:
+        free = [b for b in range(64) if not mask >> b & 1]
+        n = radius + 1
+        cuts = [len(free) * i // n for i in range(n + 1)]
+        out.append([mask | sum(1 << b for b in free[x:y]) for x, y in zip(cuts, cuts[1:])])
+    return out
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _sharded(distinct: DataFrame, radius: int, tree_nodes: int) -> DataFrame:
+    """(path, bits, fp, n): each fingerprint in the shards where it may meet others,
+    n their sizes.
+
+    Two fingerprints within ``radius`` bits agree in one of ``radius + 1`` groups of
+    any set of bits. A shard of more than ``tree_nodes`` members is therefore sharded
+    again by groups of the bits that its members do not yet agree in, so a value
+    that very many fingerprints share costs ``radius + 1`` rows a member and level,
+    not one for each other tree. The last level is kept as it is.
+    """
+    masks = [m for group in _finer([0], radius) for m in group]
+    first = F.array(*[F.struct(F.lit(i).alias("path"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for i, m in enumerate(masks)])
+    members = stored(distinct.select("fp", F.inline(first)), "simhash-members")
+    done: list[DataFrame] = []
+    while True:
+        sizes = members.groupBy("path", "bits").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+        sized = members.join(sizes, ["path", "bits"])
+        if len(masks) * (radius + 1) > MOST_PATHS:
+            done.append(sized)
+            break
+        done.append(sized.filter(F.col("n") <= tree_nodes))
+        large = sized.filter(F.col("n") > tree_nodes)
+        if not sizes.filter(F.col("n") > tree_nodes).head(1):
+            break
+        finer = _finer(masks, radius)
+        masks = [m for group in finer for m in group]
+        table = F.array(*[F.array(*[F.lit(_signed(m)) for m in group]) for group in finer])
+        deeper = F.posexplode(F.element_at(table, F.col("path") + 1)).alias("group", "mask")
+        members = stored(
+            large.select("fp", "path", deeper).select(
+                "fp",
+                (F.col("path") * (radius + 1) + F.col("group")).alias("path"),
+                F.col("fp").bitwiseAND(F.col("mask")).alias("bits"),
+            ),
+            "simhash-members",
+        )
+    # Paths of different levels count from 0 each: the level tells them apart.
+    return reduce(DataFrame.unionByName, [d.withColumn("path", F.col("path") * 16 + level) for level, d in enumerate(done)])
 
 
 def links(fps: DataFrame, radius: int = 2, tree_nodes: int = TREE_NODES) -> DataFrame:
     """Spanning links (a, b) between the distinct values of ``fps.fp`` that are
     within ``radius`` bits: their components are those of all such pairs."""
     distinct = fps.select("fp").filter(F.col("fp").isNotNull()).distinct()
-    keys = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1)).alias("bits"),
-            )
-            for i, (shift, width) in enumerate(bit_blocks(radius))
-        ]
-    )
-    members = stored(distinct.select("fp", F.inline(keys)), "simhash-members")
-    sizes = members.groupBy("block", "bits").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    members = _sharded(distinct, radius, tree_nodes)
     # A shard of n fingerprints has t trees. Unit (i, j): tree i is searched for the
     # members of tree j >= i, so each pair of members meets in one unit.
     trees = F.ceil(F.col("n") / F.lit(tree_nodes)).cast("int")
@@ -116,11 +158,10 @@ def links(fps: DataFrame, radius: int = 2, tree_nodes: int = TREE_NODES) -> Data
         ),
     )
     dealt = (
-        members.join(sizes, ["block", "bits"])
-        .withColumn("t", trees)
+        members.withColumn("t", trees)
         .withColumn("own", own)
-        .select("block", "bits", "fp", F.inline(units))
-        .withColumn("unit", F.xxhash64("block", "bits", "i", "j"))
+        .select("path", "bits", "fp", F.inline(units))
+        .withColumn("unit", F.xxhash64("path", "bits", "i", "j"))
         .select("unit", "fp", "node", "query")
     )
     grouped = dealt.repartition("unit").sortWithinPartitions("unit", "fp")

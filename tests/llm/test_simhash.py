@@ -88,6 +88,20 @@ def test_links_in_split_shards_and_chains(spark):
         assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_a_hot_block_costs_rows_in_proportion(spark):
+    """Fingerprints that agree in a whole block are sharded by their other bits."""
+    counts = []
+    for n in (5_000, 20_000):
+        fps = spark.range(n).select(F.xxhash64("id").bitwiseAND(F.lit(~((1 << 22) - 1))).alias("fp")).distinct()
+        shards = simhash._sharded(fps, 2, 64)
+        assert shards.agg(F.max("n")).first()[0] <= 64
+        counts.append(shards.count())
+    assert counts[0] <= 9 * 5_000 and counts[1] <= 9 * 20_000  # not in the square
+    near = spark.createDataFrame([(1,), (1 ^ 3 << 60,), (1 ^ 7 << 50,)], "fp long").unionAll(fps)
+    edges = [tuple(r) for r in simhash.links(near, radius=2, tree_nodes=64).collect()]
+    assert (min(1, 1 ^ 3 << 60), max(1, 1 ^ 3 << 60)) in edges
+
+
 def test_forest_finds_all_within_radius():
     rng = np.random.default_rng(5)
     values = rng.integers(0, 2**64, 300, dtype=np.uint64)
