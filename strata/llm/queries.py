@@ -77,7 +77,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [urls.host_path_rule(rule, verdict) for rule, verdict in URL_RULES]
-    fallback = [urls.words_rule(w) for w in urls.SHOP_WORDS]
+    fallback = [urls.host_word_rule(w) for w in urls.HOST_WORDS]
     judged = urls.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"), rules, fallback)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
@@ -152,7 +152,7 @@ QUERIES = {
 }
 
 _RULE_ROWS = ", ".join(f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{v}')" for r, v in URL_RULES)
-_SHOPS = "|".join(urls.SHOP_WORDS)
+_WORDS = "|".join(urls.HOST_WORDS)
 
 _SQL_URLS = f"""
 WITH cut AS (
@@ -172,7 +172,7 @@ judged AS (
   FROM parts
 )
 SELECT page_id, host, path, j.rule AS rule,
-       COALESCE(r.verdict, CASE WHEN regexp_matches(host || path, '\\A([^/]*[.-])?({_SHOPS})([.\\-/]|\\z)')
+       COALESCE(r.verdict, CASE WHEN regexp_matches(host, '(\\A|[^a-z0-9])({_WORDS})([^a-z0-9]|\\z)')
                                 THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged j LEFT JOIN rules r ON j.rule = r.rule
 """

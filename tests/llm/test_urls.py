@@ -8,7 +8,7 @@ import pytest
 from strata.llm import queries, urls
 
 RULES = [urls.host_path_rule(r, v) for r, v in queries.URL_RULES]
-FALLBACK = [urls.words_rule(w) for w in urls.SHOP_WORDS]
+FALLBACK = [urls.host_word_rule(w) for w in urls.HOST_WORDS]
 
 
 @pytest.mark.parametrize(
@@ -32,7 +32,7 @@ def test_split(url, host, path):
         ("http://example.com/de/9", "example.com/de/", "block"), ("http://notexample.com/de/9", None, "allow"),
         ("http://w.org/fr/", "org/fr/", "allow"), ("http://free-bets.org/fr/", "org/fr/", "allow"),
         ("http://m.free-bets.example.com/en/", None, "block"), ("http://cheap-pills-2.example.com/", None, "block"),
-        ("http://carefree-bets.example.com/", None, "allow"), (None, None, "allow"), ("junk", None, "allow"),
+        ("http://alphabets.example.com/bets", None, "allow"), ("http://spam-links.com", None, "block"), ("http://casino.example.com/x", None, "block"), (None, None, "allow"), ("junk", None, "allow"),
     ],
 )
 def test_verdicts(spark, url, rule, verdict):
@@ -48,7 +48,7 @@ def test_index_misses_no_rule():
         return ".".join(rng.choice(labels) for _ in range(rng.randint(1, 3)))
 
     rules = [urls.host_path_rule(host() + rng.choice(words), rng.choice(["allow", "block"])) for _ in range(200)]
-    rules += [urls.words_rule("x-y"), urls.Rule("any", "block", "b+"), urls.Rule("sub", "block", r"\bnet\b", ("net",))]
+    rules += [urls.host_word_rule("ad"), urls.Rule("any", "block", "b+"), urls.Rule("sub", "block", r"\bnet\b", ("net",))]
     index = urls.RuleIndex(rules)
     assert [r.name for r in index.always] == ["any"] or all(not r.tokens for r in index.always)
     for _ in range(3000):
@@ -57,6 +57,51 @@ def test_index_misses_no_rule():
         assert sorted(r.name for r in index.fitting(h, p)) == want
 
 
+@pytest.mark.parametrize(
+    "line, fits, misses",
+    [
+        ("||ads.example.com^", ["ads.example.com", "x.ads.example.com/a", "ads.example.com:80/"], ["badads.example.com", "ads.example.com.evil.net", "x.net/ads.example.com"]),
+        ("||example.com/banner/*/img^", ["example.com/banner/7/img", "a.example.com/BANNER/x/y/img?"], ["example.com/banner/img", "example.com/banner/7/images"]),
+        ("/ad-frame/*", ["x.net/ad-frame/1", "x.net/ad-frame/"], ["x.net/ad-frame"]),
+        ("|start.example", ["start.example/x"], ["a.start.example"]),
+        ("swf|", ["x.net/a.swf"], ["x.net/a.swf/b"]),
+        ("-track*pixel", ["x.net/-track/1pixel", "x.net/-trackpixels"], ["x.net/track-pixel"]),
+        (r"/banner\\d+\\.gif/", ["x.net/banner12.gif"], ["x.net/banner.gif"]),
+    ],
+)
+def test_filter_lines(line, fits, misses):
+    line = line.replace("\\\\", "\\")
+    for text, verdict in ((line, "block"), ("@@" + line, "allow")):
+        rule = urls.filter_rule(text)
+        index = urls.RuleIndex([rule])
+        assert rule.verdict == verdict and rule.name == text
+        for url in fits:
+            host, slash, path = url.partition("/")
+            assert index.fitting(host, slash + path) == [rule], url
+        for url in misses:
+            host, slash, path = url.partition("/")
+            assert not index.fitting(host, slash + path), url
+
+
+def test_lines_without_a_rule(spark):
+    lines = ["", "! note", "[Adblock Plus 2.0]", "example.com##.ad", "||a.b^$third-party", "@@", "/[/", None, "||x.y^", "||x.y^"]
+    rules = urls.read_rules(spark.createDataFrame([(x,) for x in lines], "line string"))
+    assert [r.name for r in rules] == ["||x.y^"]
+    with pytest.raises(ValueError, match="bytes of rules"):
+        urls.read_rules(spark.createDataFrame([("||x.y^",)], "line string"), max_bytes=3)
+
+
+def test_of_very_many_rules_only_candidates_run():
+    rng = random.Random(10)
+    name = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    hosts = [f"{name()}.{name()}.example" for _ in range(100_000)]
+    index = urls.RuleIndex([urls.filter_rule(f"||{h}^") for h in hosts])
+    assert not index.always
+    tried = [len(index.candidates(f"www.{h}/some/example/path")) for h in hosts[:2000]]
+    assert max(tried) <= 20 and sum(tried) <= 3 * len(tried)
+    assert all(r.name == f"||{h}^" for h in hosts[:200] for r in index.fitting(f"www.{h}", "/x"))
+
+
 def test_odd_tables(spark):
     schema = "url string, host string, verdict int, _url string"
     rows = [("http://x.net/", "old", 3, "z"), (None, None, None, None), ("http://x.net/", "old", 3, "z")]
