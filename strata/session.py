@@ -12,6 +12,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -77,9 +79,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _checkpoint_root(spark)
 
 
+_RUNS: list[str] = []  # roots of the scratch runs that are open, the innermost last
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder below the shared checkpoint folder, one per use."""
-    root = _checkpoint_root(spark)
-    if name is None:
-        return f"{root}/strata"
-    return f"{root}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below the shared checkpoint folder, one per use; inside a
+    ``scratch_run``, below its folder."""
+    root = _RUNS[-1] if _RUNS else f"{_checkpoint_root(spark)}/strata"
+    return root if name is None else f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """One folder for all scratch tables written inside, removed at the end.
+
+    DataFrames that operators return may still read scratch tables: write or
+    collect the results inside. Runs may be nested.
+    """
+    root = f"{_checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    _RUNS.append(root)
+    try:
+        yield root
+    finally:
+        _RUNS.remove(root)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -86,6 +86,22 @@ def test_nanosecond_reads_need_the_setting_and_leave_it(spark, tmp_dir):
         spark.conf.set(key, "true")
 
 
+def test_a_scratch_run_leaves_nothing(spark):
+    from strata.operators.clean import head_rows
+    from strata.session import scratch_dir, scratch_run
+    from strata.sources.snapshots import path_exists
+
+    outside = scratch_dir(spark, "x")
+    with scratch_run(spark, "heads") as root:
+        with scratch_run(spark) as inner:
+            assert scratch_dir(spark, "x").startswith(inner + "/")
+        assert scratch_dir(spark, "x").startswith(root + "/")
+        df = spark.range(50).selectExpr("CAST(id % 3 AS STRING) AS k", "id")
+        assert head_rows(df, 30, ["k", "id"], top_rows=5).count() == 30 and path_exists(spark, root)
+    assert not path_exists(spark, root) and not outside.startswith(root)
+    assert not scratch_dir(spark, "x").startswith(root)
+
+
 def test_unset_checkpoint_folder_is_an_error_off_local_masters(monkeypatch):
     from strata import session
 
