@@ -7,6 +7,9 @@ or a plain Parquet layer, written once; counts come from the write itself.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -16,8 +19,9 @@ from strata.operators.upsert import merge_into_layer
 from strata.plans import orders as lh
 from strata.plans import retail as lj
 from strata.plans import sales as pm
+from strata.session import scratch_dir
 from strata.sources.files import write_layer
-from strata.sources.snapshots import path_exists, read_snapshot, write_snapshot
+from strata.sources.snapshots import latest_version, path_exists, read_snapshot, replace_rows, write_snapshot
 from strata.streaming import streams as st
 
 
@@ -81,6 +85,32 @@ def _append_changes(spark: SparkSession, silver: str, changes: str, version: int
         write_layer(rows, f"{changes}/versao={v}")
 
 
+def _land_silver(spark: SparkSession, silver: DataFrame, path: str, changes: str) -> None:
+    """Bring the silver table to ``silver`` and append its changes. After the first
+    load the new rows are evaluated once, into the scratch folder, and compared
+    with the table; only the months of changed rows are written again."""
+    keys, months = ["ano", "mes", "id_pedido"], ["ano", "mes"]
+    latest = latest_version(spark, path)
+    if latest is None:
+        _append_changes(spark, path, changes, write_snapshot(silver, path, partition_by=months))
+        return
+    _append_changes(spark, path, changes, latest)
+    place = scratch_dir(spark, "silver-landing")
+    write_layer(silver, place)
+    landed = spark.read.schema(silver.schema).parquet(place)
+    write_layer(signed_changes(read_snapshot(spark, path), landed, ["id_pedido"]), f"{changes}/versao={latest + 1}")
+    signed = spark.read.schema(_signed(silver.schema)).parquet(f"{changes}/versao={latest + 1}")
+    added, taken = signed.filter("_sign > 0"), signed.filter("_sign < 0")
+    put = added.select(*[F.col(k).alias(f"p__{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"p__{k}")) for k in keys])
+    gone = taken.join(put, same, "left_anti").withColumn("_gone", F.lit(True))
+    replace_rows(added.withColumn("_gone", F.lit(False)).unionByName(gone), path, keys, months, F.col("_gone"))
+
+
+def _signed(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("_sign", IntegerType())])
+
+
 def run_retail(
     spark: SparkSession, raw: DataFrame, base: str, trigger: dict | None = None, wait: bool = True
 ) -> dict[str, str]:
@@ -100,9 +130,8 @@ def run_retail(
     }
     write_snapshot(raw, paths["bronze"], operation="WRITE")
     silver = lj.silver_retail(read_snapshot(spark, paths["bronze"]))
-    version = write_snapshot(silver, paths["silver"], partition_by=["ano", "mes"])
-    _append_changes(spark, paths["silver"], paths["changes"], version)
-    schema = StructType([*silver.schema.fields, StructField("_sign", IntegerType()), StructField("versao", IntegerType())])
+    _land_silver(spark, silver, paths["silver"], paths["changes"])
+    schema = StructType([*_signed(silver.schema).fields, StructField("versao", IntegerType())])
     stream = st.table_stream(spark, paths["changes"], schema)
     query = st.start_update(
         lj.product_month_changes(stream),

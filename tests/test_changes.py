@@ -64,6 +64,11 @@ def test_gold_follows_every_landing(spark, tmp_dir, landings):
         assert sorted(map(tuple, read_snapshot(spark, paths["gold"]).collect()), key=str) == want
         versions.append(snapshot_history(spark, paths["gold"]).first().version)
     assert versions[2] == versions[3]  # nothing new, nothing written
+    silver = {v: {p.values: p.location for p in version_layout(spark, paths["silver"], v)[1]} for v in (0, 1)}
+    assert [m for m in silver[0] if silver[0][m] != silver[1][m]] == [("2024", "1")]
+    assert snapshot_history(spark, paths["silver"]).count() == 4  # five landings, one without a change
+    for v in range(4):
+        assert read_snapshot(spark, paths["silver"], v).count() == snapshot_history(spark, paths["silver"]).filter(f"version = {v}").first().num_rows
     # Landing 2 changes orders 3, 6 and 9, all of one month: the other months keep their directories.
     before, after = [{p.values: p.location for p in version_layout(spark, paths["gold"], v)[1]} for v in versions[:2]]
     assert [m for m in before if before[m] != after[m]] == [("2024", "1")]
