@@ -8,6 +8,8 @@ from itertools import chain
 
 import numpy as np
 
+from strata.llm.tables import located
+
 CACHED_BYTES = 64 << 20  # of words and ids a worker remembers, roughly
 
 
@@ -23,7 +25,7 @@ class BytePairEncoder:
     def __init__(self, ranks_path: str, pattern: str):
         import tiktoken
 
-        with open(ranks_path, "rb") as f:
+        with open(located(ranks_path), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._encoding = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._width = np.zeros(max(ranks.values()) + 1, np.int64)

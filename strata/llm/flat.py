@@ -25,10 +25,12 @@ DTYPE = "<u2"
 
 
 def open_store(uri: str):
-    """(file system, path) of a file's URI or absolute path."""
+    """(file system, path) of a file's URI or absolute path. The object store's
+    ``s3a`` and ``s3n`` are Hadoop's names for ``s3``."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    scheme, colon, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"s3://{rest}" if colon and scheme in ("s3a", "s3n") else uri)
 
 
 def write_flat_tokens(

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.tables import free_name
+from strata.llm.tables import free_name, located
 
 MARK = "▁"
 BLOCK_WORDS = 400_000  # distinct words after which a block ends
@@ -37,7 +37,7 @@ def processor(model: str):
     """The model's processor, loaded once in a Python worker."""
     import sentencepiece
 
-    return sentencepiece.SentencePieceProcessor(model_file=model)
+    return sentencepiece.SentencePieceProcessor(model_file=located(model))
 
 
 def check_model(model: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +64,16 @@ def with_running_sum(
     return rows.join(offsets, cond, "inner").select(*kept, (rows["_inside"] + offsets["_before"]).alias(out))
 
 
+def located(path: str) -> str:
+    """The place of a tokenizer file on this machine: ``path``, or the public
+    tokenizer of that file name where an executor has it elsewhere."""
+    if os.path.exists(path):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path(os.path.basename(path))
+
+
 def words_count(text: Column) -> Column:
     """Number of maximal runs of characters other than U+0020 and U+0009 to
     U+000D (NULL: 0)."""
