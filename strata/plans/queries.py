@@ -314,7 +314,7 @@ def _gold_layer(spark, sf_dir) -> DataFrame:
     """The retail gold with its rollups, written once a session as a layer that the
     dashboard's slices read, as the jobs and the dashboard do."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAYERS:
+    if key not in _LAYERS or not snap.path_exists(spark, _LAYERS[key]):
         path = scratch_dir(spark, "gold_vendas_rollup")
         write_layer(lj.rollup_layer(_retail_gold(spark, sf_dir)), path, partition_by=["nivel"])
         _LAYERS[key] = path
