@@ -1158,19 +1158,11 @@ def q_catalog_listing(spark, sf_dir):
 _SQL_NEWEST = "ano = (SELECT max(ano) FROM retail_gold) AND mes = (SELECT max(mes) FROM retail_gold)"
 
 
-_NEWEST_SALES = "data_pedido < '1998-01-01' OR data_pedido = 'not-a-date'"  # whole years: the newest one has a December
-
-
-@register(
-    "month_slice_newest",
-    f"SELECT * FROM retail_gold WHERE {_SQL_NEWEST}",
-    {**_RETAIL_CTES, "retail_typed": _SQL_RETAIL_TYPED + f"WHERE {_NEWEST_SALES}"},
-)
+@register("month_slice_newest", f"SELECT * FROM retail_gold WHERE {_SQL_NEWEST}", _RETAIL_CTES)
 def q_month_slice_newest(spark, sf_dir):
-    """The default slice (newest year, newest month) of a gold whose newest year is
-    whole, so that it holds rows."""
-    raw = B.lj_vendas_raw(spark, sf_dir).filter(_NEWEST_SALES)
-    return lj.month_slice(lj.product_month(lj.silver_retail(raw)))
+    """The default slice (newest year, newest month) of the whole gold. The two are
+    taken each by itself, as the dashboard does, so it may be empty."""
+    return lj.month_slice(_retail_gold(spark, sf_dir))
 
 
 STAMP = "2024-05-06 07:08:09"

@@ -99,3 +99,14 @@ def test_csv_roundtrip_partitioned_layout_and_pruning(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/silver").filter("ano = 2024 AND mes = 2")
     assert "PartitionFilters: [isnotnull(ano" in back._jdf.queryExecution().executedPlan().toString()
     assert back.count() == 10
+
+
+def test_newest_month_is_that_of_all_sales(spark, tmp_dir):
+    from strata.plans.queries import ORACLES, QUERIES
+
+    line = "CAST(id AS BIGINT) l_orderkey, 7L l_partkey, 3L l_suppkey, 1 l_linenumber, 20.0D l_quantity, 10.0D l_extendedprice"
+    day = "CASE WHEN id < 5 THEN TIMESTAMP '1997-12-03' ELSE TIMESTAMP '1999-12-04' END l_shipdate"
+    spark.range(8).selectExpr(*line.split(", "), "'A' l_returnflag", "'F' l_linestatus", day).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    rows = QUERIES["month_slice_newest"](spark, tmp_dir).collect()
+    assert [(r.ano, r.mes, r.quantidade_total) for r in rows] == [(1999, 12, 60)]
+    assert "1998-01-01" not in ORACLES["month_slice_newest"]
