@@ -126,14 +126,22 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     )
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+def dedupe(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None, dealt: bool = False
+) -> DataFrame:
     """One row per key (NULL keys form one group, as ``dropDuplicates`` does).
 
     The survivor is fixed: the row whose remaining columns (``order_by``, default
     all non-key columns in schema order) are smallest, NULLs first. Built as
     ``min(struct(...))`` so a key holding millions of copies is folded map-side
     before the shuffle, never gathered into one task.
+
+    ``dealt`` is for keys with few copies: the rows are dealt by key as they are and
+    folded there, so no task sorts the rows of its input split, and what follows may
+    use that the rows lie by key. A key's rows then meet in one task.
     """
+    if dealt:
+        df = df.repartition(*keys)
     rest = [c for c in df.columns if c not in keys]
     order = list(order_by) if order_by is not None else rest
     carried = order + [c for c in rest if c not in order]

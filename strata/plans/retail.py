@@ -28,11 +28,12 @@ def silver_retail(raw: DataFrame) -> DataFrame:
     """cast -> amount/quantity > 0, date and product not NULL -> one row per
     id_pedido -> year, month, weekday (1 = Sunday) -> upper payment ->
     lower(trim(product)). The NULL test comes before the trim, so a blank
-    product survives as ''."""
+    product survives as ''. An order has few copies, so the rows are dealt by
+    id_pedido and lie by it afterwards."""
     df = cast_columns(raw, SILVER_CASTS)
     df = filter_positive(df, ["valor_total", "quantidade"])
     df = filter_not_null(df, ["data_pedido", "produto"])
-    df = dedupe(df, ["id_pedido"])
+    df = dedupe(df, ["id_pedido"], dealt=True)
     return df.withColumns(
         {
             "ano": F.year("data_pedido"),

@@ -126,3 +126,9 @@ def test_a_merge_rewrites_the_files_it_touches(spark, tmp_dir):
     register_layers(spark, {"merged_files": {"orders": path}})
     assert spark.table("merged_files.orders").count() == 43
     assert snapshot_history(spark, path).first().operation == "COMPACT"
+
+
+def test_silver_folds_where_the_rows_lie_by_order(spark, landings):
+    plan = lj.silver_retail(raw(spark, landings[0]))._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning(id_pedido")
+    assert 0 < plan.index("partial_min") < exchange and "Sort" not in plan[exchange:]  # no sort of an input split
