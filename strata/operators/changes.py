@@ -9,39 +9,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import row_hash
 
+def compared(old: DataFrame, new: DataFrame, keys: Sequence[str], sign: str = "_sign") -> DataFrame:
+    """Every row of either table once, with ``sign``, the difference of its numbers
+    in ``new`` and ``old``, and ``<sign>_new``, its number in ``new``.
 
-def content_hash(cols: Sequence[str]) -> Column:
-    """SHA-256 of the columns' values by name; a NULL differs from every text."""
-    return row_hash([F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]))])
+    Both tables are dealt by ``keys`` (not again where they lie so already, as after
+    ``dedupe(..., dealt=True)``) and their whole rows counted in one aggregate, so each
+    is evaluated once, no row is fetched a second time and equality is exact. NULLs
+    are equal to each other. The rows of one key meet in one task.
+    """
+    cols = list(new.columns)
+
+    def side(df: DataFrame, by: int) -> DataFrame:
+        return df.select(*cols).repartition(*keys).select(*cols, F.lit(by).alias("_by"))
+
+    both = side(old, -1).unionByName(side(new, 1))
+    return both.groupBy(*cols).agg(
+        F.sum("_by").cast("int").alias(sign), F.count_if(F.col("_by") > 0).alias(f"{sign}_new")
+    )
 
 
 def signed_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], sign: str = "_sign") -> DataFrame:
     """The columns of ``new`` and ``sign``: the rows to take from ``old`` (negative)
     and to add to it (positive) to get ``new``.
 
-    Rows are compared by key and content hash only, in one partial aggregate over
-    both tables, so a key or a row with many copies is folded before the shuffle;
-    whole rows are fetched for the differences alone. NULL keys are keys like any
-    other. Copies of a row count: ``sign`` is the difference of their numbers.
+    NULL keys are keys like any other. Copies of a row count: ``sign`` is the
+    difference of their numbers.
     """
-    cols, keys = list(new.columns), list(keys)
-    mark = F.struct(*[F.col(k) for k in keys], content_hash([c for c in cols if c not in keys]).alias("_hash"))
-
-    def marked(df: DataFrame) -> DataFrame:
-        return df.select(*cols).withColumn("_mark", mark)
-
-    both = marked(old).select("_mark", F.lit(-1).alias("n")).unionByName(marked(new).select("_mark", F.lit(1).alias("n")))
-    net = both.groupBy("_mark").agg(F.sum("n").cast("int").alias(sign)).filter(F.col(sign) != 0)
-    net = net.select(F.col("_mark._hash").alias("_h"), F.col("_mark").alias("_m"), sign)
-
-    def fetched(df: DataFrame, wanted: Column) -> DataFrame:
-        # The hash joins; the whole mark, compared NULL-safe, confirms.
-        met = marked(df).join(net.filter(wanted), (F.col("_mark._hash") == F.col("_h")) & F.col("_mark").eqNullSafe(F.col("_m")))
-        return met.dropDuplicates(["_mark"]).select(*cols, sign)
-
-    return fetched(old, F.col(sign) < 0).unionByName(fetched(new, F.col(sign) > 0))
+    return compared(old, new, keys, sign).filter(F.col(sign) != 0).drop(f"{sign}_new")

@@ -128,6 +128,14 @@ def test_a_merge_rewrites_the_files_it_touches(spark, tmp_dir):
     assert snapshot_history(spark, path).first().operation == "COMPACT"
 
 
+def test_changes_of_dealt_tables_need_no_other_shuffle(spark, landings):
+    old, new = [lj.silver_retail(raw(spark, rows)) for rows in landings[:2]]
+    out = signed_changes(old, new, ["id_pedido"])
+    assert sorted((r.id_pedido, r._sign) for r in out.collect()) == [(3, -1), (3, 1), (6, -1), (9, -1)]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan  # one a table
+
+
 def test_silver_folds_where_the_rows_lie_by_order(spark, landings):
     plan = lj.silver_retail(raw(spark, landings[0]))._jdf.queryExecution().executedPlan().toString()
     exchange = plan.index("Exchange hashpartitioning(id_pedido")
