@@ -7,21 +7,18 @@ or a plain Parquet layer, written once; counts come from the write itself.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
-from strata.operators.changes import signed_changes
+from strata.operators.changes import compared, signed_changes
 from strata.operators.upsert import merge_into_layer
 from strata.plans import orders as lh
 from strata.plans import retail as lj
 from strata.plans import sales as pm
 from strata.session import scratch_dir
 from strata.sources.files import write_layer
-from strata.sources.snapshots import latest_version, path_exists, read_snapshot, replace_rows, write_snapshot
+from strata.sources.snapshots import latest_version, path_exists, read_snapshot, replace_partitions, write_snapshot
 from strata.streaming import streams as st
 
 
@@ -87,24 +84,23 @@ def _append_changes(spark: SparkSession, silver: str, changes: str, version: int
 
 def _land_silver(spark: SparkSession, silver: DataFrame, path: str, changes: str) -> None:
     """Bring the silver table to ``silver`` and append its changes. After the first
-    load the new rows are evaluated once, into the scratch folder, and compared
-    with the table; only the months of changed rows are written again."""
-    keys, months = ["ano", "mes", "id_pedido"], ["ano", "mes"]
+    load the new rows are evaluated once and compared with the table as they come;
+    what the comparison gives is written once, into the scratch folder, unchanged rows
+    apart. Its signed rows are the changes, and the months they name are written again
+    from its other rows."""
+    months = ["ano", "mes"]
     latest = latest_version(spark, path)
     if latest is None:
         _append_changes(spark, path, changes, write_snapshot(silver, path, partition_by=months))
         return
     _append_changes(spark, path, changes, latest)
-    place = scratch_dir(spark, "silver-landing")
-    write_layer(silver, place)
-    landed = spark.read.schema(silver.schema).parquet(place)
-    write_layer(signed_changes(read_snapshot(spark, path), landed, ["id_pedido"]), f"{changes}/versao={latest + 1}")
+    place = scratch_dir(spark, "silver-compared")
+    both = compared(read_snapshot(spark, path), silver, ["id_pedido"])
+    both.withColumn("_same", F.col("_sign") == 0).write.partitionBy("_same").parquet(place)
+    rows = spark.read.schema(StructType([*both.schema.fields, StructField("_same", BooleanType())])).parquet(place)
+    write_layer(rows.filter("NOT _same").select(*silver.columns, "_sign"), f"{changes}/versao={latest + 1}")
     signed = spark.read.schema(_signed(silver.schema)).parquet(f"{changes}/versao={latest + 1}")
-    added, taken = signed.filter("_sign > 0"), signed.filter("_sign < 0")
-    put = added.select(*[F.col(k).alias(f"p__{k}") for k in keys])
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"p__{k}")) for k in keys])
-    gone = taken.join(put, same, "left_anti").withColumn("_gone", F.lit(True))
-    replace_rows(added.withColumn("_gone", F.lit(False)).unionByName(gone), path, keys, months, F.col("_gone"))
+    replace_partitions(rows.filter("_same OR _sign > 0").select(*silver.columns), path, months, signed.select(*months))
 
 
 def _signed(schema: StructType) -> StructType:

@@ -346,6 +346,30 @@ def replace_rows(
     return _write_version(merged, path, commit.version + 1, operation, partition_by, None, txn, kept, rows_kept)
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], named: DataFrame, operation: str = "REPLACE PARTITIONS"
+) -> int:
+    """Commit a version in which the partitions that rows of ``named`` lie in hold
+    the rows that ``df`` has of them; the version lists the directories of the rest
+    as they are. ``df`` has the table's columns. A partition named that ``df`` has no
+    row of is gone. An empty ``named`` changes nothing."""
+    spark, columns = df.sparkSession, list(partition_by)
+    values = named.select(*columns).distinct()  # as many as there are partitions
+    hit = {tuple(r) for r in values.select(*[F.col(c).cast("string") for c in columns]).collect()}
+    commit = _commit(spark, path)
+    if commit is None:
+        raise FileNotFoundError(f"no committed snapshot at {path}")
+    if not hit:
+        return commit.version
+    touched = [p for p in commit.parts if p.values in hit]
+    kept = [p for p in commit.parts if p.values not in hit]
+    rows_kept = commit.num_rows - _read_commit(spark, path, commit, touched).count() if kept else 0
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"n__{c}")) for c in columns])
+    wanted = F.broadcast(values.select(*[F.col(c).alias(f"n__{c}") for c in columns]))
+    fresh = df.join(wanted, same, "left_semi").select(*commit.schema.fieldNames())
+    return _write_version(fresh, path, commit.version + 1, operation, partition_by, None, None, kept, rows_kept)
+
+
 def expire_snapshots(spark: SparkSession, path: str, keep: int) -> int:
     """Remove the data that only versions before the newest ``keep`` list; returns
     the number of directories and files removed. Those versions stay in the history

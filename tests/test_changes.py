@@ -140,3 +140,19 @@ def test_silver_folds_where_the_rows_lie_by_order(spark, landings):
     plan = lj.silver_retail(raw(spark, landings[0]))._jdf.queryExecution().executedPlan().toString()
     exchange = plan.index("Exchange hashpartitioning(id_pedido")
     assert 0 < plan.index("partial_min") < exchange and "Sort" not in plan[exchange:]  # no sort of an input split
+
+
+def test_partitions_named_are_replaced(spark, tmp_dir):
+    from strata.sources.snapshots import replace_partitions, write_snapshot
+
+    path = f"{tmp_dir}/t"
+    make = lambda rows: spark.createDataFrame(rows, "p string, k int")
+    write_snapshot(make([("a", 1), ("b", 2), ("c", 3), (None, 4)]), path, partition_by=["p"])
+    new = make([("a", 10), ("a", 11), ("c", 99), (None, 5)])
+    assert replace_partitions(new, path, ["p"], make([])) == 0
+    assert replace_partitions(new, path, ["p"], make([("a", 0), ("b", 0), (None, 0), (None, 1)])) == 1
+    rows = lambda v: sorted(map(tuple, read_snapshot(spark, path, v).collect()), key=str)
+    assert rows(1) == sorted([("a", 10), ("a", 11), ("c", 3), (None, 5)], key=str) and len(rows(0)) == 4
+    assert snapshot_history(spark, path).first().num_rows == 4
+    places = [{p.values: p.location for p in version_layout(spark, path, v)[1]} for v in (0, 1)]
+    assert [m for m in places[0] if places[0][m] == places[1].get(m)] == [("c",)]
