@@ -1319,13 +1319,13 @@ def q_growth_by_load(spark, sf_dir):
     """Daily growth loaded year by year, each load reading its own days and the
     carry of the one before. Equals the full run."""
     base = scratch_dir(spark, "gold_vendas_diarias")
-    fact = B.table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("y")).distinct().orderBy("y")
-    daily = pm.daily_sales(_sales_enriched(spark, sf_dir)).withColumn("_y", F.year("data_venda"))
+    daily = pm.daily_sales(_sales_enriched(spark, sf_dir), dealt=True).withColumn("_y", F.year("data_venda"))
     write_layer(daily, f"{base}/fato", partition_by=["_y"])
     stored = spark.read.schema(daily.schema).parquet(f"{base}/fato")
     carry = None
-    for i, row in enumerate(fact.collect()):  # one row a year
-        days = stored.filter(F.col("_y") == row.y).drop("_y")
+    years = stored.select("_y").distinct().orderBy(F.col("_y").asc_nulls_first())
+    for i, row in enumerate(years.collect()):  # one row a year
+        days = stored.filter(F.col("_y").eqNullSafe(row._y)).drop("_y")
         grown, last = pm.daily_growth_after(days, carry)
         write_layer(grown, f"{base}/gold/carga={i}")
         write_layer(last, f"{base}/carry/{i}")

@@ -111,3 +111,14 @@ def test_two_level_lag_equals_single_window_on_skewed_data(spark):
     a = sorted(map(tuple, pm.daily_growth(fact).collect()), key=str)
     b = sorted(map(tuple, pm.daily_growth_single_window(fact).select(*pm.daily_growth(fact).columns).collect()), key=str)
     assert a == b
+
+
+def test_dealt_sales_are_shuffled_once(spark):
+    import datetime as dt
+
+    day = dt.date(2024, 1, 2)
+    rows = [(day, c, p, v, 1, 10.0) for c, p, v in [(1, 1, 1), (1, 1, 1), (1, 1, 2), (None, 2, 3), (1, None, 4)]]
+    silver = spark.createDataFrame(rows, "data_venda date, cliente_id long, produto_id long, venda_id long, quantidade int, valor_total double")
+    out = pm.daily_sales(silver, dealt=True)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, pm.daily_sales(silver).collect()), key=str)
+    assert out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange") == 1
