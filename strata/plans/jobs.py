@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.operators.changes import compared, signed_changes
 from strata.operators.upsert import merge_into_layer
 from strata.plans import orders as lh
 from strata.plans import retail as lj
 from strata.plans import sales as pm
-from strata.session import scratch_dir
-from strata.sources.files import write_layer
+from strata.session import freed_shuffles, scratch_dir, scratch_run
+from strata.sources.files import PARQUET_CODEC, write_layer
 from strata.sources.snapshots import latest_version, path_exists, read_snapshot, replace_partitions, write_snapshot
 from strata.streaming import streams as st
 
@@ -87,20 +87,22 @@ def _land_silver(spark: SparkSession, silver: DataFrame, path: str, changes: str
     load the new rows are evaluated once and compared with the table as they come;
     what the comparison gives is written once, into the scratch folder, unchanged rows
     apart. Its signed rows are the changes, and the months they name are written again
-    from its other rows."""
+    from its other rows; then the scratch table goes."""
     months = ["ano", "mes"]
     latest = latest_version(spark, path)
     if latest is None:
         _append_changes(spark, path, changes, write_snapshot(silver, path, partition_by=months))
         return
     _append_changes(spark, path, changes, latest)
-    place = scratch_dir(spark, "silver-compared")
-    both = compared(read_snapshot(spark, path), silver, ["id_pedido"])
-    both.withColumn("_same", F.col("_sign") == 0).write.partitionBy("_same").parquet(place)
-    rows = spark.read.schema(StructType([*both.schema.fields, StructField("_same", BooleanType())])).parquet(place)
-    write_layer(rows.filter("NOT _same").select(*silver.columns, "_sign"), f"{changes}/versao={latest + 1}")
-    signed = spark.read.schema(_signed(silver.schema)).parquet(f"{changes}/versao={latest + 1}")
-    replace_partitions(rows.filter("_same OR _sign > 0").select(*silver.columns), path, months, signed.select(*months))
+    with scratch_run(spark, "silver-landing"):
+        place = scratch_dir(spark, "compared")
+        both = compared(read_snapshot(spark, path), silver, ["id_pedido"])
+        both = both.withColumn("_same", F.col("_sign") == 0)
+        both.write.partitionBy("_same").option("compression", PARQUET_CODEC).parquet(place)
+        rows = spark.read.schema(both.schema).parquet(place)
+        write_layer(rows.filter("NOT _same").select(*silver.columns, "_sign"), f"{changes}/versao={latest + 1}")
+        signed = spark.read.schema(_signed(silver.schema)).parquet(f"{changes}/versao={latest + 1}")
+        replace_partitions(rows.filter("_same OR _sign > 0").select(*silver.columns), path, months, signed.select(*months))
 
 
 def _signed(schema: StructType) -> StructType:
@@ -116,6 +118,7 @@ def run_retail(
 
     Repeatable: corrected, new and vanished orders reach gold through their signed
     rows, which rewrite only their months; a run on the same input changes nothing.
+    Each step's shuffle files go when it ends.
     """
     paths = {
         "bronze": f"{base}/bronze/vendas",
@@ -124,21 +127,22 @@ def run_retail(
         "gold": f"{base}/gold/vendas_produto_mensal",
         "checkpoint": f"{base}/checkpoints/gold_vendas_produto_mensal",
     }
-    write_snapshot(raw, paths["bronze"], operation="WRITE")
-    silver = lj.silver_retail(read_snapshot(spark, paths["bronze"]))
-    _land_silver(spark, silver, paths["silver"], paths["changes"])
-    schema = StructType([*_signed(silver.schema).fields, StructField("versao", IntegerType())])
-    stream = st.table_stream(spark, paths["changes"], schema)
-    query = st.start_update(
-        lj.product_month_changes(stream),
-        paths["gold"],
-        paths["checkpoint"],
-        keys=["ano", "mes", "produto"],
-        partition_by=["ano", "mes"],
-        gone=F.col("_linhas") == 0,
-        keep_versions=GOLD_VERSIONS,
-        trigger=trigger or {"availableNow": True},
-    )
-    if wait:
-        st.run_until_done(query)
+    with freed_shuffles(spark):
+        write_snapshot(raw, paths["bronze"], operation="WRITE")
+        silver = lj.silver_retail(read_snapshot(spark, paths["bronze"]))
+        _land_silver(spark, silver, paths["silver"], paths["changes"])
+        schema = StructType([*_signed(silver.schema).fields, StructField("versao", IntegerType())])
+        stream = st.table_stream(spark, paths["changes"], schema)
+        query = st.start_update(
+            lj.product_month_changes(stream),
+            paths["gold"],
+            paths["checkpoint"],
+            keys=["ano", "mes", "produto"],
+            partition_by=["ano", "mes"],
+            gone=F.col("_linhas") == 0,
+            keep_versions=GOLD_VERSIONS,
+            trigger=trigger or {"availableNow": True},
+        )
+        if wait:
+            st.run_until_done(query)
     return paths

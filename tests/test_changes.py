@@ -156,3 +156,30 @@ def test_partitions_named_are_replaced(spark, tmp_dir):
     assert snapshot_history(spark, path).first().num_rows == 4
     places = [{p.values: p.location for p in version_layout(spark, path, v)[1]} for v in (0, 1)]
     assert [m for m in places[0] if places[0][m] == places[1].get(m)] == [("c",)]
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f}
+
+
+def test_a_landing_leaves_no_shuffle_and_no_scratch(spark, tmp_dir, landings):
+    import os
+    import time
+
+    from strata.session import scratch_dir
+
+    jobs.run_retail(spark, raw(spark, landings[0]), tmp_dir)
+    root = scratch_dir(spark).removeprefix("file:")
+    scratch = {f for f in os.listdir(root) if not f.startswith("replace-source")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = _shuffle_files(spark), spark.conf.get(setting)
+    paths = jobs.run_retail(spark, raw(spark, landings[2]), tmp_dir)
+    assert spark.conf.get(setting) == was
+    assert {f for f in os.listdir(root) if not f.startswith("replace-source")} <= scratch
+    end = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < end:  # they go in the background
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    want = sorted(map(tuple, lj.product_month(lj.silver_retail(raw(spark, landings[2]))).collect()), key=str)
+    assert sorted(map(tuple, read_snapshot(spark, paths["gold"]).collect()), key=str) == want
